@@ -12,6 +12,9 @@ UNICODE_WHITESPACE = "".join(
     map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
 
+# The same code points as a pattern: by property, which Java matches faster than a list of 25.
+WHITESPACE_RUN = r"[\s\x85\p{Z}]+"
+
 # The sentiment lexicon and the keyword list.
 POSITIVE_WORDS = ("bull", "bullish", "surge", "rally", "gain", "up", "positive")
 NEGATIVE_WORDS = ("bear", "bearish", "crash", "drop", "fall", "down", "negative")
@@ -25,7 +28,7 @@ def trim_unicode(text: Column) -> Column:
 
 def title_words(text: Column) -> Column:
     """Upper-case the first letter of each word, keep the rest, and join by single spaces."""
-    words = F.filter(F.split(text, f"[{UNICODE_WHITESPACE}]+"), lambda word: word != "")
+    words = F.filter(F.split(text, WHITESPACE_RUN), lambda word: word != "")
     return F.array_join(
         F.transform(words, lambda word: F.concat(F.upper(F.left(word, F.lit(1))), F.substr(word, F.lit(2)))),
         " ",

@@ -26,8 +26,11 @@ def clean_data(
 ) -> DataFrame:
     """Trim and re-case text columns and drop rows with NULLs; other columns are untouched.
 
-    An unknown case name changes nothing. ``subset`` narrows which columns must be present.
+    An unknown case name changes nothing. ``subset`` narrows which columns must be present. No
+    change makes or removes a NULL, so rows are dropped first: the test then runs on the stored
+    columns, inside the scan where the format allows it.
     """
+    kept = df.na.drop(subset=list(subset) if subset else None) if remove_nulls else df
     recase = CASES.get(normalize_case or "")
     changes = {}
     for field in df.schema.fields:
@@ -37,5 +40,4 @@ def clean_data(
             text = recase(text) if recase else text
             if trim_strings or recase:
                 changes[field.name] = text
-    cleaned = df.withColumns(changes) if changes else df
-    return cleaned.na.drop(subset=list(subset) if subset else None) if remove_nulls else cleaned
+    return kept.withColumns(changes) if changes else kept

@@ -46,6 +46,11 @@ def _entry(path: Column, value: Column) -> Column:
     return F.struct(path.alias("path"), value.alias("value"))
 
 
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: lambda variables are bound, columns are not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _as_object(value: Column) -> Column:
     return value.try_cast("map<string,variant>")
 
@@ -62,11 +67,32 @@ def _expand(entry: Column, separator: str) -> Column:
         name = F.when(path == "", pair["key"]).otherwise(F.concat(path, F.lit(separator), pair["key"]))
         return _entry(name, pair["value"])
 
-    return (
-        F.when(_as_object(value).isNotNull(), F.transform(F.map_entries(_as_object(value)), child))
-        .when(F.size(_as_list(value)) > 0, F.array(_entry(path, F.get(_as_list(value), F.lit(0)))))
-        .otherwise(F.array(entry))
-    )
+    keys = F.transform(F.map_entries(_as_object(value)), child)
+    head = _with(_as_list(value), lambda v: F.when(F.size(v) > 0, F.array(_entry(path, F.get(v, F.lit(0))))))
+    return F.coalesce(keys, head, F.array(entry))
+
+
+def _is_leaf(value: Column) -> Column:
+    """Scalars and empty arrays; what is still nested at the depth limit is left out."""
+    empty = F.coalesce(F.size(_as_list(value)) == 0, F.lit(True))
+    return _as_object(value).isNull() & empty
+
+
+def _last_of_each(entries: Column) -> Column:
+    """Entries without those whose path comes again later."""
+
+    def unique(bound: Column) -> Column:
+        return _with(
+            F.transform(bound, lambda e: e["path"]),
+            lambda names: F.when(F.size(F.array_distinct(names)) == F.size(names), bound).otherwise(
+                F.filter(
+                    bound,
+                    lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["path"]),
+                )
+            ),
+        )
+
+    return _with(entries, unique)
 
 
 def flatten_text(value: Column, separator: str = "_", max_depth: int = 5) -> Column:
@@ -74,16 +100,9 @@ def flatten_text(value: Column, separator: str = "_", max_depth: int = 5) -> Col
     entries = F.array(_entry(F.lit(""), value))
     for _ in range(max_depth):
         entries = F.flatten(F.transform(entries, lambda e: _expand(e, separator)))
-    entries = F.filter(
-        entries,
-        lambda e: _as_object(e["value"]).isNull() & (F.coalesce(F.size(_as_list(e["value"])), F.lit(-1)) <= 0),
-    )
-    names = F.transform(entries, lambda e: e["path"])
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), e["path"]),
-    )
-    return F.when(value.isNotNull(), F.to_json(F.map_from_entries(last), {"ignoreNullFields": "false"}))
+    leaves = F.filter(entries, lambda e: _is_leaf(e["value"]))
+    flat = F.to_json(F.map_from_entries(_last_of_each(leaves)), {"ignoreNullFields": "false"})
+    return F.when(value.isNotNull(), flat)
 
 
 def json_flatten(

@@ -202,11 +202,11 @@ ORACLE = {
                      0 as votes_toxic
               from (select *,
                            len(list_filter(['bull', 'bullish', 'surge', 'rally', 'gain', 'up', 'positive'],
-                                           w -> contains(lower(text), w))) as p,
+                                           lambda w: contains(lower(text), w))) as p,
                            len(list_filter(['bear', 'bearish', 'crash', 'drop', 'fall', 'down', 'negative'],
-                                           w -> contains(lower(text), w))) as n,
+                                           lambda w: contains(lower(text), w))) as n,
                            list_filter(['bitcoin', 'btc', 'crypto', 'blockchain', 'defi', 'nft'],
-                                       w -> contains(lower(text), w)) as keywords
+                                       lambda w: contains(lower(text), w)) as keywords
                     from documents))""",
     "v_users": """
         select c_custkey as id, c_name as name, 18 + c_custkey % 60 as age, c_mktsegment as city from customer""",
