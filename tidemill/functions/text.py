@@ -47,10 +47,15 @@ def sentiment_score(text: Column) -> Column:
 
 
 def extract_keywords(text: Column) -> Column:
-    """The known keywords that occur in the text, in list order."""
+    """The known keywords that occur in the text, in list order; NULL for no text.
+
+    Built from functions that take part in code generation and are always evaluated, so the text
+    is lower-cased once for all of them.
+    """
     lowered = F.lower(text)
-    found = F.filter(F.array(*[F.lit(w) for w in KEYWORDS]), lambda word: F.contains(lowered, word))
-    return F.when(text.isNotNull(), found)
+    found = F.array(*[F.when(F.contains(lowered, F.lit(word)), F.lit(word)) for word in KEYWORDS])
+    none = F.array().cast("array<string>")
+    return F.concat(F.array_except(found, F.array(F.lit(None).cast("string"))), F.when(text.isNotNull(), none))
 
 
 def price_volatility(price: Column) -> Column:
@@ -65,14 +70,15 @@ def _hits_sql(words: tuple[str, ...]) -> str:
 def register_functions(spark: SparkSession) -> None:
     """Make the functions callable from SQL text, as SQL functions that Catalyst inlines."""
     good, bad = _hits_sql(POSITIVE_WORDS), _hits_sql(NEGATIVE_WORDS)
-    listed = ", ".join(f"'{w}'" for w in KEYWORDS)
+    found = ", ".join(f"IF(contains(lower(body), '{w}'), '{w}', NULL)" for w in KEYWORDS)
     definitions = (
         f"sentiment_score(body STRING) RETURNS DOUBLE RETURN "
         f"CAST(({good}) - ({bad}) AS DOUBLE) / CAST(({good}) + ({bad}) + 1 AS DOUBLE)",
         "price_volatility(price DOUBLE) RETURNS STRING RETURN "
         "CASE WHEN price > 50000 THEN 'high' WHEN price > 30000 THEN 'medium' ELSE 'low' END",
         "extract_keywords(body STRING) RETURNS ARRAY<STRING> RETURN "
-        f"IF(body IS NULL, NULL, filter(array({listed}), word -> contains(lower(body), word)))",
+        f"concat(array_except(array({found}), array(CAST(NULL AS STRING))), "
+        "IF(body IS NULL, NULL, CAST(array() AS ARRAY<STRING>)))",
         "array_length(items ARRAY<STRING>) RETURNS INT RETURN array_size(items)",
     )
     for body in definitions:

@@ -30,7 +30,10 @@ def clean_data(
     change makes or removes a NULL, so rows are dropped first: the test then runs on the stored
     columns, inside the scan where the format allows it.
     """
-    kept = df.na.drop(subset=list(subset) if subset else None) if remove_nulls else df
+    kept = df
+    if remove_nulls:
+        for name in subset or df.columns:
+            kept = kept.filter(F.col(f"`{name}`").isNotNull())
     recase = CASES.get(normalize_case or "")
     changes = {}
     for field in df.schema.fields:

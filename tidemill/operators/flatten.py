@@ -42,40 +42,49 @@ def flatten_columns(df: DataFrame, separator: str = "_", max_depth: int = 5) ->
     return df.select(*[column.alias(path) for path, column in found])
 
 
-def _entry(path: Column, value: Column) -> Column:
-    return F.struct(path.alias("path"), value.alias("value"))
-
-
 def _with(value: Column, use) -> Column:
     """``use(value)`` with the value computed once: lambda variables are bound, columns are not."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _as_object(value: Column) -> Column:
-    return value.try_cast("map<string,variant>")
+def _entry(path: Column, value: Column) -> Column:
+    """A path with its value, and the value's keys or items where it has any."""
+    return F.struct(
+        path.alias("path"),
+        value.alias("value"),
+        value.try_cast("map<string,variant>").alias("keys"),
+        value.try_cast("array<variant>").alias("items"),
+    )
 
 
-def _as_list(value: Column) -> Column:
-    return value.try_cast("array<variant>")
+def _is_nested(entry: Column) -> Column:
+    """Objects, and arrays with items. Scalars and empty arrays are leaves."""
+    return entry["keys"].isNotNull() | F.coalesce(F.size(entry["items"]) > 0, F.lit(False))
 
 
-def _expand(entry: Column, separator: str) -> Column:
-    """The children of one entry: keys of an object, the head of a list, or the entry itself."""
-    path, value = entry["path"], entry["value"]
+def _children(entry: Column, separator: str) -> Column:
+    """The keys of an object, the head of an array, or the entry itself."""
+    path = entry["path"]
 
     def child(pair: Column) -> Column:
         name = F.when(path == "", pair["key"]).otherwise(F.concat(path, F.lit(separator), pair["key"]))
         return _entry(name, pair["value"])
 
-    keys = F.transform(F.map_entries(_as_object(value)), child)
-    head = _with(_as_list(value), lambda v: F.when(F.size(v) > 0, F.array(_entry(path, F.get(v, F.lit(0))))))
-    return F.coalesce(keys, head, F.array(entry))
+    return (
+        F.when(entry["keys"].isNotNull(), F.transform(F.map_entries(entry["keys"]), child))
+        .when(F.size(entry["items"]) > 0, F.array(_entry(path, F.get(entry["items"], F.lit(0)))))
+        .otherwise(F.array(entry))
+    )
 
 
-def _is_leaf(value: Column) -> Column:
-    """Scalars and empty arrays; what is still nested at the depth limit is left out."""
-    empty = F.coalesce(F.size(_as_list(value)) == 0, F.lit(True))
-    return _as_object(value).isNull() & empty
+def _one_level(entries: Column, separator: str) -> Column:
+    """Open what is nested; rows that are flat already are passed on as they are."""
+    return _with(
+        entries,
+        lambda some: F.when(
+            F.exists(some, _is_nested), F.flatten(F.transform(some, lambda e: _children(e, separator)))
+        ).otherwise(some),
+    )
 
 
 def _last_of_each(entries: Column) -> Column:
@@ -97,12 +106,19 @@ def _last_of_each(entries: Column) -> Column:
 
 def flatten_text(value: Column, separator: str = "_", max_depth: int = 5) -> Column:
     """A VARIANT as flat JSON text, NULLs and empty arrays kept; of equal names the last wins."""
-    entries = F.array(_entry(F.lit(""), value))
-    for _ in range(max_depth):
-        entries = F.flatten(F.transform(entries, lambda e: _expand(e, separator)))
-    leaves = F.filter(entries, lambda e: _is_leaf(e["value"]))
-    flat = F.to_json(F.map_from_entries(_last_of_each(leaves)), {"ignoreNullFields": "false"})
-    return F.when(value.isNotNull(), flat)
+
+    def flat(root: Column) -> Column:
+        entries = F.array(_entry(F.lit(""), root))
+        for _ in range(max_depth):
+            entries = _one_level(entries, separator)
+        leaves = F.transform(
+            F.filter(entries, lambda e: ~_is_nested(e)),
+            lambda e: F.struct(e["path"].alias("path"), e["value"].alias("value")),
+        )
+        text = F.to_json(F.map_from_entries(_last_of_each(leaves)), {"ignoreNullFields": "false"})
+        return F.when(root.isNotNull(), text)
+
+    return _with(value, flat)
 
 
 def json_flatten(

@@ -123,7 +123,7 @@ def _topic(spark, folder):
     select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, 0.0::double as score, '' as label,
            false as seen from events""")
 def _json_rows(spark, folder):
-    declared = T._parse_datatype_string("k bigint, score double, label string, seen boolean")
+    declared = T.DataType.fromDDL("k bigint, score double, label string, seen boolean")
     return parse_json(table(spark, folder, "events"), declared, "props", ["event_id"], on_missing="default")
 
 
@@ -229,7 +229,7 @@ def _paths(spark, folder):
 @query("sch5_schema_evolution", """
     select event_id, cast(user_id as double) as user_id, null::varchar as channel, event_type, value from events""")
 def _evolution(spark, folder):
-    registered = T._parse_datatype_string("event_id bigint, user_id double, channel string")
+    registered = T.DataType.fromDDL("event_id bigint, user_id double, channel string")
     arrived = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
     return schema_evolution(arrived, registered, auto_infer=True)
 

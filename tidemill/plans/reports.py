@@ -433,9 +433,9 @@ _TRIM_CHARS = "|| ".join(
            sentiment_category, cast(len(keywords) as bigint) as keyword_count, source_category
     from v_news, (select {_TRIM_CHARS} as w) where title is not null and published_at is not null""", exact=True)
 def _enriched_news(spark, folder):
-    cleaned = clean_data(
-        views.raw_news(spark, folder), remove_nulls=True, trim_strings=True, normalize_case="lower"
-    )
+    # Score and keywords are NULL only where the text is, so testing the stored columns is enough.
+    stored = ["id", "title", "content", "source", "published_at"]
+    cleaned = clean_data(views.raw_news(spark, folder), True, True, "lower", subset=stored)
     return enrich.enrich_news(cleaned).withColumn("keywords", F.array_join("keywords", ",")).drop("ingestion_time")
 
 

@@ -58,7 +58,7 @@ def infer_schema(df: DataFrame, value: str = "value", keep_objects: bool = False
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(value)))).first()[0]
     if not found or not found.startswith("OBJECT<"):
         return T.StructType([])
-    parsed = T._parse_datatype_string(_to_ddl(found))
+    parsed = T.DataType.fromDDL(_to_ddl(found))
     return T.StructType(
         [T.StructField(f.name, _plain(f.dataType, keep_objects)) for f in parsed.fields]
     )

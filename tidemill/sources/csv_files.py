@@ -31,10 +31,11 @@ def _fits(column: Column, data_type: T.DataType) -> Column:
 
 
 def _infer(text: DataFrame) -> T.StructType:
-    """Column types from at most 100 rows, tested in one aggregate."""
+    """Column types from at most 100 rows, tested in one aggregate; empty fields fit any type and a
+    column with nothing but empty fields is text."""
     sample = text.limit(SAMPLE_ROWS)
     tests = [
-        F.bool_and(_fits(F.col(f"`{name}`"), t)).alias(f"{i}_{j}")
+        F.bool_and(F.when(F.col(f"`{name}`").isNotNull(), _fits(F.col(f"`{name}`"), t))).alias(f"{i}_{j}")
         for i, name in enumerate(text.columns)
         for j, t in enumerate(CANDIDATES)
     ]
@@ -90,7 +91,9 @@ def csv_scan(
 
     rows = text
     if bad_rows == "drop":
-        good = F.col(RAGGED).isNull()
+        # Always true, but it makes every query read a real column: Spark refuses CSV scans that
+        # use nothing but the corrupt-record column, as a bare count would.
+        good = F.col(RAGGED).isNull() & (F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0)
         for name, field in zip(names, target.fields):
             if not isinstance(field.dataType, T.StringType):
                 raw = F.col(f"`{name}`")
