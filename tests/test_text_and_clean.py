@@ -92,6 +92,13 @@ def test_clean_cases(spark):
     assert cleaned(spark) == sorted(ROWS, key=repr)
 
 
+def test_time_stamps_keep_their_letters(spark):
+    df = spark.createDataFrame([("2024-01-15T10:30:00Z", "At 2024-01-15T10:30:00Z")], "a string, b string")
+    assert tuple(clean_data(df, normalize_case="lower").first()) == ("2024-01-15T10:30:00Z", "at 2024-01-15t10:30:00z")
+    lowered = clean_data(df, normalize_case="lower", keep_time_stamps=False)
+    assert lowered.first()["a"] == "2024-01-15t10:30:00z"
+
+
 def test_clean_removes_rows_with_nulls(spark):
     assert cleaned(spark, remove_nulls=True, trim_strings=True) == [(1, "a", 1.0)]
     assert {r[0] for r in cleaned(spark, remove_nulls=True, subset=["id"])} == {1, 2, 3}

@@ -317,13 +317,13 @@ def _partition_key(spark, folder):
 
 
 @query("trf5_sql_transform", """
-    select l_returnflag, l_linestatus, count(*) as orders, round(avg(l_quantity), 4) as avg_quantity,
+    select l_returnflag, l_linestatus, count(*) as orders, round(avg(l_quantity) + 1e-7, 4) as avg_quantity,
            round(sum(l_extendedprice * (1 - l_discount)), 0) as revenue
     from lineitem where l_shipdate < timestamp '2001-01-01 00:00:00' group by l_returnflag, l_linestatus""")
 def _sql(spark, folder):
     return sql_transform(
         table(spark, folder, "lineitem"),
-        "SELECT l_returnflag, l_linestatus, COUNT(*) AS orders, ROUND(AVG(l_quantity), 4) AS avg_quantity, "
+        "SELECT l_returnflag, l_linestatus, COUNT(*) AS orders, ROUND(AVG(l_quantity) + 1e-7, 4) AS avg_quantity, "
         "ROUND(SUM(l_extendedprice * (1 - l_discount)), 0) AS revenue FROM input_data "
         "WHERE l_shipdate < TIMESTAMP_NTZ '2001-01-01 00:00:00' GROUP BY l_returnflag, l_linestatus",
     )
@@ -390,9 +390,9 @@ def _preferred(spark, folder):
 
 
 @query("jon1_daily_join", """
-    select cast(m.timestamp as date) as date, round(avg(m.price), 4) as avg_price,
-           round(avg(m.price_change_24h), 4) as avg_price_change, count(n.id) as news_count,
-           round(avg(n.sentiment_score), 4) as avg_sentiment
+    select cast(m.timestamp as date) as date, round(avg(m.price) + 1e-7, 4) as avg_price,
+           round(avg(m.price_change_24h) + 1e-7, 4) as avg_price_change, count(n.id) as news_count,
+           round(avg(n.sentiment_score) + 1e-7, 4) as avg_sentiment
     from v_market m left join v_news n on cast(m.timestamp as date) = cast(n.published_at as date) and n.source <> 'src1'
     group by 1""")
 def _daily(spark, folder):

@@ -1,13 +1,15 @@
 """The report catalogue: every report by name, with the oracle's SQL for the same answer.
 
-Both sides round fractions to four digits, give percentages as DOUBLE and counts as BIGINT.
+Both sides round fractions to four digits, give percentages as DOUBLE and counts as BIGINT. Means
+of a few values often end in a 5 at the digit that is rounded away, and then the order of additions
+decides; both sides add a nudge first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,17 +29,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-DIGITS = 4
+DIGITS, NUDGE = 4, 1e-7
 
 
 def rounded(df: DataFrame) -> DataFrame:
     """Fractions to four digits, so that the order of additions does not show."""
-    return df.select(
-        *[
-            F.round(F.col(f"`{f.name}`"), DIGITS).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+
+    def shown(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DoubleType):
+            return F.round(column + NUDGE, DIGITS).alias(field.name)
+        return column
+
+    return df.select(*[shown(f) for f in df.schema.fields])
 
 
 def report(name: str, sql: str, exact: bool = False) -> Callable[[Query], Query]:
@@ -66,8 +70,8 @@ simple("f1_flight_dates", views.flights, flights.date_range, """
     select count(*) as total_flights, min(fl_date) as earliest_date, max(fl_date) as latest_date from v_flights""")
 
 simple("f2_delays_by_day", views.flights, flights.delays_by_day, """
-    select fl_date, count(*) as flights_count, round(avg(dep_delay), 4) as avg_departure_delay,
-           round(avg(arr_delay), 4) as avg_arrival_delay,
+    select fl_date, count(*) as flights_count, round(avg(dep_delay) + 1e-7, 4) as avg_departure_delay,
+           round(avg(arr_delay) + 1e-7, 4) as avg_arrival_delay,
            count(*) filter (where dep_delay > 15) as delayed_departures,
            count(*) filter (where arr_delay > 15) as delayed_arrivals
     from v_flights group by fl_date""")
@@ -85,12 +89,12 @@ simple("f4_delays_by_distance", views.flights, flights.delays_by_distance, """
     select case when distance >= 2000 then 'Very Long (>2000mi)' when distance >= 1000 then 'Long (1000-2000mi)'
                 when distance >= 500 then 'Medium (500-1000mi)' when distance is null then 'Very Long (>2000mi)'
                 else 'Short (<500mi)' end as distance_category,
-           count(*) as flights, round(avg(dep_delay), 4) as avg_dep_delay, round(avg(arr_delay), 4) as avg_arr_delay,
-           round(avg(air_time), 4) as avg_air_time
+           count(*) as flights, round(avg(dep_delay) + 1e-7, 4) as avg_dep_delay, round(avg(arr_delay) + 1e-7, 4) as avg_arr_delay,
+           round(avg(air_time) + 1e-7, 4) as avg_air_time
     from v_flights group by distance_category""")
 
 simple("f5_worst_days", views.flights, flights.worst_days, """
-    select fl_date, round(total, 4) as total_avg_delay, max_departure_delay, max_arrival_delay, flights_count
+    select fl_date, round(total + 1e-7, 4) as total_avg_delay, max_departure_delay, max_arrival_delay, flights_count
     from (select fl_date, avg(dep_delay + arr_delay) as total, max(dep_delay) as max_departure_delay,
                  max(arr_delay) as max_arrival_delay, count(*) as flights_count
           from v_flights where dep_delay > 0 or arr_delay > 0 group by fl_date)
@@ -100,19 +104,19 @@ simple("f5_worst_days", views.flights, flights.worst_days, """
 
 simple("r1_product_overview", views.retail, retail.product_overview, """
     select count(*) as total_products, count(distinct brand) as unique_brands,
-           count(distinct category) as unique_categories, round(min(actual_price), 4) as min_price,
-           round(max(actual_price), 4) as max_price, round(avg(actual_price), 4) as avg_price
+           count(distinct category) as unique_categories, round(min(actual_price) + 1e-7, 4) as min_price,
+           round(max(actual_price) + 1e-7, 4) as max_price, round(avg(actual_price) + 1e-7, 4) as avg_price
     from v_retail""")
 
 simple("r2_top_brands", views.retail, retail.top_brands, """
-    select brand, count(*) as product_count, round(avg(actual_price), 4) as avg_price,
-           round(avg(average_rating), 4) as avg_rating
+    select brand, count(*) as product_count, round(avg(actual_price) + 1e-7, 4) as avg_price,
+           round(avg(average_rating) + 1e-7, 4) as avg_rating
     from v_retail where brand is not null group by brand order by product_count desc, brand limit 20""")
 
 simple("r3_category_profile", views.retail, retail.category_profile, """
-    select category, count(*) as products, round(avg(actual_price), 4) as avg_price,
-           round(min(actual_price), 4) as min_price, round(max(actual_price), 4) as max_price,
-           round(avg(average_rating), 4) as avg_rating, count(*) filter (where out_of_stock) as out_of_stock_count
+    select category, count(*) as products, round(avg(actual_price) + 1e-7, 4) as avg_price,
+           round(min(actual_price) + 1e-7, 4) as min_price, round(max(actual_price) + 1e-7, 4) as max_price,
+           round(avg(average_rating) + 1e-7, 4) as avg_rating, count(*) filter (where out_of_stock) as out_of_stock_count
     from v_retail group by category""")
 
 simple("r4_price_ranges", views.retail, retail.price_ranges, """
@@ -127,28 +131,28 @@ simple("r5_rating_groups", views.retail, retail.rating_groups, """
     select case when average_rating < 2 then 'Poor (<2.0)' when average_rating < 3 then 'Fair (2.0-3.0)'
                 when average_rating < 4 then 'Good (3.0-4.0)' when average_rating < 4.5 then 'Very Good (4.0-4.5)'
                 else 'Excellent (4.5+)' end as rating_category,
-           count(*) as products, round(avg(actual_price), 4) as avg_price
+           count(*) as products, round(avg(actual_price) + 1e-7, 4) as avg_price
     from v_retail where average_rating is not null group by rating_category""")
 
 simple("r6_stock_status", views.retail, retail.stock_status, """
-    select out_of_stock, count(*) as products, round(avg(actual_price), 4) as avg_price,
-           round(avg(average_rating), 4) as avg_rating
+    select out_of_stock, count(*) as products, round(avg(actual_price) + 1e-7, 4) as avg_price,
+           round(avg(average_rating) + 1e-7, 4) as avg_rating
     from v_retail group by out_of_stock""")
 
 # Tracks
 
 simple("s1_track_overview", views.tracks, tracks.track_overview, """
-    select count(*) as total_tracks, round(avg(danceability), 4) as avg_danceability,
-           round(avg(energy), 4) as avg_energy, round(avg(valence), 4) as avg_valence,
-           round(avg(tempo), 4) as avg_tempo, min(duration_ms) as shortest_track_ms,
+    select count(*) as total_tracks, round(avg(danceability) + 1e-7, 4) as avg_danceability,
+           round(avg(energy) + 1e-7, 4) as avg_energy, round(avg(valence) + 1e-7, 4) as avg_valence,
+           round(avg(tempo) + 1e-7, 4) as avg_tempo, min(duration_ms) as shortest_track_ms,
            max(duration_ms) as longest_track_ms
     from v_tracks""")
 
 simple("s2_moods", views.tracks, tracks.moods, """
     select case when valence < 0.3 then 'Negative' when valence < 0.5 then 'Neutral'
                 when valence < 0.7 then 'Positive' else 'Very Positive' end as mood,
-           count(*) as track_count, round(avg(energy), 4) as avg_energy,
-           round(avg(danceability), 4) as avg_danceability, round(avg(tempo), 4) as avg_tempo
+           count(*) as track_count, round(avg(energy) + 1e-7, 4) as avg_energy,
+           round(avg(danceability) + 1e-7, 4) as avg_danceability, round(avg(tempo) + 1e-7, 4) as avg_tempo
     from v_tracks group by mood""")
 
 simple("s3_energy_and_dance", views.tracks, tracks.energy_and_dance, """
@@ -156,31 +160,31 @@ simple("s3_energy_and_dance", views.tracks, tracks.energy_and_dance, """
                 else 'High Energy' end as energy_level,
            case when danceability < 0.5 then 'Not Danceable' when danceability < 0.7 then 'Danceable'
                 else 'Highly Danceable' end as dance_level,
-           count(*) as tracks, round(avg(tempo), 4) as avg_tempo, round(avg(valence), 4) as avg_positivity
+           count(*) as tracks, round(avg(tempo) + 1e-7, 4) as avg_tempo, round(avg(valence) + 1e-7, 4) as avg_positivity
     from v_tracks group by energy_level, dance_level""")
 
 simple("s4_tempos", views.tracks, tracks.tempos, """
     select case when tempo >= 160 then 'Very Fast (>160 BPM)' when tempo >= 120 then 'Fast (120-160 BPM)'
                 when tempo >= 80 then 'Medium (80-120 BPM)' else 'Slow (<80 BPM)' end as tempo_range,
-           count(*) as tracks, round(avg(energy), 4) as avg_energy, round(avg(danceability), 4) as avg_danceability
+           count(*) as tracks, round(avg(energy) + 1e-7, 4) as avg_energy, round(avg(danceability) + 1e-7, 4) as avg_danceability
     from v_tracks group by tempo_range""")
 
 simple("s5_musical_keys", views.tracks, tracks.musical_keys, """
-    select key as musical_key, count(*) as tracks, round(avg(valence), 4) as avg_positivity,
-           round(avg(energy), 4) as avg_energy
+    select key as musical_key, count(*) as tracks, round(avg(valence) + 1e-7, 4) as avg_positivity,
+           round(avg(energy) + 1e-7, 4) as avg_energy
     from v_tracks group by key""")
 
 simple("s6_durations", views.tracks, tracks.durations, """
     select case when duration_ms >= 360000 then 'Very Long (>6min)' when duration_ms >= 240000 then 'Long (4-6min)'
                 when duration_ms >= 120000 then 'Medium (2-4min)' else 'Short (<2min)' end as duration_category,
-           count(*) as tracks, round(avg(energy), 4) as avg_energy, round(avg(danceability), 4) as avg_danceability,
-           round(avg(valence), 4) as avg_valence
+           count(*) as tracks, round(avg(energy) + 1e-7, 4) as avg_energy, round(avg(danceability) + 1e-7, 4) as avg_danceability,
+           round(avg(valence) + 1e-7, 4) as avg_valence
     from v_tracks group by duration_category""")
 
 # Further examples over the same tables
 
 simple("e1_delay_totals_by_day", views.flights, flights.delay_totals_by_day, """
-    select fl_date, round(avg(dep_delay), 4) as avg_departure_delay, round(avg(arr_delay), 4) as avg_arrival_delay,
+    select fl_date, round(avg(dep_delay) + 1e-7, 4) as avg_departure_delay, round(avg(arr_delay) + 1e-7, 4) as avg_arrival_delay,
            count(*) as total_flights, cast(sum(cast(coalesce(dep_delay > 15, false) as integer)) as bigint)
                as delayed_departures,
            cast(sum(cast(coalesce(arr_delay > 15, false) as integer)) as bigint) as delayed_arrivals
@@ -189,32 +193,32 @@ simple("e1_delay_totals_by_day", views.flights, flights.delay_totals_by_day, """
 simple("e2_arrival_by_departure", views.flights, flights.arrival_by_departure, """
     select case when dep_delay > 60 or dep_delay is null then 'Major Delay' when dep_delay > 15 then 'Moderate Delay'
                 when dep_delay > 0 then 'Minor Delay' else 'On Time' end as departure_category,
-           round(avg(arr_delay), 4) as avg_arrival_delay, count(*) as flight_count
+           round(avg(arr_delay) + 1e-7, 4) as avg_arrival_delay, count(*) as flight_count
     from v_flights group by departure_category""")
 
 simple("e3_brand_quality", views.retail, retail.brand_quality, """
     select brand, count(*) as product_count,
-           round(avg(cast(regexp_replace(price_text, '[,$]', '', 'g') as double)), 4) as avg_price,
-           round(avg(cast(rating_text as double)), 4) as avg_rating,
-           round(avg(cast(no_of_ratings as integer)), 4) as avg_num_ratings
+           round(avg(cast(regexp_replace(price_text, '[,$]', '', 'g') as double)) + 1e-7, 4) as avg_price,
+           round(avg(cast(rating_text as double)) + 1e-7, 4) as avg_rating,
+           round(avg(cast(no_of_ratings as integer)) + 1e-7, 4) as avg_num_ratings
     from v_retail where price_text is not null and rating_text is not null
     group by brand having count(*) >= 10""")
 
 simple("e4_rating_by_price", views.retail, retail.rating_by_price, """
     select case when p < 500 then 'Budget' when p < 2000 then 'Mid-Range' else 'Premium' end as price_category,
-           round(avg(cast(rating_text as double)), 4) as avg_rating, count(*) as product_count
+           round(avg(cast(rating_text as double)) + 1e-7, 4) as avg_rating, count(*) as product_count
     from (select rating_text, cast(replace(replace(price_text, '$', ''), ',', '') as double) as p from v_retail
           where price_text is not null and rating_text is not null)
     group by price_category""")
 
 simple("e5_category_mix", views.tracks, tracks.category_mix, """
     select danceability_category, energy_category, mood_category, count(*) as track_count,
-           round(avg(tempo), 4) as avg_tempo, round(avg(duration_seconds), 4) as avg_duration_seconds
+           round(avg(tempo) + 1e-7, 4) as avg_tempo, round(avg(duration_seconds) + 1e-7, 4) as avg_duration_seconds
     from v_tracks group by all""")
 
 simple("e6_tempo_categories", views.tracks, tracks.tempo_categories, """
-    select tempo_category, round(avg(energy), 4) as avg_energy, round(avg(danceability), 4) as avg_danceability,
-           round(avg(valence), 4) as avg_positivity, count(*) as track_count
+    select tempo_category, round(avg(energy) + 1e-7, 4) as avg_energy, round(avg(danceability) + 1e-7, 4) as avg_danceability,
+           round(avg(valence) + 1e-7, 4) as avg_positivity, count(*) as track_count
     from v_tracks group by tempo_category""")
 
 
@@ -348,15 +352,15 @@ simple("q2_latest_price", views.market, market.latest_price, """
     from v_market order by timestamp desc, id desc limit 1""", exact=True)
 
 simple("q3_daily_trend", views.market, lambda df: market.daily_trend(df, AS_OF), f"""
-    select cast(timestamp as date) as date, round(avg(price), 4) as avg_price, round(min(price), 4) as min_price,
-           round(max(price), 4) as max_price, count(*) as data_points
+    select cast(timestamp as date) as date, round(avg(price) + 1e-7, 4) as avg_price, round(min(price) + 1e-7, 4) as min_price,
+           round(max(price) + 1e-7, 4) as max_price, count(*) as data_points
     from v_market where timestamp >= {_MOMENT} - interval 7 day group by date""")
 
 simple("q4_recent_news", views.news, lambda df: news.recent_count(df, AS_OF), f"""
     select count(*) as count from v_news where published_at >= {_MOMENT} - interval 24 hour""")
 
 simple("q5_sentiment_mix", views.news, lambda df: news.sentiment_mix(df, AS_OF), f"""
-    select sentiment_category, count(*) as count, round(avg(sentiment_score), 4) as avg_sentiment
+    select sentiment_category, count(*) as count, round(avg(sentiment_score) + 1e-7, 4) as avg_sentiment
     from v_news where published_at >= {_MOMENT} - interval 7 day group by sentiment_category""")
 
 simple("q6_top_sources", views.news, lambda df: news.top_sources(df, AS_OF), f"""
@@ -365,8 +369,8 @@ simple("q6_top_sources", views.news, lambda df: news.top_sources(df, AS_OF), f""
 
 
 @report("q7_price_against_news", f"""
-    select count(*) as days_with_data, round(avg(price), 4) as avg_daily_price, round(avg(pairs), 4) as avg_daily_news,
-           round(avg(score), 4) as avg_daily_sentiment
+    select count(*) as days_with_data, round(avg(price) + 1e-7, 4) as avg_daily_price, round(avg(pairs) + 1e-7, 4) as avg_daily_news,
+           round(avg(score) + 1e-7, 4) as avg_daily_sentiment
     from (select cast(m.timestamp as date) as day, avg(m.price) as price, count(n.id) as pairs,
                  avg(n.sentiment_score) as score
           from v_market m left join v_news n on cast(m.timestamp as date) = cast(n.published_at as date)
@@ -377,19 +381,19 @@ def _price_news(spark, folder):
 
 
 simple("q8_price_by_hour", views.market, market.price_by_hour, """
-    select cast(extract(hour from timestamp) as bigint) as hour, round(avg(price), 4) as avg_price
+    select cast(extract(hour from timestamp) as bigint) as hour, round(avg(price) + 1e-7, 4) as avg_price
     from v_market group by 1""")
 
 simple("q9_sentiment_all_time", views.news, news.sentiment_mix, """
-    select sentiment_category, count(*) as count, round(avg(sentiment_score), 4) as avg_sentiment
+    select sentiment_category, count(*) as count, round(avg(sentiment_score) + 1e-7, 4) as avg_sentiment
     from v_news group by sentiment_category""")
 
 simple("q9_latest_row", views.market, lambda df: latest(df, "timestamp", "id"), """
     select * from v_market order by timestamp desc, id desc limit 1""", exact=True)
 
 simple("b1_daily_volume", views.market, lambda df: market.daily_volume(df, AS_OF), f"""
-    select cast(timestamp as date) as date, round(avg(price), 4) as avg_price, round(max(price), 4) as max_price,
-           round(min(price), 4) as min_price, round(sum(volume_24h), 0) as total_volume
+    select cast(timestamp as date) as date, round(avg(price) + 1e-7, 4) as avg_price, round(max(price) + 1e-7, 4) as max_price,
+           round(min(price) + 1e-7, 4) as min_price, round(sum(volume_24h), 0) as total_volume
     from v_market where timestamp >= {_MOMENT} - interval 7 day group by date""")
 _volume = QUERIES["b1_daily_volume"]
 QUERIES["b1_daily_volume"] = lambda spark, folder: _volume(spark, folder).withColumn(
@@ -397,7 +401,7 @@ QUERIES["b1_daily_volume"] = lambda spark, folder: _volume(spark, folder).withCo
 )
 
 simple("b2_daily_news", views.news, lambda df: news.daily_news(df, AS_OF), f"""
-    select cast(published_at as date) as date, count(*) as news_count, round(avg(sentiment_score), 4) as avg_sentiment,
+    select cast(published_at as date) as date, count(*) as news_count, round(avg(sentiment_score) + 1e-7, 4) as avg_sentiment,
            cast(sum(votes_positive) as bigint) as total_positive_votes
     from v_news where published_at >= {_MOMENT} - interval 30 day group by date""")
 

@@ -171,8 +171,5 @@ def _relaxed(schema: T.StructType) -> T.StructType:
 
 
 def append_to_catalog(df: DataFrame, table: str) -> None:
-    """Append to a table of a configured catalog, creating it on first use."""
-    if df.sparkSession.catalog.tableExists(table):
-        df.writeTo(table).append()
-    else:
-        df.writeTo(table).create()
+    """Append to a table of the session's catalogs, by column name, creating it on first use."""
+    df.write.mode("append").saveAsTable(table)
