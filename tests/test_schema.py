@@ -83,6 +83,9 @@ def test_inference(spark):
         '{"i":2,"d":3,"mix":1}',
         '{"mix":"text","big":12345678901234567890}',
         "broken",
+        "[1]",
+        "null",
+        "7",
     ]
     df = spark.createDataFrame([(r,) for r in rows], "value string")
     found = dict(shape(infer_schema(df)))

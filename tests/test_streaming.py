@@ -181,6 +181,16 @@ def test_topic_needs_a_schema(spark):
     assert parse_messages(df, fixed).first()["a"] == "1"
 
 
+def test_dead_letters_are_kept_with_a_reason(spark, place):
+    lines(place + "/topic", "0.json", ['{"a":\n', "[1]\n", {"a": 1}])
+    loader = TopicTable(place + "/t", dead_letters=place + "/dead")
+    for _ in range(2):
+        drain(loader.start(topic(spark, place + "/topic"), place + "/check", "dead"))
+    dead = spark.read.json(place + "/dead").collect()
+    assert {(r["value"], r["reason"]) for r in dead} == {('{"a":', "malformed"), ("[1]", "not an object")}
+    assert LandedTable(spark, loader.root).read().count() == 1
+
+
 def test_topic_skips_batches_without_rows(spark, place):
     lines(place + "/topic", "0.json", ["broken\n"])
     lines(place + "/topic", "1.json", [{"a": 1}])

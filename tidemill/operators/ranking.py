@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ..session import shared_root
 
+# A key with more rows than this is cut up. The number of pieces is limited because every piece is
+# a task: beyond it pieces grow instead, and a sort that outgrows memory spills.
 HOT_ROWS = 2_000_000
+MOST_RANGES = 10_000
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
@@ -53,7 +56,7 @@ def number_rows(
     if largest <= hot_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
-    ranges = max(2, math.ceil(total / hot_rows))
+    ranges = min(MOST_RANGES, max(2, math.ceil(total / hot_rows)))
     shared_root(df.sparkSession)
     # The range bounds come from a sample: they must not change between the two uses below.
     ranged = (

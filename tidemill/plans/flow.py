@@ -194,6 +194,7 @@ def run_flow(
                 mapping.get("sql_transform"),
                 mapping.get("auto_schema_evolution", False),
                 tuple(mapping.get("partition_by") or ()),
+                mapping.get("dead_letters"),
             )
             results[name] = root
             results["queries"].append(loader.start(stream, place, name, every))

@@ -53,9 +53,11 @@ def infer_schema(df: DataFrame, value: str = "value", keep_objects: bool = False
     """Schema of the JSON objects in a text column.
 
     Integers become long, other numbers double, nulls, empty arrays and conflicting types text.
-    Nested objects become text holding their JSON unless ``keep_objects``.
+    Nested objects become text holding their JSON unless ``keep_objects``. Text that is no object
+    has no say: one list among the messages would otherwise make the merged type a conflict.
     """
-    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(value)))).first()[0]
+    message = F.when(F.ltrim(F.col(value)).startswith("{"), F.try_parse_json(F.col(value)))
+    found = df.agg(F.schema_of_variant_agg(message)).first()[0]
     if not found or not found.startswith("OBJECT<"):
         return T.StructType([])
     parsed = T.DataType.fromDDL(_to_ddl(found))

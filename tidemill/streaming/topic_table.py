@@ -12,7 +12,7 @@ from ..operators.sql import sql_transform
 from ..schema import infer_schema, schema_from_config
 from ..schema.spec import infers
 from ..sinks.landed import LandedTable
-from ..sources.json_values import parse_json
+from ..sources.json_values import parse_json, split_json
 from .ingest import each_batch
 
 
@@ -30,18 +30,25 @@ def parse_messages(batch: DataFrame, schema_config: Mapping | None, known: T.Str
 
 @dataclass
 class TopicTable:
-    """Loads one topic into one landed table. Each message batch is a load that a replay replaces."""
+    """Loads one topic into one landed table. Each message batch is a load that a replay replaces.
+
+    Messages that are no JSON objects are left out, or kept with a reason under ``dead_letters``.
+    """
 
     root: str
     schema_config: Mapping | None = None
     sql: str | None = None
     evolve: bool = False
     partition_by: Sequence[str] = field(default_factory=tuple)
+    dead_letters: str | None = None
 
     def load(self, batch: DataFrame, load_id: str) -> None:
         """One batch: an inferring topic reads it twice, so it is kept for the duration."""
         batch = batch.persist()
         try:
+            if self.dead_letters:
+                _, bad = split_json(batch)
+                bad.write.mode("overwrite").json(f"{self.dead_letters}/load_id={load_id}")
             rows = parse_messages(batch, self.schema_config)
             if not rows.columns:
                 return
