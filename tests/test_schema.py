@@ -25,7 +25,7 @@ def shape(schema):
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def test_schema_from_config():
+def test_schema_from_config(spark):
     config = {
         "fields": [
             {"name": "a", "data_type": "int64"},
