@@ -119,15 +119,33 @@ def test_every_transform_type_runs(spark, place, capfd):
     assert "<v>" in capfd.readouterr().out
 
 
-def test_strict_evolution_stops_a_flow(spark):
-    from pyspark.sql import types as T
-
+def evolving(**step):
     spec = flow([["s", "a"], ["a", "o"]], ())
-    spec["transforms"] = [
-        {"type": "schema_evolution", "id": "a", "strict_mode": True, "registered": T.StructType([T.StructField("x", T.LongType())])}
-    ]
+    spec["transforms"] = [{"type": "schema_evolution", "id": "a", **step}]
+    return spec
+
+
+def test_declared_schema_in_a_flow(spark, place):
+    spec = evolving(strict_mode=True, schema={"fields": [{"name": "x", "data_type": "int64"}]})
     with pytest.raises(SchemaMismatch):
         run_flow(spark, spec, inputs={"s": spark.sql("SELECT 'a' AS x")})
+    spec = evolving(schema={"fields": [{"name": "x", "data_type": "float64"}, {"name": "y", "data_type": "string"}]})
+    spec["sinks"] = [{"type": "parquet_dir", "id": "o", "path": place}]
+    run_flow(spark, spec, inputs={"s": spark.sql("SELECT 1 AS x, 2 AS z")})
+    assert tuple(spark.read.parquet(place + "/o.parquet").select("x", "y").first()) == (1.0, None)
+
+
+def test_schema_steps_remember_between_runs(spark, place):
+    first, second = spark.sql("SELECT 1 AS x"), spark.sql("SELECT 2.5D AS x, 'n' AS y")
+    run_flow(spark, evolving(strict_mode=True), inputs={"s": first}, checkpoint=place + "/a")
+    run_flow(spark, evolving(strict_mode=True), inputs={"s": first}, checkpoint=place + "/a")
+    with pytest.raises(SchemaMismatch):
+        run_flow(spark, evolving(strict_mode=True), inputs={"s": second}, checkpoint=place + "/a")
+    spec = evolving(auto_infer=True)
+    spec["sinks"] = [{"type": "parquet_dir", "id": "o", "path": place}]
+    for df in (first, second, first):
+        done = run_flow(spark, spec, inputs={"s": df}, checkpoint=place + "/b")
+    assert tuple(spark.read.parquet(done["o"]).select("x", "y").first()) == (1.0, None)
 
 
 def messages(folder, name, rows):

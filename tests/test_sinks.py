@@ -40,7 +40,7 @@ def test_landed_table_evolves_through_all_promotions(spark, place):
     table.append(spark.sql("SELECT 1 AS a, CAST(1.5 AS FLOAT) AS b, 2 AS c, 3L AS d, 'x' AS p"), "1", evolve=True)
     table.append(spark.sql("SELECT 2L AS a, 2.5D AS b, 3.5D AS c, 'y' AS p, 4.5D AS d"), "2", evolve=True)
     table.append(spark.sql("SELECT 'later' AS e, 'x' AS p, 'no number' AS a"), "3", evolve=True)
-    assert [v[0] for v in table.versions()] == [1, 2, 3]
+    assert [v[0] for v in table.schemas.versions()] == [1, 2, 3]
     assert [f"{f.name}:{f.dataType.simpleString()}" for f in table.schema().fields] == [
         "a:bigint", "b:double", "c:double", "d:double", "p:string", "e:string",
     ]
@@ -59,15 +59,15 @@ def test_landed_table_refuses_changes_unless_allowed(spark, place):
     table.append(spark.sql("SELECT 2L AS a"))
     with pytest.raises(SchemaMismatch):
         table.append(spark.sql("SELECT 3L AS a, 1 AS fresh"))
-    assert len(table.versions()) == 1 and table.read().count() == 2
+    assert len(table.schemas.versions()) == 1 and table.read().count() == 2
 
 
 def test_two_writers_cannot_register_the_same_version(spark, place):
     table = LandedTable(spark, place + "/t")
     schema = T.StructType([T.StructField("a", T.LongType())])
-    table._register(1, schema)
+    table.schemas.register(1, schema)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        table._register(1, schema)
+        table.schemas.register(1, schema)
 
 
 def test_repeated_load_counts_once(spark, place):

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.schema import infer_schema
 from tidemill.sources.csv_files import csv_scan
 from tidemill.sources.json_files import bad_records, detect_formats, json_scan
 from tidemill.sources.json_values import parse_json, split_json
@@ -153,6 +154,12 @@ def test_parse_json_defaults(spark):
         parse_json(df, SCHEMA, on_missing="guess")
 
 
+def test_repeated_keys_take_the_last_value(spark):
+    df = spark.createDataFrame([('{"i":1,"i":2}',)], "value string")
+    assert parse_json(df, SCHEMA).first()["i"] == 2
+    assert infer_schema(df).fieldNames() == ["i"]
+
+
 def test_split_json_loses_nothing_but_missing_text(spark):
     df = spark.createDataFrame(list(enumerate(MESSAGES)), "n int, value string")
     good, bad = split_json(df)

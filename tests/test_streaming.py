@@ -168,7 +168,7 @@ def test_topic_to_table_evolves_stage_by_stage(spark, place):
     assert set(rows) == {1, 2, 3, 5, 6, 7}
     assert rows[3]["metadata"] == '{"k":[1]}' and rows[5]["is_processed"] is True
     assert rows[6]["value"] == 6.5 and rows[1]["value"] == 1.0 and rows[1]["score"] is None
-    assert len(table.versions()) == 6
+    assert len(table.schemas.versions()) == 6
     assert {f.name for f in table.schema().fields} >= {"timestamp", "metadata", "score", "new_field", "side"}
 
 
@@ -196,7 +196,7 @@ def test_topic_skips_batches_without_rows(spark, place):
     lines(place + "/topic", "1.json", [{"a": 1}])
     loader = TopicTable(place + "/t", sql="SELECT * FROM input_data WHERE a > 5")
     drain(loader.start(topic(spark, place + "/topic"), place + "/check", "empty"))
-    assert LandedTable(spark, loader.root).versions() == []
+    assert LandedTable(spark, loader.root).schemas.versions() == []
 
 
 def test_console_stream(spark, place):

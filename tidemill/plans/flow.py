@@ -18,10 +18,10 @@ from ..operators.clean import clean_data, passthrough
 from ..operators.flatten import json_flatten
 from ..operators.partitioning import add_partition
 from ..operators.sql import sql_transform
-from ..schema import schema_evolution
-from ..session import shared_root
+from ..schema import schema_evolution, schema_from_config
+from ..session import pin_settings, shared_root
 from ..sinks.files import parquet_dir, stdout_pretty
-from ..sinks.landed import LandedTable
+from ..sinks.landed import LandedTable, SchemaLog, evolve_to_log
 from ..sources.csv_files import csv_scan
 from ..sources.kafka import Reader, connector, kafka_stream
 from ..streaming.ingest import each_batch
@@ -42,7 +42,17 @@ def load_spec(source: Mapping | str | Path) -> dict:
     return yaml.safe_load(text)
 
 
-def _transform(entry: Mapping) -> Step:
+def _evolve(df: DataFrame, entry: Mapping, registry: str | None) -> DataFrame:
+    """Against the fields the entry declares, or against what earlier runs and batches registered."""
+    options = (entry.get("auto_infer", False), entry.get("strict_mode", False))
+    if entry.get("schema"):
+        return schema_evolution(df, schema_from_config(entry["schema"]), *options)
+    if registry is None:
+        return df
+    return evolve_to_log(df, SchemaLog(df.sparkSession, f"{registry}/{entry['id']}"), *options)
+
+
+def _transform(entry: Mapping, registry: str | None) -> Step:
     kind = entry["type"]
     if kind == "passthrough":
         return passthrough
@@ -61,9 +71,7 @@ def _transform(entry: Mapping) -> Step:
     if kind == "partition":
         return lambda df: add_partition(df, entry["partition_by"], entry.get("partition_format", ""))
     if kind == "schema_evolution":
-        return lambda df: schema_evolution(
-            df, entry.get("registered"), entry.get("auto_infer", False), entry.get("strict_mode", False)
-        )
+        return lambda df: _evolve(df, entry, registry)
     if kind == "sql_transform":
         return lambda df: sql_transform(df, entry["query"])
     raise ValueError(f"unknown transform type {kind}")
@@ -105,8 +113,9 @@ class Flow:
     def group(self, name: str) -> list[str]:
         return [n for n, entry in self.nodes.items() if entry["group"] == name]
 
-    def frames(self, inputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        """The frame of every node that some input reaches; several parents are united by name."""
+    def frames(self, inputs: Mapping[str, DataFrame], registry: str | None = None) -> dict[str, DataFrame]:
+        """The frame of every node that some input reaches; several parents are united by name.
+        ``registry`` is the folder schema steps remember their schemas in."""
         built: dict[str, DataFrame] = dict(inputs)
         for name in self.order:
             if name in built:
@@ -116,7 +125,7 @@ class Flow:
                 continue
             df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), arriving)
             entry = self.nodes[name]
-            built[name] = _transform(entry)(df) if entry["group"] == "transforms" else df
+            built[name] = _transform(entry, registry)(df) if entry["group"] == "transforms" else df
         return built
 
 
@@ -160,7 +169,7 @@ def run_flow(
     numbers within the batch. The SQL functions of :mod:`tidemill.functions.text` can be used in queries. ``every`` is the trigger interval; without it topics are drained.
     """
     flow = Flow(load_spec(source))
-    register_functions(spark)
+    register_functions(pin_settings(spark))
     given = dict(inputs or {})
     tables: dict[str, DataFrame] = {}
     streams: dict[str, DataFrame] = {}
@@ -178,12 +187,13 @@ def run_flow(
     results: dict = {"queries": []}
     sinks = flow.group("sinks")
     if tables:
-        built = flow.frames(tables)
+        built = flow.frames(tables, f"{checkpoint}/schemas" if checkpoint else None)
         for name in sinks:
             if name in built:
                 results[name] = _write(built[name], flow.nodes[name], warehouse, None)
     for name, stream in streams.items():
-        place = f"{checkpoint or shared_root(spark) + '/tidemill/flows/' + flow.spec['name']}/{name}"
+        progress = checkpoint or f"{shared_root(spark)}/tidemill/flows/{flow.spec['name']}"
+        place = f"{progress}/{name}"
         entry = flow.nodes[name]
         mapping = entry.get("topic_mapping")
         if mapping:
@@ -199,7 +209,8 @@ def run_flow(
             results[name] = root
             results["queries"].append(loader.start(stream, place, name, every))
         else:
-            results["queries"].append(each_batch(stream, _batch_runner(flow, name, warehouse), place, name, every))
+            run = _batch_runner(flow, name, warehouse, f"{progress}/schemas")
+            results["queries"].append(each_batch(stream, run, place, name, every))
             for sink in sinks:
                 target = flow.nodes[sink]
                 if target["type"] == "parquet_dir":
@@ -209,7 +220,7 @@ def run_flow(
     return results
 
 
-def _batch_runner(flow: Flow, source: str, warehouse: str | None):
+def _batch_runner(flow: Flow, source: str, warehouse: str | None, registry: str):
     entry = flow.nodes[source]
 
     def run(batch: DataFrame, load_id: str) -> None:
@@ -219,7 +230,7 @@ def _batch_runner(flow: Flow, source: str, warehouse: str | None):
             rows = parse_messages(batch, entry.get("schema")) if is_text else batch
             if not rows.columns:
                 return
-            built = flow.frames({source: rows})
+            built = flow.frames({source: rows}, registry)
             for sink in flow.group("sinks"):
                 if sink in built:
                     _write(built[sink], flow.nodes[sink], warehouse, load_id)

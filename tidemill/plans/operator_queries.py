@@ -22,7 +22,7 @@ from ..operators.routing import tagged
 from ..operators.sql import sql_transform
 from ..operators.ticker import preferred_quote, unpivot_ticker
 from ..schema import conform_and_union, infer_schema, nested_paths, schema_evolution, schema_from_config
-from ..session import scratch_path, use_utc
+from ..session import scratch_path, pin_settings
 from ..sinks.files import kafka_frame, parquet_dir, partitioned_write
 from ..sinks.landed import LandedTable
 from ..sources.csv_files import csv_scan
@@ -46,7 +46,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[name] = lambda spark, folder: function(use_utc(spark), folder)
+        QUERIES[name] = lambda spark, folder: function(pin_settings(spark), folder)
         if sql:
             ORACLE[name] = with_views(sql)
         return function

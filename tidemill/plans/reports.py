@@ -20,7 +20,7 @@ from ..operators.overview import overview
 from ..operators.quality import profile
 from ..operators.ranking import latest, number_rows
 from ..operators.sql import sql_transform
-from ..session import use_utc
+from ..session import pin_settings
 from . import datasets, flights, market, news, retail, tracks, views
 from .views import AS_OF, with_views
 
@@ -50,7 +50,7 @@ def report(name: str, sql: str, exact: bool = False) -> Callable[[Query], Query]
 
     def add(query: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            result = query(use_utc(spark), folder)
+            result = query(pin_settings(spark), folder)
             return result if exact else rounded(result)
 
         QUERIES[name] = run

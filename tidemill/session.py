@@ -16,7 +16,6 @@ def build_session(app_name: str = "tidemill", master: str | None = None, **extra
     """
     builder = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -25,15 +24,21 @@ def build_session(app_name: str = "tidemill", master: str | None = None, **extra
     )
     if master:
         builder = builder.master(master)
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in {**PINNED, **extra}.items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the only session setting that changes results: the time zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+# Settings that change results: the zone times are read in, and whether a JSON object that repeats a
+# key is refused or its last value taken.
+PINNED = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
+
+
+def pin_settings(spark: SparkSession) -> SparkSession:
+    """Set what results depend on in a session somebody else has built."""
+    for key, value in PINNED.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import SchemaMismatch, conform, merge_schemas
+from ..schema import SchemaMismatch, check_strict, conform, merge_schemas
 from .files import partitioned
 
 _VERSIONS = "schema_id INT, struct STRING, committed_at STRING"
@@ -37,57 +37,84 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-class LandedTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition_by = list(partition_by)
+class SchemaLog:
+    """The versions of a schema, one small folder each: ``{root}/schema_id=<n>``."""
 
-    # schema history
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
     def versions(self) -> list[tuple[int, T.StructType, str]]:
-        """All schema versions, oldest first."""
-        log = self._log("schemas", _VERSIONS)
-        if log is None:
-            return []
+        """All versions, oldest first."""
+        log = read_log(self.spark, self.root, _VERSIONS)
         rows = log.orderBy("schema_id").collect()
         return [(r["schema_id"], T.StructType.fromJson(json.loads(r["struct"])), r["committed_at"]) for r in rows]
 
-    def schema(self) -> T.StructType | None:
+    def current(self) -> T.StructType | None:
         known = self.versions()
         return known[-1][1] if known else None
 
     def evolve(self, incoming: T.StructType, allowed: bool) -> tuple[int, T.StructType]:
-        """The version to write under. New columns and widened types make a new version if allowed;
-        if not, a new column is an error rather than silently lost."""
+        """The version to use for rows that come with ``incoming``. The first one is registered;
+        later, new columns and widened types make a new version if allowed, else an error, rather
+        than being lost silently."""
         known = self.versions()
         if not known:
-            return self._register(1, _relaxed(incoming))
+            return self.register(1, _relaxed(incoming))
         current_id, current, _ = known[-1]
         merged = _relaxed(merge_schemas(current, incoming))
         if merged == _relaxed(current):
             return current_id, current
         if not allowed:
             raise SchemaMismatch(f"{self.root}: schema evolution is off and the rows change the schema")
-        return self._register(current_id + 1, merged)
+        return self.register(current_id + 1, merged)
 
-    def _register(self, schema_id: int, schema: T.StructType) -> tuple[int, T.StructType]:
-        # A version's folder is written once: of two writers adding the same number one fails.
+    def register(self, schema_id: int, schema: T.StructType) -> tuple[int, T.StructType]:
+        """A version's folder is written once: of two writers adding the same number one fails."""
         row = self.spark.range(1).select(
             F.lit(schema.json()).alias("struct"), F.lit(_now()).alias("committed_at")
         )
-        row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/schemas/schema_id={schema_id}")
+        row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/schema_id={schema_id}")
         return schema_id, schema
 
+
+def evolve_to_log(df: DataFrame, log: SchemaLog, auto_infer: bool = False, strict_mode: bool = False) -> DataFrame:
+    """Conform rows to a registered schema that lives on from run to run and batch to batch.
+
+    The first rows register theirs. After that strict mode raises on any difference, ``auto_infer``
+    widens the registered schema, and otherwise columns it does not know are dropped.
+    """
+    registered = log.current()
+    if registered is None:
+        registered = log.evolve(df.schema, True)[1]
+    if strict_mode:
+        check_strict(df.schema, registered)
+    return conform(df, log.evolve(df.schema, True)[1] if auto_infer else registered)
+
+
+class LandedTable:
+    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.partition_by = list(partition_by)
+        self.schemas = SchemaLog(spark, f"{self.root}/schemas")
+
+    def schema(self) -> T.StructType | None:
+        return self.schemas.current()
+
     # loads
 
     def append(self, df: DataFrame, load_id: str | None = None, evolve: bool = False) -> str:
         """Add rows as one load and log it; the same ``load_id`` again replaces that load."""
         load = load_id or uuid.uuid4().hex
-        schema_id, schema = self.evolve(df.schema, evolve)
+        schema_id, schema = self.schemas.evolve(df.schema, evolve)
         rows = partitioned(conform(df, schema), self.partition_by).withColumn("schema_id", F.lit(schema_id))
         target = f"{self.root}/data/load_id={load}"
-        rows.write.mode("overwrite").partitionBy("schema_id", *self.partition_by).parquet(target)
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("schema_id", *self.partition_by)
+            .parquet(target)
+        )
         self._log_load(load, target, schema_id)
         return load
 
@@ -114,9 +141,7 @@ class LandedTable:
     def loads(self) -> DataFrame:
         """The load log with snapshot numbers, parents and running totals. One row per load, so
         the window over the whole log is small."""
-        log = self._log("loads", _LOADS)
-        if log is None:
-            log = self.spark.createDataFrame([], _LOADS)
+        log = read_log(self.spark, f"{self.root}/loads", _LOADS)
         in_order = Window.partitionBy().orderBy("committed_at", "load_id")
         so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         numbered = log.withColumn("snapshot_id", F.row_number().over(in_order))
@@ -136,7 +161,7 @@ class LandedTable:
         Parquet columns cannot be read as every wider type. Versions are few; partition columns
         stay partition columns, so filters on them prune.
         """
-        known = self.versions()
+        known = self.schemas.versions()
         if not known:
             raise FileNotFoundError(f"no landed table at {self.root}")
         current = known[-1][1]
@@ -156,13 +181,15 @@ class LandedTable:
             result = part if result is None else result.unionByName(part)
         return result if result is not None else self.spark.createDataFrame([], current)
 
-    def _log(self, name: str, schema: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).json(f"{self.root}/{name}")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A log of small JSON rows, empty while nothing was logged."""
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def _relaxed(schema: T.StructType) -> T.StructType:

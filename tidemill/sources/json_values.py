@@ -18,8 +18,9 @@ DEFAULTS = {
 
 
 def _is_object(value: Column) -> Column:
-    """Well-formed JSON whose top level is an object; NULL text is no record at all."""
-    return F.ltrim(value).startswith("{") & F.try_parse_json(value).isNotNull()
+    """Well-formed JSON whose top level is an object. Only keys are looked at; an object that
+    repeats a key is one too, and its last value counts."""
+    return F.json_object_keys(value).isNotNull()
 
 
 def split_json(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -30,11 +31,10 @@ def split_json(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFram
     """
     text = F.col(value)
     present = df.filter(text.isNotNull())
-    object_ = F.coalesce(_is_object(text), F.lit(False))
-    bad = present.filter(~object_).withColumn(
+    bad = present.filter(~_is_object(text)).withColumn(
         "reason", F.when(F.try_parse_json(text).isNull(), "malformed").otherwise("not an object")
     )
-    return present.filter(object_), bad
+    return present.filter(_is_object(text)), bad
 
 
 def parse_json(
