@@ -172,6 +172,16 @@ def test_topic_to_table_evolves_stage_by_stage(spark, place):
     assert {f.name for f in table.schema().fields} >= {"timestamp", "metadata", "score", "new_field", "side"}
 
 
+def test_fields_once_seen_stay_for_sparse_batches(spark, place):
+    src = place + "/topic"
+    loader = TopicTable(place + "/t", evolve=True, sql="SELECT id, price * 2 AS twice FROM input_data")
+    for i, message in enumerate(({"id": 1, "price": 1.5}, {"id": 2}, {"id": 3, "price": 4})):
+        lines(src, f"{i}.json", [message])
+        drain(loader.start(topic(spark, src), place + "/check", "sparse"))
+    rows = LandedTable(spark, loader.root).read().orderBy("id").collect()
+    assert [(r["id"], r["twice"]) for r in rows] == [(1, 3.0), (2, None), (3, 8.0)]
+
+
 def test_topic_needs_a_schema(spark):
     df = spark.createDataFrame([('{"a":1}',)], "value string")
     with pytest.raises(ValueError, match="no schema available"):

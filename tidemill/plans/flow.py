@@ -110,6 +110,12 @@ class Flow:
         names = list(self.nodes)
         return list(zip(names, names[1:]))
 
+    @property
+    def evolves(self) -> bool:
+        """Whether tables may change their schema where a sink does not say."""
+        settings = (self.spec.get("config") or {}).get("processing") or {}
+        return bool(settings.get("auto_schema_evolution", False))
+
     def group(self, name: str) -> list[str]:
         return [n for n, entry in self.nodes.items() if entry["group"] == name]
 
@@ -134,7 +140,9 @@ def _table_root(spark: SparkSession, entry: Mapping, warehouse: str | None) -> s
     return f"{base.rstrip('/')}/{entry.get('bucket', 'default')}/{entry['table_name']}"
 
 
-def _write(df: DataFrame, entry: Mapping, warehouse: str | None, load_id: str | None) -> str | None:
+def _write(
+    df: DataFrame, entry: Mapping, warehouse: str | None, load_id: str | None, evolve: bool
+) -> str | None:
     kind = entry["type"]
     if kind == "stdout_pretty":
         stdout_pretty(df)
@@ -147,7 +155,7 @@ def _write(df: DataFrame, entry: Mapping, warehouse: str | None, load_id: str |
         return target
     if kind == "iceberg":
         table = LandedTable(df.sparkSession, _table_root(df.sparkSession, entry, warehouse), entry.get("partition_by", ()))
-        table.append(df, load_id, evolve=entry.get("auto_schema_evolution", False))
+        table.append(df, load_id, evolve=entry.get("auto_schema_evolution", evolve))
         return table.root
     raise ValueError(f"unknown sink type {kind}")
 
@@ -190,7 +198,7 @@ def run_flow(
         built = flow.frames(tables, f"{checkpoint}/schemas" if checkpoint else None)
         for name in sinks:
             if name in built:
-                results[name] = _write(built[name], flow.nodes[name], warehouse, None)
+                results[name] = _write(built[name], flow.nodes[name], warehouse, None, flow.evolves)
     for name, stream in streams.items():
         progress = checkpoint or f"{shared_root(spark)}/tidemill/flows/{flow.spec['name']}"
         place = f"{progress}/{name}"
@@ -202,7 +210,7 @@ def run_flow(
                 root,
                 entry.get("schema"),
                 mapping.get("sql_transform"),
-                mapping.get("auto_schema_evolution", False),
+                mapping.get("auto_schema_evolution", flow.evolves),
                 tuple(mapping.get("partition_by") or ()),
                 mapping.get("dead_letters"),
             )
@@ -227,13 +235,14 @@ def _batch_runner(flow: Flow, source: str, warehouse: str | None, registry: str)
         batch = batch.persist()
         try:
             is_text = batch.columns == ["value"]
-            rows = parse_messages(batch, entry.get("schema")) if is_text else batch
+            log = SchemaLog(batch.sparkSession, f"{registry}/{source}")
+            rows = parse_messages(batch, entry.get("schema"), log) if is_text else batch
             if not rows.columns:
                 return
             built = flow.frames({source: rows}, registry)
             for sink in flow.group("sinks"):
                 if sink in built:
-                    _write(built[sink], flow.nodes[sink], warehouse, load_id)
+                    _write(built[sink], flow.nodes[sink], warehouse, load_id, flow.evolves)
         finally:
             batch.unpersist()
 

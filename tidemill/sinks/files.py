@@ -55,3 +55,15 @@ def kafka_write(df: DataFrame, brokers: str, topic: str, key: Column | None = No
     kafka_frame(df, key).write.format("kafka").option("kafka.bootstrap.servers", brokers).option(
         "topic", topic
     ).save()
+
+
+def kafka_stream_write(df: DataFrame, brokers: str, topic: str, checkpoint: str, key: Column | None = None):
+    """The same for a stream: at least once, since the connector does not take part in commits."""
+    return (
+        kafka_frame(df, key)
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", brokers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )

@@ -6,26 +6,32 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from ..operators.sql import sql_transform
 from ..schema import infer_schema, schema_from_config
 from ..schema.spec import infers
-from ..sinks.landed import LandedTable
+from ..sinks.landed import LandedTable, SchemaLog
 from ..sources.json_values import parse_json, split_json
 from .ingest import each_batch
 
 
-def parse_messages(batch: DataFrame, schema_config: Mapping | None, known: T.StructType | None = None) -> DataFrame:
-    """Typed rows of a batch of JSON messages, by the configured or the inferred schema."""
-    fixed = schema_from_config(schema_config or {})
-    if infers(schema_config):
-        return parse_json(batch, infer_schema(batch))
-    if fixed.fields:
+def parse_messages(
+    batch: DataFrame, schema_config: Mapping | None = None, log: SchemaLog | None = None
+) -> DataFrame:
+    """Typed rows of a batch of JSON messages, by the configured or the inferred schema.
+
+    With a log, an inferring topic remembers every field it has seen: a batch in which a field
+    happens to be missing still has the column, and a widened type stays wide.
+    """
+    if not infers(schema_config):
+        fixed = schema_from_config(schema_config or {})
+        if not fixed.fields:
+            raise ValueError("no schema available: declare fields or set auto_infer")
         return parse_json(batch, fixed)
-    if known is not None:
-        return parse_json(batch, known)
-    raise ValueError("no schema available: declare fields or set auto_infer")
+    found = infer_schema(batch)
+    if log is not None:
+        found = log.evolve(found, True)[1] if found.fields else log.current() or found
+    return parse_json(batch, found)
 
 
 @dataclass
@@ -49,7 +55,8 @@ class TopicTable:
             if self.dead_letters:
                 _, bad = split_json(batch)
                 bad.write.mode("overwrite").json(f"{self.dead_letters}/load_id={load_id}")
-            rows = parse_messages(batch, self.schema_config)
+            log = SchemaLog(batch.sparkSession, f"{self.root}/messages")
+            rows = parse_messages(batch, self.schema_config, log)
             if not rows.columns:
                 return
             if self.sql:
