@@ -199,3 +199,20 @@ def test_topic_mapping_in_a_flow(spark, place):
                     reader=lambda s, o: s.readStream.text(place + "/t"))
     drain(done["queries"][0])
     assert [r["a"] for r in LandedTable(spark, done["in"]).read().collect()] == [2]
+
+
+def test_topic_to_files_in_a_flow(spark, place):
+    """Row numbers over a stream: each micro-batch goes through the whole flow."""
+    messages(place + "/t", "0.json", [{"a": 1}, {"a": 2}])
+    spec = {
+        "name": "files",
+        "sources": [{"type": "kafka", "id": "in", "brokers": "x:1", "group_id": "g", "topic": "t"}],
+        "transforms": [
+            {"type": "sql_transform", "id": "q", "query": "SELECT a, ROW_NUMBER() OVER (ORDER BY a DESC) AS n FROM input_data"}
+        ],
+        "sinks": [{"type": "parquet_dir", "id": "out", "path": place + "/out"}],
+    }
+    for _ in range(2):
+        done = run_flow(spark, spec, checkpoint=place + "/c", reader=lambda s, o: s.readStream.text(place + "/t"))
+        drain(done["queries"][0])
+    assert sorted((r["a"], r["n"]) for r in spark.read.parquet(done["out"]).collect()) == [(1, 2), (2, 1)]

@@ -12,7 +12,7 @@ from tidemill.operators.ranking import latest, number_rows, top_k, with_share
 from tidemill.operators.routing import route, tagged
 from tidemill.operators.sql import sql_transform
 from tidemill.operators.ticker import preferred_quote, unpivot_ticker
-from tidemill.plans import flights
+from tidemill.plans import flights, reports, views
 
 # Ranking
 
@@ -213,6 +213,13 @@ def test_enrich_market_and_news(spark):
     assert rows == [("neutral", 2, "major"), ("positive", None, "aggregator"), ("negative", 0, "other")]
 
 
+def test_market_enrichment_as_sql_and_as_columns(spark):
+    raw = views.raw_market(spark, "/root/testdata/sf0.001")
+    by_sql = sql_transform(raw, reports.ENRICH_MARKET_SQL)
+    by_columns = enrich.enrich_market(raw).select(by_sql.columns)
+    assert by_sql.exceptAll(by_columns).count() == 0 and by_columns.exceptAll(by_sql).count() == 0
+
+
 def test_engagement_keeps_written_precedence(spark):
     df = spark.sql(
         "SELECT '1' AS id, 't' AS title, 'cc' AS content, 0D AS sentiment_score, 3 AS votes_positive, 2 AS votes_liked, "

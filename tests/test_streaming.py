@@ -83,6 +83,20 @@ def test_stream_of_several_loads_equals_the_batch(spark, place):
     assert sorted(map(tuple, table.read().select("id", "ts", "v", "k").collect())) == expected
 
 
+def test_a_running_stream_picks_up_new_files_until_stopped(spark, place):
+    src, root = place + "/src", place + "/t"
+    add(spark, src, events(spark, 0, 10))
+    query = to_landed(parquet_stream(spark, src), root, place + "/check", "running", every="1 second")
+    try:
+        query.processAllAvailable()
+        add(spark, src, events(spark, 10, 25))
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert LandedTable(spark, root).read().count() == 25
+
+
 def rows_of(df):
     return sorted(tuple(r) for r in df.collect())
 

@@ -31,9 +31,9 @@ def clean_data(
     """Trim and re-case text columns and drop rows with NULLs; other columns are untouched.
 
     An unknown case name changes nothing. Text that is an ISO time stamp keeps its letters, so that
-    a later step can still take its date: Spark reads T and Z only in upper case. ``subset`` narrows which columns must be present. No
-    change makes or removes a NULL, so rows are dropped first: the test then runs on the stored
-    columns, inside the scan where the format allows it.
+    a later step can still take its date: Spark reads T and Z only in upper case. ``subset`` narrows
+    which columns must be present. No change makes or removes a NULL, so rows are dropped first: the
+    test then runs on the stored columns, inside the scan where the format allows it.
     """
     kept = df
     if remove_nulls:

@@ -174,7 +174,8 @@ def run_flow(
     Returns for each sink where it wrote, and under ``queries`` the streaming queries started.
     ``inputs`` may supply the frame of a source. For a stream every micro-batch goes through the
     whole flow from its source, so transforms may use anything a table allows, including row
-    numbers within the batch. The SQL functions of :mod:`tidemill.functions.text` can be used in queries. ``every`` is the trigger interval; without it topics are drained.
+    numbers within the batch. The SQL functions of :mod:`tidemill.functions.text` can be used in
+    queries. ``every`` is the trigger interval; without it topics are drained.
     """
     flow = Flow(load_spec(source))
     register_functions(pin_settings(spark))

@@ -266,8 +266,8 @@ def _passthrough(spark, folder):
 
 @query("trf2_clean_title", """
     select doc_id, array_to_string(list_transform(list_filter(regexp_split_to_array(text, '[\\s]+'), lambda w: w <> ''),
-           lambda w: concat(case w[1] when 'ß' then 'SS' else upper(w[1]) end, w[2:])), ' ') as text, concat(upper(lang[1]), lang[2:]) as lang
-    from documents""")
+           lambda w: concat(case w[1] when 'ß' then 'SS' else upper(w[1]) end, w[2:])), ' ') as text,
+           concat(upper(lang[1]), lang[2:]) as lang from documents""")
 def _clean(spark, folder):
     padded = table(spark, folder, "documents").select(
         "doc_id", F.concat(F.lit(" \t "), "text", F.lit(" \n")).alias("text"), "lang"
@@ -353,18 +353,20 @@ def _split(spark, folder):
     return tagged(_ROUTES)(table(spark, folder, "events").select("event_id", "event_type"))
 
 
-_RATES = "(values ('USD', 1.0), ('EUR', 0.9), ('GBP', 0.8), ('SEK', 10.5)) as r(currency, rate)"
+_QUOTED = {"USD": 1.0, "EUR": 0.9, "GBP": 0.8, "SEK": 10.5}
+_RATES = f"(values {', '.join(map(str, _QUOTED.items()))}) as r(currency, rate)"
 
 
 def _ticker(spark: SparkSession, folder: str) -> DataFrame:
     """A payload per event: quotes in four currencies; clicks come without dollars, errors empty."""
 
-    def quote(rate: float):
-        last = F.col("value") * F.lit(rate)
-        return F.struct((last + 1).alias("15m"), (last - 1).alias("buy"), last.alias("last"), last.alias("sell"), F.lit("#").alias("symbol"))
+    def quote(name: str):
+        last = F.col("value") * F.lit(_QUOTED[name])
+        fields = {"15m": last + 1, "buy": last - 1, "last": last, "sell": last, "symbol": F.lit("#")}
+        return F.struct(*[column.alias(field) for field, column in fields.items()]).alias(name)
 
-    full = F.to_json(F.struct(*[quote(r).alias(c) for c, r in (("USD", 1.0), ("EUR", 0.9), ("GBP", 0.8), ("SEK", 10.5))]))
-    short = F.to_json(F.struct(quote(0.9).alias("EUR"), quote(10.5).alias("SEK")))
+    full = F.to_json(F.struct(*[quote(name) for name in _QUOTED]))
+    short = F.to_json(F.struct(quote("EUR"), quote("SEK")))
     payload = F.when(F.col("event_type") == "error", "{}").when(F.col("event_type") == "click", short).otherwise(full)
     return table(spark, folder, "events").select("event_id", payload.alias("value"), F.col("ts").alias("timestamp"))
 
@@ -400,6 +402,37 @@ def _daily(spark, folder):
     return rounded(daily_price_and_news(views.market(spark, folder), news))
 
 
+@query("fn_expressions", """
+    select event_id, 7 // 2 as whole, cast(7 as double) / 2 as fraction, case when user_id = 0 then null
+           else value / user_id end as per_user, value between 10 and 20 as middling,
+           event_type in ('click', 'view') as browsing, (event_type = 'purchase') = true as paid,
+           replace(replace(props, '{', ''), '}', '') as bare, cast(length(props) as bigint) as props_length,
+           cast(len(string_split(props, ':')) as bigint) as parts, cast(ts as date) as day,
+           cast(extract(year from ts) as bigint) as year, cast(extract(month from ts) as bigint) as month,
+           cast(extract(day from ts) as bigint) as day_of_month, cast(extract(hour from ts) as bigint) as hour,
+           ts >= timestamp '2024-01-31 00:00:00' - interval 7 day as last_week,
+           ts >= timestamp '2024-01-31 00:00:00' - interval 24 hour as last_day, -value as negated, 'events' as source,
+           try_cast(event_type as integer) as no_number
+    from events""")
+def _expressions(spark, folder):
+    """The scalar functions in use, as SQL text. Names are written in upper case on purpose."""
+    return sql_transform(
+        table(spark, folder, "events"),
+        """
+        SELECT EVENT_ID AS event_id, 7 DIV 2 AS whole, 7 / 2 AS fraction,
+               TRY_DIVIDE(VALUE, USER_ID) AS per_user, VALUE BETWEEN 10 AND 20 AS middling,
+               EVENT_TYPE IN ('click', 'view') AS browsing, (EVENT_TYPE = 'purchase') = TRUE AS paid,
+               REGEXP_REPLACE(PROPS, '[{}]', '') AS bare, CAST(LENGTH(PROPS) AS BIGINT) AS props_length,
+               CAST(ARRAY_SIZE(SPLIT(PROPS, ':')) AS BIGINT) AS parts, DATE(TS) AS day,
+               CAST(EXTRACT(YEAR FROM TS) AS BIGINT) AS year, CAST(EXTRACT(MONTH FROM TS) AS BIGINT) AS month,
+               CAST(EXTRACT(DAY FROM TS) AS BIGINT) AS day_of_month, CAST(HOUR(TS) AS BIGINT) AS hour,
+               TS >= TIMESTAMP_NTZ '2024-01-31 00:00:00' - INTERVAL 7 DAY AS last_week,
+               TS >= TIMESTAMP_NTZ '2024-01-31 00:00:00' - INTERVAL '24' HOUR AS last_day, -VALUE AS negated,
+               'events' AS source, TRY_CAST(EVENT_TYPE AS INT) AS no_number
+        FROM INPUT_DATA""",
+    )
+
+
 # Quality
 
 
@@ -544,7 +577,11 @@ _FLOW = {
     "transforms": [
         {"type": "clean_data", "id": "clean", "trim_strings": True, "normalize_case": "upper"},
         {"type": "sql_transform", "id": "people", "query": "SELECT * FROM input_data WHERE event_type <> 'ERROR'"},
-        {"type": "sql_transform", "id": "faults", "query": "SELECT *, 'check' AS action FROM input_data WHERE event_type = 'ERROR'"},
+        {
+            "type": "sql_transform",
+            "id": "faults",
+            "query": "SELECT *, 'check' AS action FROM input_data WHERE event_type = 'ERROR'",
+        },
     ],
     "sinks": [
         {"type": "iceberg", "id": "people-table", "table_name": "people", "bucket": "lake"},

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import enrich
-from ..functions.text import register_functions
+from ..functions.text import UNICODE_WHITESPACE, register_functions
 from ..operators.clean import clean_data
 from ..operators.overview import overview
 from ..operators.quality import profile
@@ -425,7 +425,7 @@ def _enriched_market(spark, folder):
 
 
 _TRIM_CHARS = "|| ".join(
-    f"chr({c}) " for c in [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    f"chr({ord(c)}) " for c in UNICODE_WHITESPACE
 )
 
 
