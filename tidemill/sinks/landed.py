@@ -46,7 +46,7 @@ class SchemaLog:
     def versions(self) -> list[tuple[int, T.StructType, str]]:
         """All versions, oldest first."""
         log = read_log(self.spark, self.root, _VERSIONS)
-        rows = log.orderBy("schema_id").collect()
+        rows = sorted(log.collect(), key=lambda row: row["schema_id"])
         return [(r["schema_id"], T.StructType.fromJson(json.loads(r["struct"])), r["committed_at"]) for r in rows]
 
     def current(self) -> T.StructType | None:
