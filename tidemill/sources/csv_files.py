@@ -31,9 +31,10 @@ def _fits(column: Column, data_type: T.DataType) -> Column:
 
 
 def _infer(text: DataFrame) -> T.StructType:
-    """Column types from at most 100 rows, tested in one aggregate; empty fields fit any type and a
-    column with nothing but empty fields is text."""
-    sample = text.limit(SAMPLE_ROWS)
+    """Column types from at most 100 rows; empty fields fit any type and a column with nothing but
+    empty fields is text. The rows are taken to the driver first: taking stops at the first file that
+    has enough of them, where an aggregate over a limit would open every file."""
+    sample = text.sparkSession.createDataFrame(text.take(SAMPLE_ROWS), text.schema)
     tests = [
         F.bool_and(F.when(F.col(f"`{name}`").isNotNull(), _fits(F.col(f"`{name}`"), t))).alias(f"{i}_{j}")
         for i, name in enumerate(text.columns)
