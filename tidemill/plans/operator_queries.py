@@ -340,7 +340,7 @@ def _count_window(spark, folder):
         counts = sql_transform(batch, "SELECT event_type, COUNT(*) AS events FROM input_data GROUP BY event_type")
         counts.write.mode("overwrite").parquet(f"{out}/load_id={load_id}")
 
-    drain(each_batch(parquet_stream(spark, f"{files}/*.parquet", 2), evaluate, checkpoint, "windows"))
+    drain(each_batch(parquet_stream(spark, files, 2), evaluate, checkpoint, "windows"))
     return spark.read.parquet(out).groupBy("event_type").agg(F.sum("events").alias("events"))
 
 
@@ -561,7 +561,7 @@ def _windows(spark, folder):
     few values often end in a 5 at the digit rounded away: a nudge keeps both sides from differing."""
     files = scratch_path(spark, "window-events")
     table(spark, folder, "events").select("ts", "event_type", "value").repartition(4).write.parquet(files)
-    stream = parquet_stream(spark, f"{files}/*.parquet", 2)
+    stream = parquet_stream(spark, files, 2)
     hourly = window_stats(stream, "ts", "value", "1 hour", ["event_type"], late_by="365 days")
     out, checkpoint = scratch_path(spark, "hourly"), scratch_path(spark, "hourly-checkpoint")
     drain(to_updates(hourly, out, checkpoint))
