@@ -6,7 +6,8 @@ from oracle import compare, connect
 import __spark_entry__ as entry_points
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES = {k: v for k, v in entry_points.queries().items() if k not in entry_points.TEXT_QUERIES}
+ORACLE = {k: v for k, v in entry_points.oracle_sql().items() if k not in entry_points.TEXT_QUERIES}
 
 
 @pytest.fixture(scope="module")
