@@ -8,20 +8,57 @@ from pyspark.sql import functions as F
 from ..session import pin_settings
 from .bin_slack import pack
 from .exact_dedup import dedup_classes
+from .extendible import BITS, SHARD_BYTES, shard
 from .line_quality import line_quality
 from .ngram_join import ngram_join
+from .secret_scan import BASE, RULES, joined, new_ledger, scan_versions
 from .source_mix import mix_sources
+from .suffix_dedup import suffix_dedup
+from .url_ratio import judge_urls
+from .warc import archive_pages
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return pin_settings(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in each document, through a ledger that begins empty."""
+    base = [r.kind for r in BASE]
+    found = scan_versions(_table(spark, folder, "documents"), new_ledger(spark))
+    count = lambda rule: F.size(F.filter("found", lambda x: x["rule"] == rule.name)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(r).alias(f"n_{r.kind}") for r in BASE],
+        F.sha2(joined(F.col("found"), base), 256).alias("base_sha256"),
+        joined(F.col("found"), [r.kind for r in RULES]).alias("spans"),
+    )
+
+
+def op2_url_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on each page's URL."""
+    return judge_urls(_table(spark, folder, "pages"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's class of near copies and its number of links."""
     return ngram_join(_table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op4_warc_assembly(spark: SparkSession, folder: str) -> DataFrame:
+    """Each page as its archive record has it."""
+    return archive_pages(_table(spark, folder, "pages"), with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without strings that smaller documents have."""
+    return suffix_dedup(_table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How many words the mix takes of each document."""
     taken = F.sum(F.when(F.col("shard").isNotNull(), F.col("size")).otherwise(0))
@@ -45,22 +82,43 @@ def op8_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def op9_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of each document."""
+    return shard(_table(spark, folder, "documents")).drop("row")
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The copy that stays for each document."""
     return dedup_classes(_table(spark, folder, "documents")).drop("row")
 
 
 QUERIES = {
+    "op1_secret_ledger": op1_secret_ledger,
+    "op2_url_ratio": op2_url_ratio,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_warc_assembly": op4_warc_assembly,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_source_mix": op6_source_mix,
     "op7_line_quality": op7_line_quality,
     "op8_bin_slack": op8_bin_slack,
+    "op9_extendible_sharding": op9_extendible_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 ORACLE = {
+    "op9_extendible_sharding": f"""
+        with own as (
+            select doc_id, strlen(coalesce(text, ''))::bigint as bytes,
+                   lpad(bin(('0x' || md5('=' || doc_id)[1:15])::bigint), {BITS}, '0') as bits
+            from documents),
+        levels as (select *, bits[1:depth] as shard from own, (select unnest(range({BITS} + 1))::int as depth)),
+        buckets as (
+            select depth, shard, sum(bytes)::bigint as shard_bytes, count(*) as shard_rows from levels group by all
+            having sum(bytes) <= {SHARD_BYTES} or count(*) = 1)
+        select doc_id, bytes, shard, depth, shard_bytes, shard_rows from levels join buckets using (depth, shard)
+        qualify row_number() over (partition by doc_id order by depth) = 1""",
     "op10_exact_dedup": f"""
         select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
                row_number() over (partition by normal order by doc_id) = 1 as kept, sha256(normal) as text_sha256
