@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.schema import SchemaMismatch
-from tidemill.sinks.files import kafka_frame, parquet_dir, partitioned_write, stdout_pretty
+from tidemill.sinks.files import kafka_frame, kafka_write, parquet_dir, partitioned_write, stdout_pretty
 from tidemill.sinks.landed import LandedTable, append_to_catalog
 
 
@@ -102,3 +102,32 @@ def test_append_to_catalog(spark, place):
         assert sorted(map(tuple, spark.table("shop.sales").select("a", "b").collect())) == [(1, "x"), (2, "y")]
     finally:
         spark.sql("DROP DATABASE shop CASCADE")
+
+
+def test_loads_that_are_not_logged_do_not_count(spark, place):
+    table = LandedTable(spark, place + "/logged")
+    table.append(spark.range(5), "one")
+    spark.range(7).write.parquet(place + "/logged/data/load_id=two/schema_id=1")
+    assert table.read().count() == 5
+
+
+def test_retyped_values_are_refused_or_kept(spark, place):
+    table = LandedTable(spark, place + "/typed")
+    table.append(spark.sql("SELECT 1L AS a"))
+    text = spark.sql("SELECT * FROM VALUES ('2'), ('x') AS t(a)")
+    with pytest.raises(SchemaMismatch, match="change the type"):
+        table.append(text)
+    table.append(text, "second", evolve=True)
+    assert sorted((r["a"] is None, r["a"]) for r in table.read().collect()) == [(False, 1), (False, 2), (True, None)]
+    assert [(r["column_name"], r["value"], r["load_id"]) for r in table.unfit().collect()] == [("a", "x", "second")]
+    assert {r["load_id"]: r["unfit_values"] for r in table.loads().collect()}["second"] == 1
+
+
+def test_kafka_writers_get_records_and_options(spark, place, monkeypatch):
+    """Without a broker: what the writers hand to Spark."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: seen.update(df=self._df))
+    kafka_write(spark.sql("SELECT 1 AS a, 'k' AS b"), "broker:9092", "topic", F.col("b"))
+    assert seen["df"].columns == ["key", "value"] and seen["df"].first()["value"] == '{"a":1,"b":"k"}'

@@ -97,6 +97,24 @@ def test_a_running_stream_picks_up_new_files_until_stopped(spark, place):
     assert LandedTable(spark, root).read().count() == 25
 
 
+def test_a_new_checkpoint_keeps_earlier_loads(spark, place):
+    root = place + "/t"
+    for part, (first, last) in enumerate(((0, 10), (10, 25))):
+        add(spark, f"{place}/src{part}", events(spark, first, last))
+        drain(to_landed(parquet_stream(spark, f"{place}/src{part}"), root, f"{place}/check{part}", "same"))
+    assert sorted(r["id"] for r in LandedTable(spark, root).read().collect()) == list(range(25))
+
+
+def test_updates_of_a_stream_begun_anew_are_newer(spark, place):
+    src, out = place + "/src", place + "/out"
+    for part in range(3):
+        add(spark, src, events(spark, part * 4, part * 4 + 4))
+        drain(to_updates(window_stats(parquet_stream(spark, src), "ts", "v", "1 day"), out, place + "/one"))
+    add(spark, src, events(spark, 12, 16))
+    drain(to_updates(window_stats(parquet_stream(spark, src), "ts", "v", "1 day"), out, place + "/two"))
+    assert latest_updates(spark.read.parquet(out), ["window_start"]).first()["data_points"] == 16
+
+
 def rows_of(df):
     return sorted(tuple(r) for r in df.collect())
 

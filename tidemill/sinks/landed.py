@@ -3,17 +3,20 @@
 Layout under the table's root::
 
     data/load_id=<id>/schema_id=<n>/<partition columns>/*.parquet
+    unfit/load_id=<id>/*.json         values that did not fit their column's type, as text
     schemas/schema_id=<n>/*.json      one row per schema version
     loads/load_id=<id>/*.json         one row per load
 
 A load replaces its own folder, so repeating it (a replayed micro-batch, a retried job) leaves one
-copy. Where a table format with its own catalog is configured, ``append_to_catalog`` is the
+copy. A load counts from the moment it is in the log: readers leave out folders that are not. This is
+a Parquet layout with an audit, no table format; where a table format with its own catalog is configured, ``append_to_catalog`` is the
 shorter way.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -24,12 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import SchemaMismatch, check_strict, conform, merge_schemas
+from ..schema.evolve import promote
 from .files import partitioned
 
+_TRIES = 40
+_UNFIT = "column_name STRING, value STRING, row STRING"
 _VERSIONS = "schema_id INT, struct STRING, committed_at STRING"
 _LOADS = (
     "load_id STRING, committed_at STRING, operation STRING, schema_id INT, "
-    "added_files BIGINT, added_records BIGINT, added_bytes BIGINT"
+    "added_files BIGINT, added_records BIGINT, added_bytes BIGINT, unfit_values BIGINT"
 )
 
 
@@ -56,12 +62,26 @@ class SchemaLog:
     def evolve(self, incoming: T.StructType, allowed: bool) -> tuple[int, T.StructType]:
         """The version to use for rows that come with ``incoming``. The first one is registered;
         later, new columns and widened types make a new version if allowed, else an error, rather
-        than being lost silently."""
+        than being lost silently. So does a type that the column cannot take in. Where another writer
+        registers the same number first, its version is the one to go on from."""
+        for _ in range(_TRIES):
+            try:
+                return self._evolve(incoming, allowed)
+            except AnalysisException as taken:
+                if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                time.sleep(0.5)
+        return self._evolve(incoming, allowed)
+
+    def _evolve(self, incoming: T.StructType, allowed: bool) -> tuple[int, T.StructType]:
         known = self.versions()
         if not known:
             return self.register(1, _relaxed(incoming))
         current_id, current, _ = known[-1]
         merged = _relaxed(merge_schemas(current, incoming))
+        retyped = [f.name for f in unfit_fields(current, incoming)]
+        if retyped and not allowed:
+            raise SchemaMismatch(f"{self.root}: schema evolution is off and rows change the type of {retyped}")
         if merged == _relaxed(current):
             return current_id, current
         if not allowed:
@@ -104,7 +124,11 @@ class LandedTable:
     # loads
 
     def append(self, df: DataFrame, load_id: str | None = None, evolve: bool = False) -> str:
-        """Add rows as one load and log it; the same ``load_id`` again replaces that load."""
+        """Add rows as one load and log it; the same ``load_id`` again replaces that load.
+
+        With ``evolve``, a value of another type that does not fit its column is NULL there; its text
+        is kept under ``unfit`` with the whole row, and the log has the number of such values.
+        """
         load = load_id or uuid.uuid4().hex
         schema_id, schema = self.schemas.evolve(df.schema, evolve)
         rows = partitioned(conform(df, schema), self.partition_by).withColumn("schema_id", F.lit(schema_id))
@@ -115,10 +139,24 @@ class LandedTable:
             .partitionBy("schema_id", *self.partition_by)
             .parquet(target)
         )
-        self._log_load(load, target, schema_id)
+        unfit = 0
+        if fields := unfit_fields(schema, df.schema):
+            place = f"{self.root}/unfit/load_id={load}"
+            unfit_values(df, schema, fields).write.mode("overwrite").json(place)
+            unfit = self.spark.read.schema(_UNFIT).json(place).count()
+        self._log_load(load, target, schema_id, unfit)
         return load
 
-    def _log_load(self, load: str, target: str, schema_id: int) -> None:
+    def unfit(self) -> DataFrame:
+        """(load_id, column_name, value, row) of all values that did not fit their columns."""
+        return self._logged(read_log(self.spark, f"{self.root}/unfit", f"{_UNFIT}, load_id STRING"))
+
+    def _logged(self, rows: DataFrame) -> DataFrame:
+        """Rows of loads that the log has; ``load_id`` is a partition column, so others are not read."""
+        known = read_log(self.spark, f"{self.root}/loads", _LOADS).select("load_id")
+        return rows.join(known, "load_id", "left_semi")
+
+    def _log_load(self, load: str, target: str, schema_id: int, unfit: int) -> None:
         """Count what was committed, not what tasks reported: a retried task cannot count twice."""
         files = (
             self.spark.read.schema("_ignored STRING")
@@ -135,6 +173,7 @@ class LandedTable:
             F.lit("append").alias("operation"),
             F.lit(schema_id).alias("schema_id"),
             "*",
+            F.lit(unfit).cast("bigint").alias("unfit_values"),
         )
         summary.coalesce(1).write.mode("overwrite").json(f"{self.root}/loads/load_id={load}")
 
@@ -154,13 +193,20 @@ class LandedTable:
 
     # reading
 
+    def read_load(self, load_id: str) -> DataFrame:
+        """The rows of one load under the current schema."""
+        return self._read(load_id)
+
     def read(self) -> DataFrame:
         """All rows under the current schema.
 
         Each version's files are read with the schema they were written under and then cast:
         Parquet columns cannot be read as every wider type. Versions are few; partition columns
-        stay partition columns, so filters on them prune.
+        stay partition columns, so filters on them prune. Loads that are not in the log don't count.
         """
+        return self._read("*")
+
+    def _read(self, load: str) -> DataFrame:
         known = self.schemas.versions()
         if not known:
             raise FileNotFoundError(f"no landed table at {self.root}")
@@ -170,14 +216,14 @@ class LandedTable:
             try:
                 part = (
                     self.spark.read.option("basePath", f"{self.root}/data")
-                    .schema(schema)
-                    .parquet(f"{self.root}/data/load_id=*/schema_id={schema_id}")
+                    .schema(T.StructType([*schema.fields, T.StructField("load_id", T.StringType())]))
+                    .parquet(f"{self.root}/data/load_id={load}/schema_id={schema_id}")
                 )
             except AnalysisException as missing:
                 if missing.getCondition() != "PATH_NOT_FOUND":
                     raise
                 continue
-            part = conform(part, current)
+            part = conform(self._logged(part), current)
             result = part if result is None else result.unionByName(part)
         return result if result is not None else self.spark.createDataFrame([], current)
 
@@ -192,6 +238,32 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
+def unfit_fields(table: T.StructType, incoming: T.StructType) -> list[T.StructField]:
+    """Incoming columns whose type the table's column cannot take in as it is or by widening."""
+    known = {f.name.lower(): f.dataType for f in table.fields}
+    return [
+        f
+        for f in incoming.fields
+        if f.name.lower() in known
+        and not isinstance(f.dataType, T.NullType)
+        and not isinstance(known[f.name.lower()], T.StringType)
+        and promote(f.dataType, known[f.name.lower()]) != known[f.name.lower()]
+    ]
+
+
+def unfit_values(df: DataFrame, table: T.StructType, fields: Sequence[T.StructField]) -> DataFrame:
+    """(column_name, value, row) of the values that are lost in a cast to the table's types."""
+    known = {f.name.lower(): f.dataType for f in table.fields}
+    lost = []
+    for field in fields:
+        column = F.col(f"`{field.name}`")
+        gone = column.isNotNull() & column.try_cast(known[field.name.lower()]).isNull()
+        entry = F.struct(F.lit(field.name).alias("column_name"), column.cast("string").alias("value"))
+        lost.append(F.when(gone, entry))
+    found = F.filter(F.array(*lost), lambda x: x.isNotNull())
+    return df.select(F.inline(found), F.to_json(F.struct("*")).alias("row"))
+
+
 def _relaxed(schema: T.StructType) -> T.StructType:
     """The same columns, all nullable: files written before a column existed have no value for it."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

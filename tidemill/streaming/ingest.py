@@ -17,17 +17,23 @@ def trigger_options(every: str | None) -> Mapping:
     return {"availableNow": True} if every is None else {"processingTime": every}
 
 
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch belongs to; its checkpoint keeps it."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def each_batch(
     stream: DataFrame, write: Writer, checkpoint: str, name: str, every: str | None = None
 ) -> StreamingQuery:
     """Hand every micro-batch to ``write`` with an id that a replay of the batch repeats.
 
     Spark records a batch's input before running it, so after a failure the same rows come again
-    under the same id; a writer that replaces by id is exactly-once.
+    under the same id; a writer that replaces by id is exactly-once. The id holds the query's own
+    (kept in its checkpoint), so a stream that starts anew never replaces an earlier one's loads.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        write(batch, f"{name}-{number:012d}")
+        write(batch, f"{name}-{query_id(batch)}-{number:012d}")
 
     return (
         stream.writeStream.queryName(name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -48,8 +48,9 @@ class TopicTable:
     partition_by: Sequence[str] = field(default_factory=tuple)
     dead_letters: str | None = None
 
-    def load(self, batch: DataFrame, load_id: str) -> None:
-        """One batch: an inferring topic reads it twice, so it is kept for the duration."""
+    def load(self, batch: DataFrame, load_id: str, then: Callable[[DataFrame], None] | None = None) -> None:
+        """One batch: an inferring topic reads it twice, so it is kept for the duration. ``then`` gets
+        the rows of the load as the table has them."""
         batch = batch.persist()
         try:
             if self.dead_letters:
@@ -63,7 +64,10 @@ class TopicTable:
                 rows = sql_transform(rows, self.sql)
             if rows.isEmpty():
                 return
-            LandedTable(batch.sparkSession, self.root, self.partition_by).append(rows, load_id, self.evolve)
+            table = LandedTable(batch.sparkSession, self.root, self.partition_by)
+            table.append(rows, load_id, self.evolve)
+            if then is not None:
+                then(table.read_load(load_id))
         finally:
             batch.unpersist()
 

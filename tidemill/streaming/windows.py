@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .ingest import trigger_options
+from .ingest import query_id, trigger_options
 
 
 def with_event_time(df: DataFrame, column: str) -> DataFrame:
@@ -48,13 +48,15 @@ def window_stats(
 def to_updates(
     aggregate: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Write each batch's changed windows to ``{path}/batch_id=<n>``, replacing it on a replay.
+    """Write each batch's changed windows to ``{path}/query_id=<id>/batch_id=<n>``, replaced on a replay.
 
-    Unlike append mode this also shows windows that are still open when the stream is drained.
+    Unlike append mode this also shows windows that are still open when the stream is drained. A
+    stream that starts anew writes under its own id, and its rows are newer by ``written_at``.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+        timed = batch.withColumn("written_at", F.current_timestamp())
+        timed.write.mode("overwrite").parquet(f"{path}/query_id={query_id(batch)}/batch_id={number}")
 
     return (
         aggregate.writeStream.outputMode("update")
@@ -67,6 +69,7 @@ def to_updates(
 
 def latest_updates(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The newest row per window and key of a folder written by :func:`to_updates`."""
-    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
+    order = ("written_at", "batch_id")
+    values = [c for c in updates.columns if c not in (*keys, *order, "query_id")]
+    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("newest")
     return updates.groupBy(*keys).agg(newest).select(*keys, "newest.*")
