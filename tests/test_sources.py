@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.schema import infer_schema
-from tidemill.sources.csv_files import csv_scan
+from tidemill.sources.csv_files import csv_rejects, csv_scan
 from tidemill.sources.json_files import bad_records, detect_formats, json_scan
 from tidemill.sources.json_values import parse_json, split_json
 from tidemill.sources.kafka import connector, kafka_options, kafka_stream
@@ -48,16 +48,26 @@ def test_csv_no_match(spark, place):
         csv_scan(spark, f"{place}/*.csv")
 
 
-def test_csv_conflict_after_the_sample(spark, place):
-    lines = [f"{i},{i}" for i in range(150)] + ["x,7"]
+def test_csv_types_fit_all_rows(spark, place):
+    lines = [f"{i},{i}" for i in range(150)] + ["0.5,7"]
     write(place, "a.csv", "\n".join(lines) + "\n")
-    dropped = csv_scan(spark, f"{place}/a.csv")
-    assert dropped.schema[0].dataType == T.LongType()
+    write(place, "b.csv", "\n".join(["7,x"] * 50) + "\n")
+    rows = csv_scan(spark, f"{place}/*.csv")
+    assert [f.dataType.simpleString() for f in rows.schema] == ["double", "string"] and rows.count() == 201
+
+
+def test_csv_conflict_with_a_given_schema(spark, place):
+    lines = [f"{i},{i}" for i in range(150)] + ["x,7", "1,2,3"]
+    write(place, "a.csv", "\n".join(lines) + "\n")
+    given = T.DataType.fromDDL("a bigint, b bigint")
+    dropped = csv_scan(spark, f"{place}/a.csv", schema=given)
     # the same rows whatever columns a query uses
-    assert dropped.count() == 150 and dropped.select("col_1").count() == 150
-    assert csv_scan(spark, f"{place}/a.csv", bad_rows="null").filter("col_0 is null").count() == 1
+    assert dropped.count() == 150 and dropped.select("b").count() == 150
+    rejected = csv_rejects(spark, f"{place}/a.csv", schema=given)
+    assert tuples(rejected) == [("1", "2", "wrong number of fields"), ("x", "7", "a is no bigint")]
+    assert csv_scan(spark, f"{place}/a.csv", schema=given, bad_rows="null").filter("a is null").count() == 1
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        csv_scan(spark, f"{place}/a.csv", bad_rows="fail").collect()
+        csv_scan(spark, f"{place}/a.csv", schema=given, bad_rows="fail").collect()
 
 
 def test_csv_ragged_rows_are_dropped(spark, place):

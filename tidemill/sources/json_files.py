@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 FORMATS = ("auto", "object", "array", "ndjson")
 CORRUPT = "_corrupt_record"
 
@@ -32,7 +34,8 @@ def detect_formats(spark: SparkSession, path: str, pattern: str = "*.json") -> D
         .filter(F.col("line") != "")
     )
     ends = lines.groupBy("file").agg(F.min_by("line", "at").alias("first"), F.max_by("line", "at").alias("last"))
-    whole = F.try_parse_json("first").isNull() & F.try_parse_json("last").isNull()
+    # The parser takes a leading string for a value, whatever follows: a record begins with a brace.
+    whole = ~_is_record("first") & ~_is_record("last")
     kind = (
         F.when(F.col("first").startswith("["), "array")
         .when(F.col("first").startswith("{") & whole, "object")
@@ -41,6 +44,10 @@ def detect_formats(spark: SparkSession, path: str, pattern: str = "*.json") -> D
     return ends.select("file", kind.alias("format"))
 
 
+def _is_record(line: str) -> Column:
+    return F.col(line).startswith("{") & F.try_parse_json(line).isNotNull()
+
+
 def _read(spark: SparkSession, paths, kind: str, pattern: str, schema, mode: str) -> DataFrame:
     reader = (
         spark.read.option("recursiveFileLookup", "true")
@@ -63,7 +70,7 @@ def json_scan(
     """Rows of all JSON files under ``path``, including nested folders.
 
     A bad record stops the read, or is skipped with ``continue_on_error``; :func:`bad_records`
-    counts those. ``auto`` looks at the files first. A folder of one format is read by its path;
+    counts those. ``auto`` looks at the files first, once. A folder of one format is read by its path;
     for mixed folders the names of the files per format come to the driver, which holds the file
     index of a scan anyway.
     """
@@ -72,7 +79,9 @@ def json_scan(
     mode = "DROPMALFORMED" if continue_on_error else "FAILFAST"
     if file_format != "auto":
         return _read(spark, path, file_format, pattern, schema, mode)
-    found = detect_formats(spark, path, pattern)
+    noted = scratch_path(spark, "json-formats")
+    detect_formats(spark, path, pattern).write.parquet(noted)
+    found = spark.read.schema("file STRING, format STRING").parquet(noted)
     kinds = sorted(r["format"] for r in found.select("format").distinct().collect())
     if len(kinds) <= 1:
         return _read(spark, path, kinds[0] if kinds else "ndjson", pattern, schema, mode)
