@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,12 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import shared_root
 
-# A key with more rows than this is cut up. The number of pieces is limited because every piece is
-# a task: beyond it pieces grow instead, and a sort that outgrows memory spills.
-HOT_ROWS = 2_000_000
-MOST_RANGES = 10_000
-
-
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """The first k rows of an order: each task keeps k rows, so nothing is sorted as a whole."""
     return df.orderBy(*order).limit(k)
@@ -34,29 +27,17 @@ def with_share(grouped: DataFrame, count: str, name: str = "percentage") -> Data
     return grouped.withColumn(name, F.round(F.col(count) * F.lit(100.0) / total, 2))
 
 
-def number_rows(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    order_by: Sequence[str],
-    name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``ROW_NUMBER()`` within a key, safe when one key holds a large part of the rows.
+def number_rows(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
+    """``ROW_NUMBER()`` within a key as BIGINT, safe when one key holds a large part of the rows.
 
-    ``order_by`` must end in a unique column. A plain window sends each key to one task, so it is
-    used only while a count shows that no key exceeds ``hot_rows``. Otherwise the rows are cut
-    into even ranges of (key, order), numbered within each range, and shifted by the number of
+    ``order_by`` must end in a unique column. The rows are cut into even ranges of (key, order), as
+    many as there are shuffle partitions, numbered within each range, and shifted by the number of
     rows the same key has in earlier ranges. Only the first key of a range can have any, so the
     table of shifts has at most one row per range and can be broadcast.
     """
     keys = list(partition_by)
     order = [F.col(c) for c in order_by]
-    sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    largest, total = sizes[0] or 0, sizes[1] or 0
-    if largest <= hot_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-    ranges = min(MOST_RANGES, max(2, math.ceil(total / hot_rows)))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shared_root(df.sparkSession)
     # The range bounds come from a sample: they must not change between the two uses below.
     ranged = (
@@ -78,5 +59,5 @@ def number_rows(
     same = F.col("_range") == F.col("_at")
     for i, key in enumerate(keys):
         same = same & F.col(key).eqNullSafe(F.col(f"_key{i}"))
-    number = (F.col("_local") + F.coalesce("_shift", F.lit(0))).cast("int")
+    number = F.col("_local").cast("bigint") + F.coalesce("_shift", F.lit(0))
     return local.join(F.broadcast(shifts), same, "left").select(*df.columns, number.alias(name))
