@@ -8,7 +8,7 @@ from tidemill.schema import SchemaMismatch
 from tidemill.sinks.landed import LandedTable
 from tidemill.streaming.ingest import drain
 
-EXAMPLE = Path(__file__).resolve().parent.parent / "examples" / "market_and_news.yml"
+EXAMPLE = Path(__file__).resolve().parent.parent / "examples" / "orders.yml"
 
 TWO_FLOWS = """
 name: two-flows
@@ -72,8 +72,46 @@ def test_wrong_wiring_is_refused():
         Flow(flow([], ("a", "a")))
 
 
-def test_without_edges_entries_form_a_line():
+def test_without_edges_all_sources_feed_the_line_and_it_feeds_all_sinks(spark, place):
     assert Flow(flow([])).order == ["s", "a", "b", "o"]
+    spec = flow([])
+    spec["sources"].append({"type": "file_csv", "id": "t", "path": "x"})
+    spec["sinks"] = [{"type": "parquet_dir", "id": "o", "path": place}, {"type": "parquet_dir", "id": "p", "path": place}]
+    done = run_flow(spark, spec, inputs={"s": spark.range(3), "t": spark.range(3, 8)})
+    for sink in "op":
+        assert sorted(r.id for r in spark.read.parquet(done[sink]).collect()) == list(range(8))
+
+
+def test_what_a_flow_cannot_do_is_refused(spark):
+    spec = flow([["s", "a"], ["a", "o"]], ())
+    spec["transforms"] = [{"type": "sql_transform", "id": "a", "query": "SELECT 1", "window_size": 5}]
+    with pytest.raises(ValueError, match="window_size"):
+        run_flow(spark, spec, inputs={"s": spark.range(1)})
+    topic = {**flow([]), "sources": [{"type": "kafka", "id": "s", "brokers": "x:1", "group_id": "g", "topic": "t"}]}
+    with pytest.raises(ValueError, match="checkpoint"):
+        run_flow(spark, topic, inputs={}, reader=lambda s, o: s.readStream.format("rate").load().selectExpr("'' AS value"))
+
+
+def test_shared_steps_run_once(spark, place):
+    """Two sinks behind one step see the same random numbers."""
+    spec = flow([["s", "q"], ["q", "o"], ["q", "p"]], ())
+    spec["transforms"] = [{"type": "sql_transform", "id": "q", "query": "SELECT id, rand() AS r, current_timestamp() AS at FROM input_data"}]
+    spec["sinks"] = [{"type": "parquet_dir", "id": "o", "path": place}, {"type": "parquet_dir", "id": "p", "path": place}]
+    done = run_flow(spark, spec, inputs={"s": spark.range(20)})
+    a, b = (sorted(map(tuple, spark.read.parquet(done[s]).collect())) for s in "op")
+    assert a == b
+
+
+def test_iceberg_sink_writes_to_a_catalog(spark, place):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS flows LOCATION '{place}/db'")
+    spec = flow([["s", "o"]], ())
+    spec["sinks"] = [{"type": "iceberg", "id": "o", "catalog": "spark_catalog", "bucket": "flows", "table_name": "t"}]
+    try:
+        for _ in range(2):
+            done = run_flow(spark, spec, inputs={"s": spark.range(3)})
+        assert done["o"] == "spark_catalog.flows.t" and spark.table(done["o"]).count() == 6
+    finally:
+        spark.sql("DROP DATABASE flows CASCADE")
 
 
 def test_several_parents_are_united(spark, place):
@@ -154,15 +192,15 @@ def messages(folder, name, rows):
 
 
 def test_example_flow_over_topics(spark, place):
-    """The example with two topics, fed from files; run twice, the second time with nothing new."""
+    """The example, fed from files; run twice, the second time with nothing new."""
     spec = load_spec(EXAMPLE)
-    messages(place + "/bitcoin-market", "0.json", [
-        {"timestamp": "2024-01-15T10:30:00Z", "price": 43250.5, "volume_24h": 28475000000, "market_cap": 8.475e11, "price_change_24h": 2.5},
-        {"timestamp": "2024-01-15T11:30:00Z", "price": None, "volume_24h": 1, "market_cap": 1.0, "price_change_24h": 0.0},
-    ])
-    messages(place + "/crypto-news", "0.json", [
-        {"id": "1", "title": " Bitcoin UP ", "source": "CoinDesk", "published_at": "2024-01-15T10:30:00Z", "sentiment_score": 0.75, "keywords": ["bitcoin", "btc"]},
+    spec["sinks"][1]["path"] = place + "/doubtful"
+    spec["sources"][2]["topic_mapping"]["dead_letters"] = place + "/dead"
+    messages(place + "/web-orders", "0.json", [
+        {"order_id": 1, "region": " North ", "pieces": 2, "price": 4.5}, {"order_id": 2, "region": "South", "pieces": 0, "price": 1.0},
     ])
+    messages(place + "/shop-orders", "0.json", [{"order_id": 3, "region": "SOUTH", "pieces": 1, "price": 2.0}])
+    messages(place + "/returns", "0.json", [{"order_id": 1, "reason": "Torn", "day": "2024-01-02"}, [1]])
 
     def reader(session, options):
         return session.readStream.text(f"{place}/{options['subscribe']}")
@@ -171,12 +209,47 @@ def test_example_flow_over_topics(spark, place):
         done = run_flow(spark, spec, warehouse=place + "/wh", checkpoint=place + "/check", reader=reader)
         for query in done["queries"]:
             drain(query)
-    market = LandedTable(spark, done["market-table"]).read().collect()
-    assert len(market) == 1 and market[0]["market_sentiment"] == "bullish" and market[0]["volume_millions"] == 28475.0
-    news = LandedTable(spark, done["news-table"]).read().collect()
-    assert len(news) == 1
-    assert (news[0]["title"], news[0]["source_category"], news[0]["keyword_count"]) == ("bitcoin up", "major", 2)
-    assert str(news[0]["partition_date"]) == "2024-01-15" and news[0]["partition_hour"] == 10
+    orders = LandedTable(spark, done["orders-table"]).read().collect()
+    assert sorted((r["order_id"], r["partition_key"], r["total"]) for r in orders) == [(1, "north", 9.0), (3, "south", 2.0)]
+    assert [r["order_id"] for r in spark.read.parquet(done["doubtful-files"]).collect()] == [2]
+    returned = LandedTable(spark, done["returns"]).read().collect()
+    assert [(r["order_id"], r["reason"], str(r["day"])) for r in returned] == [(1, "torn", "2024-01-02")]
+    assert [r["reason"] for r in spark.read.json(place + "/dead").collect()] == ["not an object"]
+
+
+def test_two_sinks_of_a_stream_into_one_table(spark, place):
+    messages(place + "/t", "0.json", [{"a": 1}, {"a": 2}, {"a": 3}])
+    spec = {
+        "name": "both",
+        "sources": [{"type": "kafka", "id": "in", "brokers": "x:1", "group_id": "g", "topic": "t"}],
+        "transforms": [
+            {"type": "sql_transform", "id": "low", "query": "SELECT * FROM input_data WHERE a < 2"},
+            {"type": "sql_transform", "id": "high", "query": "SELECT * FROM input_data WHERE a >= 2"},
+        ],
+        "sinks": [{"type": "iceberg", "id": i, "table_name": "one", "bucket": "b"} for i in ("x", "y")],
+        "edges": [["in", "low"], ["in", "high"], ["low", "x"], ["high", "y"]],
+    }
+    done = run_flow(spark, spec, warehouse=place + "/wh", checkpoint=place + "/c", reader=lambda s, o: s.readStream.text(place + "/t"))
+    drain(done["queries"][0])
+    assert sorted(r["a"] for r in LandedTable(spark, done["x"]).read().collect()) == [1, 2, 3]
+
+
+def test_rows_go_on_behind_a_mapped_topic(spark, place):
+    messages(place + "/t", "0.json", [{"a": 1}, {"a": 2}])
+    source = {
+        "type": "kafka", "id": "in", "brokers": "x:1", "group_id": "g", "topic": "t",
+        "topic_mapping": {"iceberg_table": "m", "bucket": "b", "sql_transform": "SELECT a, a * 2 AS twice FROM input_data WHERE a > 1"},
+    }
+    spec = {
+        "name": "onward", "sources": [source],
+        "transforms": [{"type": "sql_transform", "id": "q", "query": "SELECT twice + 1 AS more FROM input_data"}],
+        "sinks": [{"type": "parquet_dir", "id": "out", "path": place + "/out"}],
+        "edges": [["in", "q"], ["q", "out"]],
+    }
+    done = run_flow(spark, spec, warehouse=place + "/wh", checkpoint=place + "/c", reader=lambda s, o: s.readStream.text(place + "/t"))
+    drain(done["queries"][0])
+    assert [r["more"] for r in spark.read.parquet(done["out"]).collect()] == [5]
+    assert [r["twice"] for r in LandedTable(spark, done["in"]).read().collect()] == [4]
 
 
 def test_topic_mapping_in_a_flow(spark, place):

@@ -5,6 +5,7 @@ A flow is wired into lazily evaluated frames: Catalyst plans each sink's whole p
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -19,9 +20,9 @@ from ..operators.flatten import json_flatten
 from ..operators.partitioning import add_partition
 from ..operators.sql import sql_transform
 from ..schema import schema_evolution, schema_from_config
-from ..session import pin_settings, shared_root
+from ..session import pin_settings, scratch_path, shared_root
 from ..sinks.files import parquet_dir, stdout_pretty
-from ..sinks.landed import LandedTable, SchemaLog, evolve_to_log
+from ..sinks.landed import LandedTable, SchemaLog, append_to_catalog, evolve_to_log
 from ..sources.csv_files import csv_scan
 from ..sources.kafka import Reader, connector, kafka_stream
 from ..streaming.ingest import each_batch
@@ -73,6 +74,9 @@ def _transform(entry: Mapping, registry: str | None) -> Step:
     if kind == "schema_evolution":
         return lambda df: _evolve(df, entry, registry)
     if kind == "sql_transform":
+        if int(entry.get("window_size") or 1) > 1:
+            # A micro-batch is the unit of work here: its size is the source's and the trigger's matter.
+            raise ValueError(f"{entry['id']}: window_size is not supported; set the size of the source's batches")
         return lambda df: sql_transform(df, entry["query"])
     raise ValueError(f"unknown transform type {kind}")
 
@@ -106,9 +110,12 @@ class Flow:
             raise ValueError(f"edges form a cycle: {' -> '.join(cycle.args[1])}") from cycle
 
     def _chain(self) -> list[tuple[str, str]]:
-        """Without edges the entries are one line, in the order they are listed."""
-        names = list(self.nodes)
-        return list(zip(names, names[1:]))
+        """Without edges the transforms are one line: every source feeds the first of them and the last
+        feeds every sink."""
+        sources, steps, sinks = (self.group(g) for g in ("sources", "transforms", "sinks"))
+        if not steps:
+            return [(a, b) for a in sources for b in sinks]
+        return [*((a, steps[0]) for a in sources), *zip(steps, steps[1:]), *((steps[-1], b) for b in sinks)]
 
     @property
     def evolves(self) -> bool:
@@ -116,25 +123,47 @@ class Flow:
         settings = (self.spec.get("config") or {}).get("processing") or {}
         return bool(settings.get("auto_schema_evolution", False))
 
+    def behind(self, source: str) -> list[str]:
+        """The sinks that a node's rows reach."""
+        reached = {source}
+        for name in self.order:
+            if reached & set(self.parents[name]):
+                reached.add(name)
+        return [n for n in self.group("sinks") if n in reached]
+
     def group(self, name: str) -> list[str]:
         return [n for n, entry in self.nodes.items() if entry["group"] == name]
 
     def frames(self, inputs: Mapping[str, DataFrame], registry: str | None = None) -> dict[str, DataFrame]:
         """The frame of every node that some input reaches; several parents are united by name.
-        ``registry`` is the folder schema steps remember their schemas in."""
-        built: dict[str, DataFrame] = dict(inputs)
+        ``registry`` is the folder schema steps remember their schemas in.
+
+        A node that several others read is written to the shared folder once: it is computed once
+        for all sinks behind it, which so get the same times and the same rows.
+        """
+        built: dict[str, DataFrame] = {}
+        readers = Counter(p for parents in self.parents.values() for p in parents)
         for name in self.order:
-            if name in built:
+            if name in inputs:
+                built[name] = _once(inputs[name], name) if readers[name] > 1 else inputs[name]
                 continue
             arriving = [built[p] for p in self.parents[name] if p in built]
             if not arriving:
                 continue
             df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), arriving)
             entry = self.nodes[name]
-            built[name] = _transform(entry, registry)(df) if entry["group"] == "transforms" else df
+            df = _transform(entry, registry)(df) if entry["group"] == "transforms" else df
+            built[name] = _once(df, name) if readers[name] > 1 else df
         return built
 
 
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table of this run in the shared folder."""
+    path = scratch_path(df.sparkSession, f"flow-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _table_root(spark: SparkSession, entry: Mapping, warehouse: str | None) -> str:
     base = warehouse or f"{shared_root(spark)}/tidemill/warehouse"
     return f"{base.rstrip('/')}/{entry.get('bucket', 'default')}/{entry['table_name']}"
@@ -153,6 +182,11 @@ def _write(
         target = f"{entry['path'].rstrip('/')}/{entry['id']}.parquet"
         df.write.mode("overwrite").parquet(f"{target}/batch_id={load_id}")
         return target
+    if kind == "iceberg" and entry.get("catalog"):
+        # A table format's own catalog keeps schema, snapshots and commits.
+        name = f"{entry['catalog']}.{entry.get('bucket', 'default')}.{entry['table_name']}"
+        append_to_catalog(df, name)
+        return name
     if kind == "iceberg":
         table = LandedTable(df.sparkSession, _table_root(df.sparkSession, entry, warehouse), entry.get("partition_by", ()))
         table.append(df, load_id, evolve=entry.get("auto_schema_evolution", evolve))
@@ -174,7 +208,8 @@ def run_flow(
     Returns for each sink where it wrote, and under ``queries`` the streaming queries started.
     ``inputs`` may supply the frame of a source. For a stream every micro-batch goes through the
     whole flow from its source, so transforms may use anything a table allows, including row
-    numbers within the batch. The SQL functions of :mod:`tidemill.functions.text` can be used in
+    numbers within the batch; a topic that has a table of its own passes on the rows of each load.
+    Topics need a ``checkpoint``, a folder that outlives the run. The SQL functions of :mod:`tidemill.functions.text` can be used in
     queries. ``every`` is the trigger interval; without it topics are drained.
     """
     flow = Flow(load_spec(source))
@@ -187,12 +222,15 @@ def run_flow(
         if name in given:
             (streams if given[name].isStreaming else tables)[name] = given[name]
         elif entry["type"] == "file_csv":
-            tables[name] = csv_scan(spark, entry["path"], entry.get("has_header", False))
+            declared = schema_from_config(entry["schema"]) if entry.get("schema") else None
+            tables[name] = csv_scan(spark, entry["path"], entry.get("has_header", False), declared)
         elif entry["type"] == "kafka":
             streams[name] = kafka_stream(spark, entry, reader)
         else:
             raise ValueError(f"unknown source type {entry['type']}")
 
+    if streams and checkpoint is None:
+        raise ValueError("topics need a checkpoint folder: without it every run would read them anew")
     results: dict = {"queries": []}
     sinks = flow.group("sinks")
     if tables:
@@ -201,10 +239,10 @@ def run_flow(
             if name in built:
                 results[name] = _write(built[name], flow.nodes[name], warehouse, None, flow.evolves)
     for name, stream in streams.items():
-        progress = checkpoint or f"{shared_root(spark)}/tidemill/flows/{flow.spec['name']}"
-        place = f"{progress}/{name}"
+        place = f"{checkpoint}/{name}"
         entry = flow.nodes[name]
         mapping = entry.get("topic_mapping")
+        onward = _onward(flow, name, warehouse, f"{checkpoint}/schemas")
         if mapping:
             root = _table_root(spark, {"table_name": mapping["iceberg_table"], **mapping}, warehouse)
             loader = TopicTable(
@@ -216,20 +254,34 @@ def run_flow(
                 mapping.get("dead_letters"),
             )
             results[name] = root
-            results["queries"].append(loader.start(stream, place, name, every))
+
+            def run(batch: DataFrame, load_id: str, loader=loader, onward=onward) -> None:
+                loader.load(batch, load_id, lambda rows: onward(rows, load_id))
         else:
-            run = _batch_runner(flow, name, warehouse, f"{progress}/schemas")
-            results["queries"].append(each_batch(stream, run, place, name, every))
-            for sink in sinks:
-                target = flow.nodes[sink]
-                if target["type"] == "parquet_dir":
-                    results[sink] = f"{target['path'].rstrip('/')}/{sink}.parquet"
-                elif target["type"] == "iceberg":
-                    results[sink] = _table_root(spark, target, warehouse)
+            run = _batch_runner(flow, name, onward, f"{checkpoint}/schemas")
+        results["queries"].append(each_batch(stream, run, place, name, every))
+        for sink in flow.behind(name):
+            target = flow.nodes[sink]
+            if target["type"] == "parquet_dir":
+                results[sink] = f"{target['path'].rstrip('/')}/{sink}.parquet"
+            elif target["type"] == "iceberg":
+                results[sink] = _table_root(spark, target, warehouse)
     return results
 
 
-def _batch_runner(flow: Flow, source: str, warehouse: str | None, registry: str):
+def _onward(flow: Flow, source: str, warehouse: str | None, registry: str):
+    """Send a source's typed rows through the flow; each sink's load has an id of its own."""
+
+    def run(rows: DataFrame, load_id: str) -> None:
+        behind = flow.behind(source)
+        built = flow.frames({source: rows}, registry) if behind else {}
+        for sink in behind:
+            _write(built[sink], flow.nodes[sink], warehouse, f"{load_id}-{sink}", flow.evolves)
+
+    return run
+
+
+def _batch_runner(flow: Flow, source: str, onward, registry: str):
     entry = flow.nodes[source]
 
     def run(batch: DataFrame, load_id: str) -> None:
@@ -240,10 +292,7 @@ def _batch_runner(flow: Flow, source: str, warehouse: str | None, registry: str)
             rows = parse_messages(batch, entry.get("schema"), log) if is_text else batch
             if not rows.columns:
                 return
-            built = flow.frames({source: rows}, registry)
-            for sink in flow.group("sinks"):
-                if sink in built:
-                    _write(built[sink], flow.nodes[sink], warehouse, load_id, flow.evolves)
+            onward(rows, load_id)
         finally:
             batch.unpersist()
 

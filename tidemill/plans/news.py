@@ -32,8 +32,9 @@ def top_sources(df: DataFrame, as_of: str, days: int = 7, sources: int = 5) -> D
 
 
 def price_against_news(market: DataFrame, news: DataFrame, as_of: str, days: int = 30) -> DataFrame:
-    """Means over the days that have news."""
-    daily = daily_price_and_news(market.filter(since("timestamp", as_of, days)), news)
+    """Means over the days that have news. Only days that can meet are read on either side."""
+    recent = news.filter(since("published_at", as_of, days))
+    daily = daily_price_and_news(market.filter(since("timestamp", as_of, days)), recent)
     return daily.filter(F.col("news_count") > 0).agg(
         F.count(F.lit(1)).alias("days_with_data"),
         F.avg("avg_price").alias("avg_daily_price"),

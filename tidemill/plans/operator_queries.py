@@ -25,12 +25,12 @@ from ..schema import conform_and_union, infer_schema, nested_paths, schema_evolu
 from ..session import scratch_path, pin_settings
 from ..sinks.files import kafka_frame, parquet_dir, partitioned_write
 from ..sinks.landed import LandedTable
-from ..sources.csv_files import csv_scan
+from ..sources.csv_files import csv_rejects, csv_scan
 from ..sources.json_files import json_scan
 from ..sources.json_values import parse_json, split_json
 from ..sources.kafka import kafka_stream
 from ..sources.tables import parquet_scan, parquet_stream
-from ..streaming.ingest import drain, each_batch, to_parquet
+from ..streaming.ingest import drain, each_batch, to_landed, to_parquet
 from ..streaming.topic_table import TopicTable
 from ..streaming.windows import latest_updates, to_updates, window_stats
 from . import views
@@ -100,14 +100,37 @@ _MESSAGE = {
 
 
 @query("src1_csv_scan", """
-    select c_custkey as col_0, c_name as col_1, cast(c_nationkey as bigint) as col_2, c_acctbal as col_3,
-           c_mktsegment as col_4 from customer""")
+    select c_custkey as col_0, c_name as col_1, c_nationkey + case when c_custkey > 120 then 0.5 else 0 end::double as col_2,
+           c_acctbal as col_3, case when c_custkey > 130 then c_mktsegment else c_custkey::varchar end as col_4 from customer""")
 def _csv(spark, folder):
+    """Several files; two columns look like whole numbers in their first 100 rows."""
     path = scratch_path(spark, "csv")
-    table(spark, folder, "customer").write.csv(path)
+    customer = table(spark, folder, "customer").select(
+        "c_custkey",
+        "c_name",
+        F.when(F.col("c_custkey") > 120, (F.col("c_nationkey") + 0.5).cast("string"))
+        .otherwise(F.col("c_nationkey").cast("string"))
+        .alias("c_nation"),
+        "c_acctbal",
+        F.when(F.col("c_custkey") > 130, F.col("c_mktsegment")).otherwise(F.col("c_custkey").cast("string")).alias("c_text"),
+    )
+    customer.repartitionByRange(3, "c_custkey").sortWithinPartitions("c_custkey").write.csv(path)
     return csv_scan(spark, f"{path}/*.csv")
 
 
+@query("src1_csv_rejects", """
+    select c_custkey as col_0, case when c_custkey % 10 = 0 then 'col_1 is no bigint' end as reason from customer
+    where c_custkey % 10 = 0""")
+def _csv_rejects(spark, folder):
+    """Rows that do not fit a given schema, with the reason."""
+    path = scratch_path(spark, "csv-rejects")
+    nation = F.when(F.col("c_custkey") % 10 == 0, F.col("c_mktsegment")).otherwise(F.col("c_nationkey").cast("string"))
+    table(spark, folder, "customer").select("c_custkey", nation.alias("n")).write.csv(path)
+    declared = T.DataType.fromDDL("col_0 bigint, col_1 bigint")
+    rejected = csv_rejects(spark, f"{path}/*.csv", schema=declared)
+    return rejected.select(F.col("col_0").cast("bigint").alias("col_0"), "reason")
+
+
 @query("src2_topic_stream", "select event_id, user_id, event_type, value from events")
 def _topic(spark, folder):
     stream = kafka_stream(
@@ -135,6 +158,25 @@ def _json_files(spark, folder):
     return json_scan(spark, path)
 
 
+@query("src4_json_layouts", """
+    select layout, o_orderkey, o_custkey from (select o_orderkey, o_custkey,
+    case when o_orderkey % 500 = 0 then 'object' when o_orderkey % 2 = 0 then 'array' else 'lines' end as layout from orders)""")
+def _json_layouts(spark, folder):
+    """One folder with files of one object, files of an array of some hundreds, and files of lines."""
+    path = scratch_path(spark, "json-layouts")
+    layout = F.when(F.col("o_orderkey") % 500 == 0, "object").when(F.col("o_orderkey") % 2 == 0, "array").otherwise("lines")
+    orders = table(spark, folder, "orders").select(layout.alias("layout"), "o_orderkey", "o_custkey")
+    whole = F.to_json(F.struct("layout", "o_orderkey", "o_custkey"))
+    pretty = F.concat(F.lit("{\n"), F.substr(whole, F.lit(2)))
+    orders.filter("layout = 'lines'").select(whole.alias("value")).repartition(3).write.text(f"{path}/lines")
+    objects = orders.filter("layout = 'object'").select(pretty.alias("value"))
+    objects.repartition(4).write.option("maxRecordsPerFile", 1).text(f"{path}/objects")
+    arrays = orders.filter("layout = 'array'").groupBy(F.floor(F.col("o_orderkey") / 1000).alias("part")).agg(F.collect_list(whole).alias("rows"))
+    listed = F.concat(F.lit("[\n"), F.array_join("rows", ",\n"), F.lit("\n]"))
+    arrays.select(listed.alias("value")).repartition(3).write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
+    return json_scan(spark, path, pattern="*.txt")
+
+
 @query("src5_parquet_glob", "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from orders")
 def _parquet_glob(spark, folder):
     path = scratch_path(spark, "parquet")
@@ -143,11 +185,11 @@ def _parquet_glob(spark, folder):
     return parquet_scan(spark, f"{path}/**/*.parquet")
 
 
-@query("src6_landed_scan", "select c_custkey, c_name, c_mktsegment from customer where c_mktsegment = 'MACHINERY'")
+@query("src6_landed_scan", "select c_custkey, c_name, c_mktsegment from customer")
 def _landed(spark, folder):
     landed = LandedTable(spark, scratch_path(spark, "landed"), ["c_mktsegment"])
     landed.append(table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment"))
-    return landed.read().filter(F.col("c_mktsegment") == "MACHINERY")
+    return landed.read()
 
 
 @query("src7_dead_letters", """
@@ -329,11 +371,12 @@ def _sql(spark, folder):
     )
 
 
-@query("trf6_count_window", "select event_type, count(*) as events from events group by event_type")
+@query("trf6_count_window", """
+    select event_type, count(*) as events, cast(3 as bigint) as windows from events group by event_type""")
 def _count_window(spark, folder):
     """Two files per evaluation: each window of files is counted by SQL, and the counts add up."""
     files = scratch_path(spark, "windows")
-    table(spark, folder, "events").select("event_type", "value").write.parquet(files)
+    table(spark, folder, "events").select("event_type", "value").repartition(6).write.parquet(files)
     out, checkpoint = scratch_path(spark, "window-counts"), scratch_path(spark, "window-checkpoint")
 
     def evaluate(batch: DataFrame, load_id: str) -> None:
@@ -341,7 +384,8 @@ def _count_window(spark, folder):
         counts.write.mode("overwrite").parquet(f"{out}/load_id={load_id}")
 
     drain(each_batch(parquet_stream(spark, files, 2), evaluate, checkpoint, "windows"))
-    return spark.read.parquet(out).groupBy("event_type").agg(F.sum("events").alias("events"))
+    counts = spark.read.parquet(out)
+    return counts.groupBy("event_type").agg(F.sum("events").alias("events"), F.count(F.lit(1)).alias("windows"))
 
 
 _ROUTES = {"user": "event_type IN ('signup', 'view', 'click', 'purchase')", "system": "event_type = 'error'"}
@@ -481,6 +525,36 @@ def _append(spark, folder):
     return _two_loads(spark, folder).read()
 
 
+@query("snk3_two_streams", "select event_id, value, ts from events")
+def _two_streams(spark, folder):
+    """Two streams of one name, with a checkpoint each, into one table: no load replaces another."""
+    landed = LandedTable(spark, scratch_path(spark, "two-streams"))
+    for half in (0, 1):
+        files = scratch_path(spark, f"half-{half}")
+        events = table(spark, folder, "events").select("event_id", "value", "ts")
+        events.filter(F.col("event_id") % 2 == half).repartition(2).write.parquet(files)
+        drain(to_landed(parquet_stream(spark, files, 1), landed.root, scratch_path(spark, "half-checkpoint"), "halves"))
+    return landed.read()
+
+
+@query("snk3_retyped_values", """
+    select o_orderkey, case when o_orderkey % 5 = 0 then null else o_custkey end as o_custkey,
+           case when o_orderkey % 5 = 0 then concat('c-', o_custkey) end as unfit_value,
+           count(*) filter (where o_orderkey % 5 = 0) over () as unfit_values from orders""")
+def _retyped(spark, folder):
+    """A load whose customer numbers are text, some of them no numbers: their text is kept."""
+    landed = LandedTable(spark, scratch_path(spark, "retyped"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    landed.append(orders.filter("o_orderkey % 5 > 2"))
+    text = F.concat(F.when(F.col("o_orderkey") % 5 == 0, "c-").otherwise(""), F.col("o_custkey").cast("string"))
+    landed.append(orders.filter("o_orderkey % 5 <= 2").withColumn("o_custkey", text), evolve=True)
+    unfit = landed.unfit().select(
+        F.get_json_object("row", "$.o_orderkey").cast("bigint").alias("o_orderkey"), F.col("value").alias("unfit_value")
+    )
+    logged = landed.loads().agg(F.sum("unfit_values").alias("unfit_values"))
+    return landed.read().join(unfit, "o_orderkey", "left").join(F.broadcast(logged))
+
+
 @query("snk4_load_audit", """
     select cast(1 as bigint) as snapshot_id, null::bigint as parent_id, 'append' as operation,
            count(*) filter (where o_orderstatus = 'O') as added_records,
@@ -503,9 +577,9 @@ def _records(spark, folder):
 
 @query("snk7_partitioned_write", """
     select year(ts) as year, month(ts) as month, day(ts) as day, count(*) as events, round(sum(value), 2) as total
-    from events where day(ts) between 10 and 12 group by all""")
+    from events group by all""")
 def _partitioned(spark, folder):
-    """Folders by year, month and day; the report reads three of them."""
+    """Folders by year, month and day, all read again by their folders' names."""
     path = scratch_path(spark, "partitioned")
     events = table(spark, folder, "events").withColumns(
         {"year": F.year("ts"), "month": F.month("ts"), "day": F.day("ts")}
@@ -513,7 +587,6 @@ def _partitioned(spark, folder):
     partitioned_write(events, path, ["year", "month", "day"])
     return (
         spark.read.parquet(path)
-        .filter(F.col("day").between(10, 12))
         .groupBy(*_bigint("year", "month", "day"))
         .agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("total"))
     )
@@ -571,6 +644,27 @@ def _windows(spark, folder):
     )
 
 
+@query("str5_late_rows", """
+    select date_trunc('hour', ts) as window_start, count(*) as data_points from events
+    where ts >= (select max(ts) from events) - interval 2 day group by all
+    union all select timestamp '2030-01-01 00:00:00', count(*) from events where event_type = 'click'""")
+def _late(spark, folder):
+    """Three files: the newest rows, then all clicks moved to 2030, then rows that are too late by then.
+    The watermark is a day: the second file's come after it, and none of the third is counted."""
+    files = scratch_path(spark, "late-events")
+    events = table(spark, folder, "events").select("ts", "event_type", "value")
+    newest = events.agg(F.max("ts").alias("newest"))
+    recent = events.join(F.broadcast(newest)).filter("ts >= newest - interval 2 day").select("ts", "value")
+    future = events.filter("event_type = 'click'").select(F.lit("2030-01-01").cast("timestamp_ntz").alias("ts"), "value")
+    out, checkpoint = scratch_path(spark, "late-windows"), scratch_path(spark, "late-checkpoint")
+    for rows in (recent, future, recent):
+        rows.coalesce(1).write.mode("append").parquet(files)
+        hourly = window_stats(parquet_stream(spark, files), "ts", "value", "1 hour", late_by="1 day")
+        drain(to_updates(hourly, out, checkpoint))
+    final = latest_updates(spark.read.parquet(out), ["window_start"])
+    return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "data_points")
+
+
 _FLOW = {
     "name": "split-events",
     "sources": [{"type": "file_csv", "id": "raw", "path": ""}],

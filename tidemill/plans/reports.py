@@ -405,23 +405,20 @@ simple("b2_daily_news", views.news, lambda df: news.daily_news(df, AS_OF), f"""
            cast(sum(votes_positive) as bigint) as total_positive_votes
     from v_news where published_at >= {_MOMENT} - interval 30 day group by date""")
 
-# Enrichments
+# Enrichments, at a fixed time
 
-ENRICH_MARKET_SQL = """
-    SELECT input.*, DATE(timestamp) AS partition_date, CAST(HOUR(timestamp) AS BIGINT) AS partition_hour,
-           IF(price_change_24h > 0, 'bullish', IF(price_change_24h < 0, 'bearish', 'neutral')) AS market_sentiment,
-           ROUND(volume_24h / 1e6, 2) AS volume_millions
-    FROM input_data AS input
-    WHERE price IS NOT NULL AND timestamp IS NOT NULL"""
+
+def _clock() -> Column:
+    return F.lit(AS_OF).cast("timestamp_ntz")
 
 
 @report("p1_market_enrichment", """
     select *, cast(timestamp as date) as partition_date, cast(hour(timestamp) as bigint) as partition_hour,
-           round(volume_24h / 1000000, 2) as volume_millions
+           round(volume_24h / 1000000, 2) as volume_millions, timestamp '2024-01-31 00:00:00' as ingestion_time
     from v_market where price is not null and timestamp is not null""", exact=True)
 def _enriched_market(spark, folder):
     cleaned = clean_data(views.raw_market(spark, folder), remove_nulls=True, trim_strings=True)
-    return sql_transform(cleaned, ENRICH_MARKET_SQL)
+    return enrich.enrich_market(cleaned, _clock())
 
 
 _TRIM_CHARS = "|| ".join(
@@ -434,13 +431,14 @@ _TRIM_CHARS = "|| ".join(
            published_at, sentiment_score, array_to_string(keywords, ',') as keywords,
            votes_positive, votes_liked, votes_negative, votes_disliked, votes_toxic,
            cast(published_at as date) as partition_date, cast(hour(published_at) as bigint) as partition_hour,
-           sentiment_category, cast(len(keywords) as bigint) as keyword_count, source_category
+           sentiment_category, cast(len(keywords) as bigint) as keyword_count, source_category,
+           timestamp '2024-01-31 00:00:00' as ingestion_time
     from v_news, (select {_TRIM_CHARS} as w) where title is not null and published_at is not null""", exact=True)
 def _enriched_news(spark, folder):
     # Score and keywords are NULL only where the text is, so testing the stored columns is enough.
     stored = ["id", "title", "content", "source", "published_at"]
     cleaned = clean_data(views.raw_news(spark, folder), True, True, "lower", subset=stored)
-    return enrich.enrich_news(cleaned).withColumn("keywords", F.array_join("keywords", ",")).drop("ingestion_time")
+    return enrich.enrich_news(cleaned, _clock()).withColumn("keywords", F.array_join("keywords", ","))
 
 
 simple("c1_market_ratios", views.market, enrich.market_ratios, """
@@ -477,8 +475,21 @@ def _age_groups(spark, folder):
     from v_sales""", exact=True)
 def _order_sequence(spark, folder):
     taxed = views.sales(spark, folder).withColumn("amount_with_tax", F.col("amount") * enrich.TAX_FACTOR)
-    numbered = number_rows(taxed, ["customer_id"], ["timestamp", "order_id"], "order_sequence")
-    return numbered.withColumn("order_sequence", F.col("order_sequence").cast("bigint"))
+    return number_rows(taxed, ["customer_id"], ["timestamp", "order_id"], "order_sequence")
+
+
+@report("win2_one_key", """
+    select l_orderkey, l_linenumber, row_number() over (order by l_shipdate, l_orderkey, l_linenumber) as place
+    from (select * from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey) = 1)""",
+    exact=True)
+def _one_key(spark, folder):
+    """All order lines under one key, numbered by date."""
+    lines = views.table(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min_by("l_shipdate", F.struct("l_partkey", "l_suppkey")).alias("l_shipdate")
+    )
+    keyed = lines.withColumn("all", F.lit("all"))
+    numbered = number_rows(keyed, ["all"], ["l_shipdate", "l_orderkey", "l_linenumber"], "place")
+    return numbered.select("l_orderkey", "l_linenumber", "place")
 
 
 @report("e10_revenue", """
@@ -492,13 +503,14 @@ def _revenue(spark, folder):
 
 @report("udf_sql_functions", """
     select id, sentiment_score as score, array_to_string(keywords, ',') as found,
-           cast(len(keywords) as bigint) as found_count, price_level
-    from (select *, 'low' as price_level from v_news)""", exact=True)
+           cast(len(keywords) as bigint) as found_count,
+           ['low', 'low', 'low', 'low', 'medium', 'medium', 'high', 'high'][cast(id as bigint) % 8 + 1] as price_level
+    from v_news""", exact=True)
 def _sql_functions(spark, folder):
     register_functions(spark)
     return sql_transform(
         views.raw_news(spark, folder),
         "SELECT id, sentiment_score(content) AS score, array_join(extract_keywords(content), ',') AS found, "
         "CAST(array_length(extract_keywords(content)) AS BIGINT) AS found_count, "
-        "price_volatility(votes_positive) AS price_level FROM input_data",
+        "price_volatility(CAST(CAST(id AS BIGINT) % 8 * 10000 AS DOUBLE)) AS price_level FROM input_data",
     )

@@ -25,6 +25,17 @@ def _hundredths(column: str) -> Column:
     return (F.col(column) % 101).cast("double") / F.lit(100.0)
 
 
+def _one_of(key: str, *values: str) -> Column:
+    """One of the values for each row, in turn by a key: reports then meet every label they have."""
+    at = (F.col(key) % len(values) + 1).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), at)
+
+
+# What a news text ends in, and sources in turn: all words and groups that the enrichments look for.
+ENDINGS = ("", " A crash and a fall.", " Bitcoin and DeFi rally up!", " NFT drop, negative, down", " crypto BTC blockchain", " Surge and gain")
+SOURCES = ("coindesk", "cryptonews", "src1", "src2", "bitcoin.com", "cryptopanic", "cointelegraph")
+
+
 def flights(spark: SparkSession, folder: str) -> DataFrame:
     known = F.col("l_orderkey") % 17 != 0
     return table(spark, folder, "lineitem").select(
@@ -47,7 +58,7 @@ def retail(spark: SparkSession, folder: str) -> DataFrame:
         ((F.col("p_retailprice") - 899) * 60).alias("actual_price"),
         rating.alias("average_rating"),
         (F.col("p_size") % 7 == 0).alias("out_of_stock"),
-        F.concat(F.lit("$1,"), F.lpad(F.col("p_size").cast("string"), 3, "0")).alias("price_text"),
+        F.concat(_one_of("p_partkey", "$1,", "$", "$12,"), F.lpad(F.col("p_size").cast("string"), 3, "0")).alias("price_text"),
         F.concat(
             (1 + F.floor((F.col("p_size") % 41) / 10)).cast("string"), F.lit("."), (F.col("p_size") % 41 % 10).cast("string")
         ).alias("rating_text"),
@@ -104,15 +115,16 @@ def market(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_news(spark: SparkSession, folder: str) -> DataFrame:
     """News rows as they arrive. The title is the first line; scores cover the whole text."""
+    content = F.concat("text", _one_of("doc_id", *ENDINGS))
     published = F.timestamp_add("DAY", (F.col("doc_id") % 30).cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     return table(spark, folder, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
         F.substring_index("text", "\n", 1).alias("title"),
-        F.col("text").alias("content"),
-        "source",
+        content.alias("content"),
+        _one_of("doc_id", *SOURCES).alias("source"),
         published.alias("published_at"),
-        sentiment_score(F.col("text")).alias("sentiment_score"),
-        extract_keywords(F.col("text")).alias("keywords"),
+        sentiment_score(content).alias("sentiment_score"),
+        extract_keywords(content).alias("keywords"),
         *[
             (F.col("doc_id") % divisor).cast("int").alias(f"votes_{name}")
             for name, divisor in (("positive", 7), ("liked", 5), ("negative", 3), ("disliked", 2))
@@ -161,7 +173,7 @@ ORACLE = {
                (p_retailprice - 899) * 60 as actual_price,
                cast(1 as double) + cast(p_size % 41 as double) / cast(10 as double) as average_rating,
                (p_size % 7 = 0) as out_of_stock,
-               concat('$1,', lpad(cast(p_size as varchar), 3, '0')) as price_text,
+               concat(['$1,', '$', '$12,'][p_partkey % 3 + 1], lpad(cast(p_size as varchar), 3, '0')) as price_text,
                concat(cast(1 + (p_size % 41) // 10 as varchar), '.', cast(p_size % 41 % 10 as varchar)) as rating_text,
                cast(p_size as varchar) as no_of_ratings
         from part""",
@@ -189,12 +201,12 @@ ORACLE = {
                case when value - 50 > 0 then 'bullish' when value - 50 < 0 then 'bearish' else 'neutral' end
                    as market_sentiment
         from events""",
-    "v_news": """
+    "v_news": f"""
         select *, case when sentiment_score > 0.3 then 'positive' when sentiment_score < -0.3 then 'negative'
                        else 'neutral' end as sentiment_category,
                case when source in ('coindesk', 'cointelegraph', 'bitcoin.com') then 'major'
                     when source in ('cryptopanic', 'cryptonews') then 'aggregator' else 'other' end as source_category
-        from (select cast(doc_id as varchar) as id, split_part(text, chr(10), 1) as title, text as content, source,
+        from (select cast(doc_id as varchar) as id, split_part(first_text, chr(10), 1) as title, text as content, source,
                      timestamp '2024-01-01 00:00:00' + to_days(cast(doc_id % 30 as integer)) as published_at,
                      cast(p - n as double) / cast(p + n + 1 as double) as sentiment_score, keywords,
                      cast(doc_id % 7 as integer) as votes_positive, cast(doc_id % 5 as integer) as votes_liked,
@@ -207,7 +219,8 @@ ORACLE = {
                                            lambda w: contains(lower(text), w))) as n,
                            list_filter(['bitcoin', 'btc', 'crypto', 'blockchain', 'defi', 'nft'],
                                        lambda w: contains(lower(text), w)) as keywords
-                    from documents))""",
+                    from (select doc_id, text as first_text, concat(text, {list(ENDINGS)}[doc_id % {len(ENDINGS)} + 1]) as text,
+                                 {list(SOURCES)}[doc_id % {len(SOURCES)} + 1] as source from documents)))""",
     "v_users": """
         select c_custkey as id, c_name as name, 18 + c_custkey % 60 as age, c_mktsegment as city from customer""",
     "v_sales": """
