@@ -28,6 +28,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Different words whose ids a worker keeps, twice (an old and a young half).
 KNOWN_WORDS = 250_000
+#: Bytes of text that are tokenized at once, about.
+BATCH_BYTES = 6 << 20
 #: Pieces of one length that are numbered together.
 GROUP_PIECES = 50_000
 
@@ -68,23 +70,36 @@ class WordIds:
         for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
             self.young[w] = array.array("I", e.ids).tobytes()
 
+    def _learn(self, words: list[str]) -> None:
+        """Make the words known, from the old half or by tokenizing them."""
+        young, old = self.young, self.old
+        new = [w for w in words if w not in young]
+        young.update((w, old[w]) for w in new if w in old)
+        self._tokenize([w for w in new if w not in old])
+
     def _bytes_of(self, words: list[str]) -> list[bytes]:
-        # "word," is "word" and ","; a stem that ends in a letter does not run into its points.
-        stems = [w.rstrip(".,") for w in words]
-        stems = [s if s and s[-1].isalpha() else w for s, w in zip(stems, words)]
-        tails = [w[len(s) :] for s, w in zip(stems, words)]
         if len(self.young) > KNOWN_WORDS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        missing = []
-        for w in {*stems, *tails}:
-            if w not in young:
+        found = list(map(young.get, words))
+        at = [i for i, ids in enumerate(found) if ids is None]
+        if at:
+            # "word," is "word" and ","; a stem that ends in a letter does not run into its points.
+            split, plain = [], []
+            for i in at:
+                w = words[i]
                 if w in old:
                     young[w] = old[w]
+                elif w[-1:] in (".", ",") and (stem := w.rstrip(".,"))[-1:].isalpha():
+                    split.append((w, stem, w[len(stem) :]))
                 else:
-                    missing.append(w)
-        self._tokenize(sorted(missing))
-        return [young[s] + young[t] if t else young[s] for s, t in zip(stems, tails)]
+                    plain.append(w)
+            self._learn([*{*plain, *(x for _, stem, tail in split for x in (stem, tail))}])
+            for w, stem, tail in split:
+                young[w] = young[stem] + young[tail]
+            for i in at:
+                found[i] = young[words[i]]
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in order, the number of ids of each text)."""
@@ -130,10 +145,24 @@ def word_ids(path: str) -> WordIds:
     return _KNOWN[path]
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of some megabytes: the more text at once, the fewer times a word is looked up."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > BATCH_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _cut(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(public_tokenizers.path(tokenizer))
-        for batch in batches:
+        for batch in _joined(batches):
             ids, lengths = encoder.encode(batch.column("text"))
             bounds = np.concatenate([[0], np.cumsum(lengths)])
             owner, piece, start, length, crc, kept = [], [], [], [], [], []
