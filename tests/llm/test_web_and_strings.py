@@ -301,7 +301,7 @@ def passages(seed):
 def test_suffix_dedup_on_passages(spark, place, monkeypatch, seed, group, slice_):
     monkeypatch.setattr(suffix_dedup, "SLICE", slice_)
     rows = passages(seed)
-    got = suffix_dedup.suffix_dedup(docs_table(spark, rows, place), group_bytes=group, bucket_bytes=group, with_text=True)
+    got = suffix_dedup.suffix_dedup(docs_table(spark, rows, place), group_bytes=group, bucket_bytes=group, run_bytes=group, with_text=True)
     assert as_counter(got) == removed(rows, 50)
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got.collect())
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -31,10 +32,12 @@ from .common import full_text, python_tasks, written
 from .words import mixed
 
 LENGTH = 50
-Q = 20
-#: Bytes of text of a group of documents, and of text whose minimizers a task gets.
+Q = 16
+#: Bytes of text of a group of documents, and of text whose minimizers, and whose runs, a task gets.
+#: Sorting needs some hundred bytes of memory for each byte of a task's runs.
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 #: Groups that one file of the grouped table holds, about.
 GROUPS_PER_FILE = 8
 #: Window positions whose minimizers are worked out at once.
@@ -97,7 +100,8 @@ class Runs:
             count = np.diff(np.append(start, n))
             good = inside[start]
             start, count = start[good], count[good]
-            parts.append((start + a, count, least[start], own[start]))
+            # The least of many hashes is small: mixed again, keys spread evenly over buckets.
+            parts.append((start + a, count, mixed(least[start]), own[start]))
         if parts:
             self.start, self.count, self.key, self.owner = (np.concatenate(x) for x in zip(*parts))
         else:
@@ -202,21 +206,33 @@ def _questions(runs: Runs, buckets: int) -> dict[int, dict[bytes, list[int]]]:
     return {b: dict(sorted(found[b].items())) for b in sorted(found)}
 
 
-def _send_runs(length: int, q: int, buckets: int, size: int) -> Callable:
+def _packed(strings: list[bytes], least: list[int]) -> bytes:
+    """Strings with a number each, compressed: short texts of many kinds are dense only after entropy coding."""
+    sizes = np.array([len(s) for s in strings], "<i4").tobytes()
+    return zlib.compress(len(strings).to_bytes(4, "little") + sizes + np.array(least, "<i8").tobytes() + b"".join(strings), 1)
+
+
+def _unpacked(data: bytes) -> tuple[list[bytes], np.ndarray]:
+    data = zlib.decompress(data)
+    n = int.from_bytes(data[:4], "little")
+    sizes, least = np.frombuffer(data, "<i4", n, 4), np.frombuffer(data, "<i8", n, 4 + 4 * n)
+    ends = (np.cumsum(sizes) + 4 + 12 * n).tolist()
+    return [data[e - k : e] for e, k in zip(ends, sizes.tolist())], least
+
+
+def _send_runs(length: int, q: int, buckets: int, run_buckets: int, size: int) -> Callable:
     def run(key, left, right):
         rows = []
         if left.num_rows:
             runs = Runs(left, length, q)
             _keep_shared(runs, right, buckets, size)
             rank = runs.rank[runs.owner].tolist()
-            for b, strings in _questions(runs, buckets).items():
-                sizes = [len(s) for s in strings]
+            for b, strings in _questions(runs, run_buckets).items():
                 least = [min(rank[i] for i in own) for own in strings.values()]
-                rows.append((b, sizes, least, b"".join(strings)))
-        b, sizes, least, data = zip(*rows) if rows else ((), (), (), ())
+                rows.append((b, _packed(list(strings), least)))
+        b, data = zip(*rows) if rows else ((), ())
         return pa.table(
             {"grp": pa.array([key[0].as_py()] * len(rows), pa.int64()), "bucket": pa.array(b, pa.int64()),
-             "sizes": pa.array(sizes, pa.list_(pa.int32())), "least": pa.array(least, pa.list_(pa.int64())),
              "data": pa.array(data, pa.binary())}
         )
 
@@ -235,7 +251,7 @@ def refined(data: np.ndarray, room: np.ndarray, length: int, q: int = 8) -> np.n
     packed = np.zeros(len(places), np.uint64)
     for k in range(q):
         packed = (packed << np.uint64(8)) | data[places + k].astype(np.uint64)
-    pointer = np.full(len(data), -1, np.int64)
+    pointer = np.full(len(data), -1, np.int32)
     order = np.argsort(packed, kind="stable")
     pointer[places[order]] = _first_equal(packed[order])
     depth = q
@@ -250,7 +266,7 @@ def refined(data: np.ndarray, room: np.ndarray, length: int, q: int = 8) -> np.n
         order = np.lexsort((later, own))
         places, own, later = places[order], own[order], later[order]
         start = _first_equal(own)
-        part = _first_equal(own * np.int64(len(data) + 1) + later)
+        part = _first_equal(own.astype(np.int64) * (len(data) + 1) + later)
         pointer[places] = own + (part - start)
     return pointer
 
@@ -263,31 +279,46 @@ def _first_equal(values: np.ndarray) -> np.ndarray:
     return np.repeat(at, np.diff(np.append(at, len(values))))
 
 
-def _answer_runs(length: int) -> Callable:
+def _minimizers(strings: list[bytes], length: int, q: int) -> np.ndarray:
+    """The minimizer that all windows of each string share."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    grams = np.append(_gram_hashes(np.frombuffer(b"".join(strings), np.uint8), q), np.uint64(LAST))
+    start = np.cumsum(sizes) - sizes
+    return np.minimum.reduceat(grams, np.stack([start, start + length - q + 1], 1).ravel())[::2]
+
+
+def _least_of_windows(strings: list[bytes], low: np.ndarray, length: int) -> np.ndarray:
+    """For each window of the strings, in order: the least number of a string that has it."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    room = (np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))).astype(np.int32)
+    own = refined(data, room, length)[room >= length]
+    smallest = np.full(len(data) + 1, LAST)
+    np.minimum.at(smallest, own, np.repeat(low, sizes - length + 1))
+    return smallest[own]
+
+
+def _answer_runs(length: int, q: int) -> Callable:
     def run(key, table):
         number: dict[bytes, int] = {}
         which, least, per_row = [], [], []
-        for sizes, low, data in zip(*(table.column(c).to_pylist() for c in ("sizes", "least", "data"))):
-            at = 0
-            for n in sizes:
-                which.append(number.setdefault(data[at : at + n], len(number)))
-                at += n
-            least += low
-            per_row.append(len(sizes))
-        which, least = np.array(which, np.int64), np.array(least, np.int64)
-        sizes = np.array([len(s) for s in number], np.int64)
-        data = np.frombuffer(b"".join(number), np.uint8)
-        ends = np.cumsum(sizes)
-        room = np.repeat(ends, sizes) - np.arange(len(data))
+        for data in table.column("data"):
+            strings, low = _unpacked(data.as_py())
+            which += [number.setdefault(s, len(number)) for s in strings]
+            least.append(low)
+            per_row.append(len(strings))
+        which, least = np.array(which, np.int64), np.concatenate(least)
         low = np.full(len(number), LAST)
         np.minimum.at(low, which, least)
-        pointer = refined(data, room, length)
-        places = np.flatnonzero(room >= length)
-        own = pointer[places]
-        smallest = np.full(len(data) + 1, LAST)
-        np.minimum.at(smallest, own, np.repeat(low, sizes)[places])
-        found = smallest[own]  # of each window, the least document that has it
-        windows = sizes - length + 1
+        strings = list(number)
+        windows = np.array([len(s) for s in strings], np.int64) - length + 1
+        # Equal windows have equal minimizers: a string that is the only one under its own is settled.
+        _, mark, uses = np.unique(_minimizers(strings, length, q), return_inverse=True, return_counts=True)
+        several = uses[mark] > 1
+        found = np.repeat(low, windows)
+        if several.any():
+            some = np.flatnonzero(several)
+            found[np.repeat(several, windows)] = _least_of_windows([strings[i] for i in some], low[some], length)
         first = np.cumsum(windows) - windows
         count = windows[which]
         asked = np.repeat(first[which] - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -300,7 +331,7 @@ def _answer_runs(length: int) -> Callable:
     return run
 
 
-def _remove(length: int, q: int, buckets: int, size: int, with_text: bool) -> Callable:
+def _remove(length: int, q: int, buckets: int, run_buckets: int, size: int, with_text: bool) -> Callable:
     def run(key, left, right):
         if not left.num_rows:
             return _REMOVED.empty_table() if with_text else _REMOVED.empty_table().drop_columns(["kept"])
@@ -308,7 +339,7 @@ def _remove(length: int, q: int, buckets: int, size: int, with_text: bool) -> Ca
         _keep_shared(runs, right, buckets, size)
         answers = _replies(right, 1)
         covered = np.zeros(len(runs.bytes) + 1, np.int32)
-        for b, strings in _questions(runs, buckets).items():
+        for b, strings in _questions(runs, run_buckets).items():
             total = sum(len(s) - length + 1 for s in strings)
             bits = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=total).astype(bool)
             at = 0
@@ -356,6 +387,7 @@ def suffix_dedup(
     q: int = Q,
     group_bytes: int = GROUP_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
+    run_bytes: int = RUN_BYTES,
     with_text: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, starts, ends, kept_sha256 (and kept, the bytes).
@@ -371,7 +403,7 @@ def suffix_dedup(
     python_tasks(spark)
     text = full_text(text_column).cast("binary")
     total = docs.select(F.sum(F.octet_length(full_text(text_column)))).first()[0] or 0
-    groups, buckets = max(1, -(-total // group_bytes)), max(1, -(-total // bucket_bytes))
+    groups, buckets, run_buckets = (max(1, -(-total // n)) for n in (group_bytes, bucket_bytes, run_bytes))
     # So many bytes of a minimizer that different ones seldom look alike (that costs time only).
     size = min(8, max(5, math.ceil((math.log2(max(2, total)) + 8) / 8)))
     files = max(1, -(-groups // GROUPS_PER_FILE))
@@ -396,16 +428,15 @@ def suffix_dedup(
         texts.groupBy("grp")
         .cogroup(shared.groupBy("grp"))
         .applyInArrow(
-            _send_runs(length, q, buckets, size),
-            "grp LONG, bucket LONG, sizes ARRAY<INT>, least ARRAY<LONG>, data BINARY",
+            _send_runs(length, q, buckets, run_buckets, size), "grp LONG, bucket LONG, data BINARY"
         )
     )
-    answers = written(asked.groupBy("bucket").applyInArrow(_answer_runs(length), _REPLY_SQL), "suffix-answers")
+    answers = written(asked.groupBy("bucket").applyInArrow(_answer_runs(length, q), _REPLY_SQL), "suffix-answers")
     schema = "doc_id LONG, n_bytes LONG, n_removed LONG, starts ARRAY<LONG>, ends ARRAY<LONG>, kept_sha256 STRING"
     return (
         texts.groupBy("grp")
         .cogroup(shared.unionByName(answers).groupBy("grp"))
         .applyInArrow(
-            _remove(length, q, buckets, size, with_text), schema + ", kept BINARY" * with_text
+            _remove(length, q, buckets, run_buckets, size, with_text), schema + ", kept BINARY" * with_text
         )
     )
