@@ -196,20 +196,35 @@ def _keep_shared(runs: Runs, replies: pa.Table, buckets: int, size: int) -> None
     runs.keep(shared[np.searchsorted(values, runs.key >> np.uint64(64 - 8 * size))] if len(values) else np.zeros(0, bool))
 
 
-def _questions(runs: Runs, buckets: int) -> dict[int, dict[bytes, list[int]]]:
-    """bucket: {string of a run: its runs}, buckets and strings in order."""
+def _questions(runs: Runs, buckets: int) -> tuple[list[tuple[int, int, int]], list[bytes], np.ndarray, np.ndarray]:
+    """((bucket, from, to), strings, runs, uses): the different strings of the runs, bucket by bucket and
+    in order, and for each string in turn its ``uses`` runs."""
     found: dict[int, dict[bytes, list[int]]] = {}
     data, tail = runs.bytes, runs.length - 1
-    where = zip(_bucket(runs.key, buckets).tolist(), runs.start.tolist(), runs.count.tolist())
-    for i, (b, start, count) in enumerate(where):
-        found.setdefault(b, {}).setdefault(data[start : start + count + tail], []).append(i)
-    return {b: dict(sorted(found[b].items())) for b in sorted(found)}
-
-
-def _packed(strings: list[bytes], least: list[int]) -> bytes:
+    where = zip(_bucket(runs.key, buckets).tolist(), runs.start.tolist(), (runs.start + runs.count + tail).tolist())
+    for i, (b, start, end) in enumerate(where):
+        found.setdefault(b, {}).setdefault(data[start:end], []).append(i)
+    cuts, strings, own, uses = [], [], [], []
+    for b in sorted(found):
+        cuts.append((b, len(strings), len(strings) + len(found[b])))
+        for string in sorted(found[b]):
+            strings.append(string)
+            own += (which := found[b][string])
+            uses.append(len(which))
+    return cuts, strings, np.array(own, np.int64), np.array(uses, np.int64)
+
+
+def _least_ranks(runs: Runs, own: np.ndarray, uses: np.ndarray) -> np.ndarray:
+    """The least rank among each string's runs."""
+    if not len(uses):
+        return np.zeros(0, np.int64)
+    return np.minimum.reduceat(runs.rank[runs.owner[own]], np.cumsum(uses) - uses)
+
+
+def _packed(strings: list[bytes], least: np.ndarray) -> bytes:
     """Strings with a number each, compressed: short texts of many kinds are dense only after entropy coding."""
     sizes = np.array([len(s) for s in strings], "<i4").tobytes()
-    return zlib.compress(len(strings).to_bytes(4, "little") + sizes + np.array(least, "<i8").tobytes() + b"".join(strings), 1)
+    return zlib.compress(len(strings).to_bytes(4, "little") + sizes + least.astype("<i8").tobytes() + b"".join(strings), 1)
 
 
 def _unpacked(data: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -226,10 +241,9 @@ def _send_runs(length: int, q: int, buckets: int, run_buckets: int, size: int) -
         if left.num_rows:
             runs = Runs(left, length, q)
             _keep_shared(runs, right, buckets, size)
-            rank = runs.rank[runs.owner].tolist()
-            for b, strings in _questions(runs, run_buckets).items():
-                least = [min(rank[i] for i in own) for own in strings.values()]
-                rows.append((b, _packed(list(strings), least)))
+            cuts, strings, own, uses = _questions(runs, run_buckets)
+            least = _least_ranks(runs, own, uses)
+            rows = [(b, _packed(strings[lo:hi], least[lo:hi])) for b, lo, hi in cuts]
         b, data = zip(*rows) if rows else ((), ())
         return pa.table(
             {"grp": pa.array([key[0].as_py()] * len(rows), pa.int64()), "bucket": pa.array(b, pa.int64()),
@@ -339,19 +353,25 @@ def _remove(length: int, q: int, buckets: int, run_buckets: int, size: int, with
         _keep_shared(runs, right, buckets, size)
         answers = _replies(right, 1)
         covered = np.zeros(len(runs.bytes) + 1, np.int32)
-        for b, strings in _questions(runs, run_buckets).items():
-            total = sum(len(s) - length + 1 for s in strings)
-            bits = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=total).astype(bool)
-            at = 0
-            for string, own in strings.items():
-                n = len(string) - length + 1
-                low = min(runs.rank[runs.owner[i]] for i in own)
-                for i in own:
-                    # Any later document of the group has all of the string from the first one.
-                    hit = np.arange(n) if runs.rank[runs.owner[i]] > low else np.flatnonzero(bits[at : at + n])
-                    covered[runs.start[i] + hit] += 1
-                    covered[runs.start[i] + hit + length] -= 1
-                at += n
+        cuts, strings, own, uses = _questions(runs, run_buckets)
+        windows = np.array([len(x) for x in strings], np.int64) - length + 1
+        bits = [np.zeros(0, np.uint8)]
+        for b, lo, hi in cuts:
+            bits.append(np.unpackbits(np.frombuffer(answers[b], np.uint8), count=int(windows[lo:hi].sum())))
+        earlier = np.concatenate(bits).astype(bool)
+        # Any later document of the group has all of a string from the group's first one ...
+        first = np.repeat(_least_ranks(runs, own, uses), uses)
+        later = runs.rank[runs.owner[own]] > first
+        begin = runs.start[own[later]]
+        np.add.at(covered, begin, 1)
+        np.add.at(covered, begin + runs.count[own[later]] + length - 1, -1)
+        # ... and the first one has the windows that the answers mark.
+        which, count = own[~later], np.repeat(windows, uses)[~later]
+        place = np.repeat(np.cumsum(windows) - windows, uses)[~later]
+        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        hit = (np.repeat(runs.start[which], count) + step)[earlier[np.repeat(place, count) + step]]
+        np.add.at(covered, hit, 1)
+        np.add.at(covered, hit + length, -1)
         gone = np.cumsum(covered[:-1]) > 0
         out = {k: [] for k in _REMOVED.names}
         given = left.column("doc_id").to_pylist()
