@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: the proven bound of what ``skewed_join`` broadcasts.
 HOT_SHARE = 1000
 
+#: The column of ``numbered``.
+ROW = "__numbered_row"
+
 #: Rows of an Arrow batch handed to Python: texts are long, and a batch is held in memory whole.
 BATCH_ROWS = 256
 
@@ -31,6 +34,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row number in ROW, as a table in the shared folder; as it is if it has one.
+
+    A second scan of a table may cut its files elsewhere, say after an executor is lost, and then
+    counts other places. What looks rows up by number takes decision and rows from this one table.
+    """
+    if ROW in docs.columns:
+        return docs
+    path = scratch_path(docs.sparkSession, "numbered")
+    own = docs.withColumn(ROW, F.monotonically_increasing_id())
+    own.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(own.schema).parquet(path)
+
+
+def row_number(docs: DataFrame) -> Column:
+    """The row number that ``numbered`` gave, else the place in this scan."""
+    return F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+
+
 def python_tasks(spark: SparkSession) -> None:
     """Prepare the session for this subpackage's Python tasks.
 

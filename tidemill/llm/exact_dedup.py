@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, full_text, hot_keys, skewed_join, written
+from .common import ROW, SPACES, full_text, hot_keys, numbered, row_number, skewed_join, written
 
 SALTS = 32
 
@@ -50,7 +50,8 @@ def dedup_classes(
     digest: Callable[[Column], Column] = sha256,
     salts: int = SALTS,
 ) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, row (its place in the input).
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, row (its number
+    if ``docs`` is ``numbered``, else its place in a scan).
 
     Texts are equal when identical after white-space runs become one space; null counts as empty.
     Of equal texts the smallest id stays; a null id stays only if the group has no other (keep_id
@@ -60,14 +61,16 @@ def dedup_classes(
     content = normalised(text_column)
     rows = written(
         docs.select(
-            F.monotonically_increasing_id().alias("row"),
+            row_number(docs).alias("row"),
             F.col(id_column).alias("doc_id"),
             digest(content).alias("digest"),
             F.sha2(content, 256).alias("text_sha256"),
         ),
         "exact-rows",
     )
-    contents = docs.select(F.col(id_column).alias("doc_id"), digest(content).alias("digest"), content.alias("content"))
+    contents = docs.select(
+        row_number(docs).alias("row"), F.col(id_column).alias("doc_id"), digest(content).alias("digest"), content.alias("content")
+    )
     best = written(winners(contents, salts).drop("content"), "exact-winners")
     shared = best.groupBy("digest").count().where("count > 1").select("digest")
     if shared.isEmpty():
@@ -78,8 +81,7 @@ def dedup_classes(
     )
     # Different contents under one digest: these documents alone are told apart by their full texts.
     texts = written(
-        contents.withColumn("row", F.monotonically_increasing_id())
-        .withColumn("text_sha256", F.sha2("content", 256))
+        contents.withColumn("text_sha256", F.sha2("content", 256))
         .join(shared, "digest", "left_semi"),
         "exact-collided",
     )
@@ -111,9 +113,9 @@ def _judged(rows: DataFrame, best: DataFrame, key: list[str]) -> DataFrame:
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows that ``dedup_classes`` keeps, with their own columns and texts.
 
-    Rows are found again by their place in the input, so that even a row repeated very often is
-    shuffled once per copy and evenly: ``docs`` must be a table or file scan, which reads alike twice.
+    Rows are numbered once and found again by number, so that even a row repeated very often is
+    shuffled once per copy and evenly.
     """
-    kept = dedup_classes(docs, id_column, text_column).where("kept").select("row")
-    own = docs.withColumn("__row", F.monotonically_increasing_id())
-    return own.join(kept.withColumnRenamed("row", "__row"), "__row", "left_semi").select(*docs.columns)
+    own = numbered(docs)
+    kept = dedup_classes(own, id_column, text_column).where("kept").select(F.col("row").alias(ROW))
+    return own.join(kept, ROW, "left_semi").select(*docs.columns)

@@ -11,7 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import full_text, named_key, written
+from ..operators.ranking import number_rows
+from .common import ROW, full_text, named_key, numbered, written
 
 #: Bytes of text in a shard at most (a longer document is a shard of its own).
 SHARD_BYTES = 1 << 20
@@ -115,8 +116,19 @@ def _split(rows: DataFrame, limit: int, ahead: int) -> tuple[DataFrame, DataFram
         low, high = high + 1, min(BITS, high + 8)
 
 
-def write_shards(docs: DataFrame, sharded: DataFrame, path: str) -> None:
-    """Write the documents, one folder per shard; ``docs`` is the table that ``shard`` was given."""
-    own = docs.withColumn("__row", F.monotonically_increasing_id())
-    places = sharded.select(F.col("row").alias("__row"), "shard")
-    own.drop("shard").join(places, "__row").drop("__row").repartition("shard").write.partitionBy("shard").parquet(path)
+def write_shards(
+    docs: DataFrame, sharded: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text"
+) -> None:
+    """Write the documents, one folder per shard; ``docs`` is the table that ``shard`` was given.
+
+    Documents meet their shards by id, bytes and a number among those equal in both, which may
+    change places without changing any shard's size.
+    """
+    own = numbered(docs)
+    size = F.octet_length(full_text(text_column)).cast("bigint")
+    keys = own.select(ROW, named_key(id_column).alias("id"), size.alias("bytes"))
+    places = written(sharded.select("row", named_key("doc_id").alias("id"), "bytes", "shard"), "shard-places")
+    keys = number_rows(keys, ["id", "bytes"], [ROW], "copy")
+    places = number_rows(places, ["id", "bytes"], ["row"], "copy")
+    shard_of = keys.join(places, ["id", "bytes", "copy"]).select(ROW, "shard")
+    own.drop("shard").join(shard_of, ROW).drop(ROW).repartition("shard").write.partitionBy("shard").parquet(path)

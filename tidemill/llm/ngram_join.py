@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import full_text, hot_keys, skewed_join, python_tasks, written
+from .common import ROW, full_text, hot_keys, numbered, skewed_join, python_tasks, written
 from .components import components
 from .words import mixed, shingles
 
@@ -221,7 +221,7 @@ def ngram_join(
     block_rows: int = BLOCK_ROWS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, row (its place in the input), component.
+    """One row per document: doc_id, class_id, n_links, row (its number, see ``numbered``), component.
 
     Two texts are linked if the Jaccard similarity of their sets of ``size`` words in a row is at
     least ``threshold``; n_links counts the other documents linked, copies included. A class is a
@@ -234,8 +234,10 @@ def ngram_join(
     python_tasks(spark)
     bands, rows_per_band = bands_for(threshold, recall)
     ratio = threshold.as_integer_ratio() if threshold in (0.5, 0.75, 1.0) else (round(threshold * 1000), 1000)
-    base = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+    # Texts are read again for the verification, by the rows that the hashes were made of.
+    texts_only = docs if ROW in docs.columns else docs.select(*dict.fromkeys([id_column, text_column]))
+    base = numbered(texts_only).select(
+        F.col(ROW).alias("row"),
         F.col(id_column).cast("long").alias("doc_id"),
         full_text(text_column).alias("text"),
     )
@@ -330,15 +332,12 @@ def _linked(docs, base, nodes, members, size, ratio, block_rows, block_bytes) ->
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
-    """One document of each class: that with the least id (of rows repeating it, the first).
-
-    ``docs`` must be a table or file scan, which reads alike twice: rows are found by place.
-    """
+    """One document of each class: that with the least id (of rows repeating it, the first)."""
+    own = numbered(docs)
     kept = (
-        ngram_join(docs, id_column, text_column, **settings)
+        ngram_join(own, id_column, text_column, **settings)
         .groupBy("component")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
-        .select(F.col("first.row").alias("__row"))
+        .select(F.col("first.row").alias(ROW))
     )
-    own = docs.withColumn("__row", F.monotonically_increasing_id())
-    return own.join(kept, "__row", "left_semi").select(*docs.columns)
+    return own.join(kept, ROW, "left_semi").select(*docs.columns)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, full_text, hot_keys, named_key, skewed_join, unit, written
+from .common import ROW, WORD, full_text, hot_keys, named_key, numbered, row_number, skewed_join, unit, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Words of the mix over words of all sources.
@@ -127,18 +127,18 @@ def mix_sources(
 ) -> DataFrame:
     """The mix, one row per time a row is taken (and one, with a null shard, for a row not taken).
 
-    Columns: row (its place in the input), doc_id, size, source, source_size, target, time, shard,
+    Columns: row (its number if ``docs`` is ``numbered``, else its place in a scan), doc_id, size, source, source_size, target, time, shard,
     place (order within the shard, by a hash). The size is the number of words. A source's words
     taken differ from its target by less than its last document's size. Everything depends on
     ids, places and the seed only, so reruns agree.
 
     A null text has size 0, a null source is one source and comes last; rows that repeat are mixed
     each for itself; a source without words has target 0 and gives nothing; an empty table gives
-    no rows. ``docs`` must be a table or file scan, which reads alike twice.
+    no rows.
     """
     rows = written(
         docs.select(
-            F.monotonically_increasing_id().alias("row"),
+            row_number(docs).alias("row"),
             F.col(id_column).alias("doc_id"),
             F.regexp_count(full_text(text_column), F.lit(WORD)).cast("long").alias("size"),
             F.col(source_column).alias("source"),
@@ -239,9 +239,9 @@ def _times(dealt: DataFrame, drawn: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The rows of the mix in the columns of ``docs``; a row taken twice comes twice."""
-    taken = mix_sources(docs, **settings).where("shard is not null").select(F.col("row").alias("__row"), "time")
-    own = docs.withColumn("__row", F.monotonically_increasing_id())
-    return own.join(taken, "__row").select(*docs.columns)
+    own = numbered(docs)
+    taken = mix_sources(own, **settings).where("shard is not null").select(F.col("row").alias(ROW), "time")
+    return own.join(taken, ROW).select(*docs.columns)
 
 
 def write_shards(spark: SparkSession, mixed: DataFrame, path: str) -> None:
