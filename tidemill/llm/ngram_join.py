@@ -136,11 +136,13 @@ class _Forest:
 
 
 def bucket_links(
-    grams: list[np.ndarray], side: np.ndarray, keys: np.ndarray, band: int, copies: np.ndarray, threshold: tuple[int, int]
+    grams: list[np.ndarray], side: np.ndarray, alone: bool, keys: np.ndarray, band: int, copies: np.ndarray,
+    threshold: tuple[int, int],
 ) -> tuple[np.ndarray, np.ndarray]:
     """(links of each text, its root in the forest of links) among a bucket's texts.
 
-    ``side`` is 0 or 1: texts of side 0 meet those of side 1, or each other where all are of side 0.
+    ``side`` is 0 or 1: texts of side 0 meet those of side 1, which may have none, or each other if
+    the task is of one block (``alone``).
     A pair counts only where ``band`` is the first band whose key both share. Links count the
     partner's copies. The similarity test is on whole numbers: up * common >= down * union.
     """
@@ -149,7 +151,6 @@ def bucket_links(
     sizes = np.array([len(g) for g in grams])
     links = np.zeros(n, np.int64)
     forest = _Forest(n)
-    alone = not side.any()
     left = np.arange(n) if alone else np.flatnonzero(side == 0)
     right = left if alone else np.flatnonzero(side == 1)
     place = np.full(n, -1)
@@ -192,13 +193,14 @@ def _verify(size: int, threshold: tuple[int, int]):
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
             row, side = table.column("row").to_numpy(), table.column("side").to_numpy()
             band, copies = table.column("band").to_numpy(), table.column("copies").to_numpy()
+            alone = table.column("alone").to_numpy(zero_copy_only=False)
             keys = np.array(table.column("bands").to_pylist(), np.int64)
             rows, links, roots = [], [], []
             for a, b in zip(starts[:-1], starts[1:]):
                 if b - a < 2:
                     continue
                 own = [grams[bounds[i] : bounds[i + 1]] for i in range(a, b)]
-                found, root = bucket_links(own, side[a:b], keys[a:b], int(band[a]), copies[a:b], threshold)
+                found, root = bucket_links(own, side[a:b], bool(alone[a]), keys[a:b], int(band[a]), copies[a:b], threshold)
                 hit = np.flatnonzero(found)
                 rows.append(row[a:b][hit])
                 links.append(found[hit])
@@ -312,15 +314,16 @@ def _linked(docs, base, nodes, members, size, ratio, block_rows, block_bytes) ->
         "band",
         F.xxhash64("band", "key", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
         F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
+        (F.col("block") == F.col("other")).alias("alone"),
     )
     # Each text meets its own list of tasks once, so a whole text is shuffled to find its tasks once.
-    wanted = tasks.groupBy("node").agg(F.collect_list(F.struct("task", "side", "band")).alias("tasks"))
+    wanted = tasks.groupBy("node").agg(F.collect_list(F.struct("task", "side", "alone", "band")).alias("tasks"))
     wanted = written(wanted.join(nodes.drop("bytes"), "node"), "verify-tasks")
     given = (
         base.select(F.col("row").alias("node"), "text")
         .join(wanted, "node")
         .select(F.explode("tasks").alias("t"), F.col("node").alias("row"), "copies", "bands", "text")
-        .select("t.task", "t.side", "t.band", "row", "copies", "bands", "text")
+        .select("t.task", "t.side", "t.alone", "t.band", "row", "copies", "bands", "text")
     )
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return written(
