@@ -20,16 +20,15 @@ def documents(spark, place):
 
 @pytest.fixture
 def moving(spark, monkeypatch):
-    """After each table that an operator writes, the next scans are cut otherwise."""
-    cost, cores = spark.conf.get(COST), [12, 1]
+    """Once an operator has written a table, later scans are cut otherwise."""
+    cost = spark.conf.get(COST)
     spark.conf.set(COST, "1k")
     spark.conf.set(SPLITS, "1")
     for module in (exact_dedup, ngram_join, source_mix, extendible):
 
         def write(df, label, f=module.written):
             out = f(df, label)
-            cores.append(cores.pop(0))
-            spark.conf.set(SPLITS, str(cores[-1]))
+            spark.conf.set(SPLITS, "12")
             return out
 
         monkeypatch.setattr(module, "written", write)
@@ -75,3 +74,14 @@ def test_shards_hold_their_documents(spark, place, moving, documents):
     extendible.write_shards(docs, sharded, f"{place}/out")
     back = spark.read.option("basePath", f"{place}/out").schema("doc_id LONG, text STRING, shard STRING").parquet(f"{place}/out/shard=*")
     assert Counter((r.doc_id, len(r.text.encode()), r.shard or "") for r in back.collect()) == expected
+
+
+def test_mix_does_not_depend_on_places(spark, place):
+    rows = [(i // 3 if i % 4 else None, f"w{i // 3 % 40} " * (i // 3 % 7), "ab"[i // 3 % 2]) for i in range(240)]
+    drawn = []
+    for name, files in (("one", 1), ("more", 6)):
+        docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+        docs.repartition(files, "source", "text").write.parquet(f"{place}/{name}")
+        mix = source_mix.mix_sources(spark.read.parquet(f"{place}/{name}"), shards=3, blocks_per_shard=4)
+        drawn.append(Counter(tuple(r) for r in mix.drop("row").collect()))
+    assert drawn[0] == drawn[1]

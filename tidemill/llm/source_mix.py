@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import number_rows
 from .common import ROW, WORD, full_text, hot_keys, named_key, numbered, row_number, skewed_join, unit, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -130,12 +131,15 @@ def mix_sources(
     Columns: row (its number if ``docs`` is ``numbered``, else its place in a scan), doc_id, size, source, source_size, target, time, shard,
     place (order within the shard, by a hash). The size is the number of words. A source's words
     taken differ from its target by less than its last document's size. Everything depends on
-    ids, places and the seed only, so reruns agree.
+    the rows' values (but for maps and variants), their number among equal rows and the seed only, so
+    reruns agree, whatever the order and the splits of a scan.
 
     A null text has size 0, a null source is one source and comes last; rows that repeat are mixed
     each for itself; a source without words has target 0 and gives nothing; an empty table gives
     no rows.
     """
+    kinds = [(c, kind) for c, kind in docs.dtypes if c != ROW and "map<" not in kind and "variant" not in kind]
+    values = [x for c, _ in kinds for x in (F.col(c), F.col(c).isNull())]
     rows = written(
         docs.select(
             row_number(docs).alias("row"),
@@ -143,15 +147,18 @@ def mix_sources(
             F.regexp_count(full_text(text_column), F.lit(WORD)).cast("long").alias("size"),
             F.col(source_column).alias("source"),
             named_key(source_column).alias("host"),
+            F.xxhash64(F.lit(1), *values).alias("h1"),
+            F.xxhash64(F.lit(2), *values).alias("h2"),
         ),
         "mix-rows",
     )
+    rows = _with_copies(rows)
     sums = rows.groupBy("host", "source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_docs"))
     sources = with_targets(ranked_sources(sums), weights, total_share, most_times)
     sources = _block_counts(sources, shards * blocks_per_shard, block_words)
     hot = hot_keys(sources, ["host"], "source_docs", max(1, rows.count()))
 
-    draw = unit(F.lit(seed), F.col("doc_id"), F.col("row"))
+    draw = unit(F.lit(seed), "h1", "h2", "copy")
     dealt = skewed_join(rows, sources.drop("source", "source_docs", "rank", "weight", "limit"), ["host"], hot)
     dealt = written(
         dealt.withColumn("draw", draw).withColumn("block", F.floor(F.col("draw") * F.col("blocks")).cast("long")),
@@ -176,15 +183,28 @@ def mix_sources(
         .select("host", "block", "time", "shard")
     )
     rows_taken = taken.select(
-        "row", "doc_id", "size", "source", "source_size", "target", "host", "block",
+        "row", "doc_id", "size", "source", "source_size", "target", "host", "block", "h1", "h2", "copy",
         F.explode_outer(F.when(F.col("times") > 0, F.sequence(F.lit(1), F.col("times")))).alias("time"),
     )
     return rows_taken.join(shard_of, ["host", "block", "time"], "left").select(
         "row", "doc_id", "size", "source", "source_size", "target", "time", "shard",
-        F.xxhash64(F.lit(seed + 2), "row", "time").alias("place"),
+        F.xxhash64(F.lit(seed + 2), "h1", "h2", "copy", "time").alias("place"),
     )
 
 
+def _with_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``: a number among rows of equal values (``h1``, ``h2``), 1 for a row without equals."""
+    repeated = written(
+        rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "mix-repeated"
+    )
+    if repeated.isEmpty():
+        return rows.withColumn("copy", F.lit(1).cast("long"))
+    alone = rows.join(repeated, ["h1", "h2"], "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    hot = hot_keys(repeated, ["h1", "h2"], "n", rows.count())
+    equal = skewed_join(rows, repeated, ["h1", "h2"], hot).select(rows.columns)
+    return written(alone.unionByName(number_rows(equal, ["h1", "h2"], ["row"], "copy")), "mix-numbered")
+
+
 def _block_counts(sources: DataFrame, blocks: int, block_words: int) -> DataFrame:
     """Blocks of each source, by size: ``blocks`` in all or more, of ``block_words`` or less, each source one."""
     total = sources.select(F.sum("source_size")).first()[0] or 0
@@ -224,7 +244,7 @@ def _times(dealt: DataFrame, drawn: DataFrame) -> DataFrame:
     """
     marked = dealt.join(drawn.where("not cut").select("host", "block", F.lit(1).alias("more")), ["host", "block"], "left")
     last = dealt.join(drawn.where("cut").drop("cut"), ["host", "block"])
-    upto = F.sum("size").over(Window.partitionBy("host", "block").orderBy("draw", "row"))
+    upto = F.sum("size").over(Window.partitionBy("host", "block").orderBy("draw", "h1", "h2", "copy"))
     last = last.withColumn("upto", upto).where(
         F.col("before") + F.col("upto") - F.col("size") / 2 <= F.col("rest")
     )
