@@ -11,6 +11,7 @@ from .exact_dedup import dedup_classes
 from .extendible import BITS, SHARD_BYTES, shard
 from .line_quality import line_quality
 from .ngram_join import ngram_join
+from .prefix_trie import prefix_trie, regrown, turns_of
 from .secret_scan import BASE, RULES, joined, new_ledger, scan_versions
 from .source_mix import mix_sources
 from .suffix_dedup import suffix_dedup
@@ -92,6 +93,11 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_classes(_table(spark, folder, "documents")).drop("row")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The nodes of the trie of regrown conversations."""
+    return prefix_trie(*regrown(turns_of(_table(spark, folder, "conversations"))))
+
+
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_url_ratio": op2_url_ratio,
@@ -103,6 +109,7 @@ QUERIES = {
     "op8_bin_slack": op8_bin_slack,
     "op9_extendible_sharding": op9_extendible_sharding,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -124,4 +131,35 @@ ORACLE = {
                row_number() over (partition by normal order by doc_id) = 1 as kept, sha256(normal) as text_sha256
         from (select doc_id, {_NORMAL} as normal from documents)
         window same as (partition by normal)""",
+    "op11_prefix_trie": r"""
+        with turns as (
+            select conv_id as c, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                                      order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as own
+            from conversations where conv_id is not null group by 1),
+        drawn as (
+            select *, xor(list_reduce(
+                list_concat([4294967295::bigint], list_transform(string_split(c::varchar, ''), lambda x: ord(x)::bigint)),
+                lambda seen, byte: list_reduce(list_concat([xor(seen, byte)], range(8)),
+                    lambda v, bit: case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end)), 4294967295) % 4 as h
+            from turns),
+        regrown as (
+            select d.c, list_concat(list_slice(coalesce(b.own, []), 1, h), list_slice(d.own, h + 1, len(d.own))) as s
+            from drawn d left join turns b on b.c = d.c - d.c % 20),
+        prefixes as (select c, d, s[1:d] as p, d = len(s) as ends from (select *, unnest(range(len(s) + 1)) as d from regrown)),
+        nodes as (
+            select p, d, min(c) as conv_id, count(*) as n_convs,
+                   sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) as ends_sha256
+            from prefixes group by p, d),
+        children as (select p[1:d - 1] as p, count(*) as n_children from nodes where d > 0 group by 1),
+        facts as (
+            select n.*, coalesce(n_children, 0) as n_children, (n_children is null)::int as leaf,
+                   case when d = 0 then 0
+                        else (n_convs - 1) * len(regexp_extract_all(p[d].t, '[^\x20\x09-\x0D]+')) end as saved
+            from nodes n left join children using (p)),
+        sums as (
+            select p[1:k] as p, sum(leaf)::bigint as n_leaves, sum(saved)::bigint as saved_tokens
+            from (select *, unnest(range(d + 1)) as k from facts) group by 1)
+        select f.conv_id, f.d as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+               f.ends_sha256
+        from facts f join sums using (p) left join nodes u on f.d > 0 and u.p = f.p[1:f.d - 1]""",
 }
