@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import brute
 import pytest
 
-from tidemill.llm import prefix_trie
+from tidemill.llm import joined, prefix_trie
 from tidemill.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -98,11 +98,13 @@ def test_only_turnless_conversations(spark):
     assert found(prefix_trie.prefix_trie(steps, lengths)) == nodes({5: (), 3: ()})
 
 
-@pytest.mark.parametrize("size", [1, 7])
-def test_digests_of_ids_in_pieces(spark, size):
+@pytest.mark.parametrize("kind, size", [("LONG", 1), ("LONG", 7), ("STRING", 7)])
+def test_digests_of_members_in_pieces(spark, kind, size):
     ids = {b"a": list(range(-5, 60)), b"b": [12], b"c": [10**12, 9, -1]}
-    rows = spark.createDataFrame([(k, c) for k, v in ids.items() for c in v], "whole BINARY, conv LONG")
-    got = {bytes(r.whole): r.sha for r in prefix_trie.joined_digests(rows.repartition(4), size).collect()}
+    if kind == "STRING":
+        ids = {k: [str(x) for x in v] for k, v in ids.items()}
+    rows = spark.createDataFrame([(k, c) for k, v in ids.items() for c in v], f"whole BINARY, member {kind}")
+    got = {bytes(r.whole): r.sha for r in joined.joined_digests(rows.repartition(4), size).collect()}
     assert got == {k: hashlib.sha256(",".join(map(str, sorted(v))).encode()).hexdigest() for k, v in ids.items()}
 
 

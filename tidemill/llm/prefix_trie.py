@@ -21,14 +21,13 @@ its children in one task.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_rows
-from .common import WORD, full_text, hot_keys, python_tasks, skewed_join, written
+from .common import WORD, full_text, hot_keys, skewed_join, written
+from .joined import joined_digests
 
 #: Bytes of a name, of SHA-256.
 NAME_BYTES = 16
@@ -37,8 +36,6 @@ EVERY = 20
 MOST = 4
 #: Characters of a text that order turns of equal number and role; what is equal in these, its digest orders.
 ORDER_CHARS = 64
-#: Ids that are joined to one piece of text.
-PIECE_IDS = 10_000
 
 _COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
@@ -209,74 +206,6 @@ def _below(problems: list[DataFrame], values: DataFrame) -> DataFrame:
     return done
 
 
-def _pieces(size: int):
-    """Ids of one name in a row, joined by commas, ``size`` at a time."""
-
-    def table(rows):
-        kinds = (pa.binary(), pa.int64(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["whole", "first", "ids"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, ids = None, []
-        for batch in batches:
-            out = []
-            for whole, conv in zip(batch.column("whole").to_pylist(), batch.column("conv").to_pylist()):
-                if ids and (whole != name or len(ids) == size):
-                    out.append((name, ids[0], ",".join(map(str, ids))))
-                    ids = []
-                name = whole
-                ids.append(conv)
-            if out:
-                yield table(out)
-        if ids:
-            yield table([(name, ids[0], ",".join(map(str, ids)))])
-
-    return run
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The SHA-256 of each name's pieces, which come in order; one piece is held at a time."""
-
-    def table(rows):
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.binary(), pa.string()))], ["whole", "sha"])
-
-    name, state = None, None
-    for batch in batches:
-        out = []
-        for whole, ids in zip(batch.column("whole").to_pylist(), batch.column("ids").to_pylist()):
-            if state is None or whole != name:
-                if state is not None:
-                    out.append((name, state.hexdigest()))
-                name, state = whole, hashlib.sha256(ids.encode())
-            else:
-                state.update(b"," + ids.encode())
-        if out:
-            yield table(out)
-    if state is not None:
-        yield table([(name, state.hexdigest())])
-
-
-def joined_digests(rows: DataFrame, size: int = PIECE_IDS) -> DataFrame:
-    """(whole, sha) of rows (whole, conv): SHA-256 of a name's ids in numeric order, joined by commas.
-
-    A digest reads its bytes in order, however many they are. Ranges of (name, id) are joined to
-    pieces in parallel, and a task streams a name's pieces, so it never holds a name's ids.
-    """
-    python_tasks(rows.sparkSession)
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pieces = (
-        rows.select("whole", "conv")
-        .repartitionByRange(parts, "whole", "conv")
-        .sortWithinPartitions("whole", "conv")
-        .mapInArrow(_pieces(size), "whole BINARY, first LONG, ids STRING")
-    )
-    return (
-        pieces.repartition(parts, "whole")
-        .sortWithinPartitions("whole", "first")
-        .mapInArrow(_digests, "whole BINARY, sha STRING")
-    )
-
-
 def prefix_trie(steps: DataFrame, lengths: DataFrame) -> DataFrame:
     """One row per node of the trie of conversations.
 
@@ -341,7 +270,7 @@ def prefix_trie(steps: DataFrame, lengths: DataFrame) -> DataFrame:
         child.select(*first.columns)
         .unionByName(first)
         .join(below, "node", "left")
-        .join(joined_digests(wholes).withColumnRenamed("whole", "ends"), "ends", "left")
+        .join(joined_digests(wholes.withColumnRenamed("conv", "member")).withColumnRenamed("whole", "ends"), "ends", "left")
         .select(
             "conv_id", "depth", "parent_conv_id", "n_convs", "n_children",
             (F.col("leaves") + F.coalesce("more_leaves", none)).alias("n_leaves"),

@@ -11,6 +11,7 @@ from .exact_dedup import dedup_classes
 from .extendible import BITS, SHARD_BYTES, shard
 from .line_quality import line_quality
 from .ngram_join import ngram_join
+from .positional_index import contaminated
 from .prefix_trie import prefix_trie, regrown, turns_of
 from .secret_scan import BASE, RULES, joined, new_ledger, scan_versions
 from .source_mix import mix_sources
@@ -98,6 +99,11 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(*regrown(turns_of(_table(spark, folder, "conversations"))))
 
 
+def op13_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in each document."""
+    return contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("row")
+
+
 QUERIES = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_url_ratio": op2_url_ratio,
@@ -110,8 +116,10 @@ QUERIES = {
     "op9_extendible_sharding": op9_extendible_sharding,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op13_positional_index": op13_positional_index,
 }
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 ORACLE = {
@@ -162,4 +170,26 @@ ORACLE = {
         select f.conv_id, f.d as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
                f.ends_sha256
         from facts f join sums using (p) left join nodes u on f.d > 0 and u.p = f.p[1:f.d - 1]""",
+    "op13_positional_index": rf"""
+        with texts as (
+            select *, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from (select 'd' as kind, row_number() over () as r, doc_id as id, text from documents
+                  union all select 'i', 0, item_id, text from benchmark where item_id is not null)),
+        windows as (
+            select distinct id::varchar as item, least(10, len(w)) as n, array_to_string(w[k:k + 9], ' ') as p
+            from (select id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as k from texts where kind = 'i' and len(w) > 0)),
+        places as (
+            select r, n, k, array_to_string(w[k:k + n - 1], ' ') as p
+            from (select r, w, n, unnest(range(1, len(w) - n + 2)) as k
+                  from texts join (select distinct n from windows) on kind = 'd')),
+        hits as (select r, k, n, item from places join windows using (p, n)),
+        covered as (
+            select r, count(distinct k) as n_hit from (select r, unnest(range(k, k + n)) as k from hits) group by r),
+        found as (
+            select r, count(distinct item) as n_items, sha256(string_agg(distinct item, ',' order by item)) as items_sha256
+            from hits group by r)
+        select id as doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               coalesce(items_sha256, sha256('')) as items_sha256, n_hit is not null as contaminated
+        from texts left join covered using (r) left join found using (r) where kind = 'd'""",
 }
