@@ -114,3 +114,14 @@ def test_proximity(spark):
     got = {(r.doc_id, bytes(r.phrase), r.at) for r in found.collect()}
     # beta is the rarest term, and has the others within three words in documents 1 and 4.
     assert got == {(1, b"p", 3), (4, b"p", 1)}
+
+
+def test_lists_are_packed_without_loss():
+    rng = np.random.default_rng(3)
+    lists = [np.unique(rng.integers(0, m, n)) for m, n in ((2, 1), (200, 90), (1 << 14, 5), (1 << 31, 40), (1, 1), (1 << 20, 3000))]
+    uses = np.array([len(x) for x in lists])
+    blobs = positional_index.packed_lists(np.concatenate(lists), uses).to_pylist()
+    got = positional_index.unpacked_lists(blobs)
+    assert [x.tolist() for x in got] == [x.tolist() for x in lists]
+    assert [x.tolist() for x in positional_index.unpacked_lists(blobs[1:3])] == [x.tolist() for x in lists[1:3]]
+    assert positional_index.packed_lists(np.zeros(0, np.int64), np.zeros(0, np.int64)).to_pylist() == [] == positional_index.unpacked_lists([])
