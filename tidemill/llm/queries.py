@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import pin_settings
 from .bin_slack import pack
+from .collocations import collocations
 from .exact_dedup import dedup_classes
 from .extendible import BITS, SHARD_BYTES, shard
 from .line_quality import line_quality
@@ -99,6 +100,11 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(*regrown(turns_of(_table(spark, folder, "conversations"))))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations(_table(spark, folder, "documents"))
+
+
 def op13_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages in each document."""
     return contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("row")
@@ -116,6 +122,7 @@ QUERIES = {
     "op9_extendible_sharding": op9_extendible_sharding,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_collocations": op12_collocations,
     "op13_positional_index": op13_positional_index,
 }
 
@@ -170,6 +177,30 @@ ORACLE = {
         select f.conv_id, f.d as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
                f.ends_sha256
         from facts f join sums using (p) left join nodes u on f.d > 0 and u.p = f.p[1:f.d - 1]""",
+    "op12_collocations": rf"""
+        with pieces as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+            from (select coalesce(lang, 'und') as lang,
+                         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                                      '[.,;:!?\x0A-\x0D]')) as piece
+                  from documents)),
+        grams as (
+            select lang, size, array_to_string(w[k:k + size - 1], ' ') as p, count(*) as f
+            from (select lang, size, w, unnest(range(1, len(w) - size + 2)) as k from pieces, range(1, 5) as t(size))
+            group by all),
+        candidates as (select lang, size, p, f as a, string_split(p, ' ') as w from grams where size > 1 and f >= 30),
+        covered as (
+            select distinct s.lang, s.p from candidates s join candidates b
+            on b.lang = s.lang and b.size > s.size and contains(' ' || b.p || ' ', ' ' || s.p || ' ') and 100 * b.a >= 80 * s.a),
+        cuts as (
+            select c.lang, c.p, a, k, x.f as l, y.f as r, ((2000000::hugeint * a) // (x.f + y.f))::bigint as score
+            from (select *, unnest(range(1, size)) as k from candidates anti join covered using (lang, p)) c
+            join grams x on x.lang = c.lang and x.p = array_to_string(c.w[1:k], ' ')
+            join grams y on y.lang = c.lang and y.p = array_to_string(c.w[k + 1:], ' ')),
+        scored as (select * from cuts qualify row_number() over (partition by lang, p order by score, k) = 1)
+        select lang, row_number() over (partition by lang order by score desc, a desc, encode(p)) as rank, p as phrase, a, l, r,
+               (select sum(f)::bigint from grams g where g.lang = s.lang and size = 1) as n, score
+        from scored s qualify rank <= 2000""",
     "op13_positional_index": rf"""
         with texts as (
             select *, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
