@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import brute
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -236,6 +237,22 @@ def test_packing_odd_texts(spark, place):
     packed(got)
 
 
+def odd_words(n, seed):
+    """Words of letters that change their length in lower case, marks, points and several scripts."""
+    rng = random.Random(seed)
+    parts = "VALİ BELEDİYESİ İ I i\u0307 ſ ẞ ŉ ǰ ΐ Σ ς ﬁ ŀ Å Å é e\u0301 \u0345 ж 字 한 ١ ² 𝔘 ª 's n't a B ' - . , ., !".split(" ")
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) + rng.choice(["", ".", ",", "...", ".,"]) for _ in range(n)]
+
+
+def test_ids_are_the_tokenizers():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, words = Tokenizer.from_file(path), odd_words(30_000, 12)
+    texts = [" ".join(words[i : i + 3]) for i in range(0, len(words), 3)] + ["VALİ.", "VALİ", "BELEDİYESİ, VALİ..."]
+    ids, lengths = bin_slack.word_ids(path).encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert lengths.tolist() == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_bins_have_least_slack():
     rng = random.Random(5)
     counts = Counter(rng.randrange(1, 101) for _ in range(3000))

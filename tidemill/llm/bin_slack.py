@@ -84,13 +84,14 @@ class WordIds:
         found = list(map(young.get, words))
         at = [i for i, ids in enumerate(found) if ids is None]
         if at:
-            # "word," is "word" and ","; a stem that ends in a letter does not run into its points.
+            # "word," is "word" and ","; a stem that ends in a letter does not run into its points. It counts
+            # in lower case: a dotted capital I becomes a letter and a mark, which does run into them.
             split, plain = [], []
             for i in at:
                 w = words[i]
                 if w in old:
                     young[w] = old[w]
-                elif w[-1:] in (".", ",") and (stem := w.rstrip(".,"))[-1:].isalpha():
+                elif w[-1:] in (".", ",") and (stem := w.rstrip(".,")).lower()[-1:].isalpha():
                     split.append((w, stem, w[len(stem) :]))
                 else:
                     plain.append(w)
