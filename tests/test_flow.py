@@ -1,4 +1,5 @@
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -84,9 +85,12 @@ def test_without_edges_all_sources_feed_the_line_and_it_feeds_all_sinks(spark, p
 
 def test_what_a_flow_cannot_do_is_refused(spark):
     spec = flow([["s", "a"], ["a", "o"]], ())
-    spec["transforms"] = [{"type": "sql_transform", "id": "a", "query": "SELECT 1", "window_size": 5}]
-    with pytest.raises(ValueError, match="window_size"):
-        run_flow(spark, spec, inputs={"s": spark.range(1)})
+    window = lambda i: {"type": "sql_transform", "id": i, "query": "SELECT * FROM input_data", "window_size": 5}
+    spec["transforms"] = [window("a"), window("b")]
+    with pytest.raises(ValueError, match="unites rows of different windows"):
+        Flow({**spec, "edges": [["s", "a"], ["s", "o"], ["a", "o"]]})
+    with pytest.raises(ValueError, match="window of the windows"):
+        Flow({**spec, "edges": [["s", "a"], ["a", "b"], ["b", "o"]]})
     topic = {**flow([]), "sources": [{"type": "kafka", "id": "s", "brokers": "x:1", "group_id": "g", "topic": "t"}]}
     with pytest.raises(ValueError, match="checkpoint"):
         run_flow(spark, topic, inputs={}, reader=lambda s, o: s.readStream.format("rate").load().selectExpr("'' AS value"))
@@ -289,3 +293,90 @@ def test_topic_to_files_in_a_flow(spark, place):
         done = run_flow(spark, spec, checkpoint=place + "/c", reader=lambda s, o: s.readStream.text(place + "/t"))
         drain(done["queries"][0])
     assert sorted((r["a"], r["n"]) for r in spark.read.parquet(done["out"]).collect()) == [(1, 2), (2, 1)]
+
+
+def counting(place, size, **sink):
+    """A topic whose rows are counted once per ``size`` files, and also written as they come."""
+    return {
+        "name": "windows",
+        "sources": [{"type": "kafka", "id": "s", "brokers": "x:1", "group_id": "g", "topic": "t"}],
+        "transforms": [
+            {"type": "sql_transform", "id": "w", "window_size": size,
+             "query": "SELECT min(batch) AS first, max(batch) AS last, count(*) AS n FROM input_data"},
+        ],
+        "sinks": [{"type": "iceberg", "id": "o", "table_name": "counts", **sink}, {"type": "parquet_dir", "id": "p", "path": place}],
+        "edges": [["s", "w"], ["w", "o"], ["s", "p"]],
+    }
+
+
+def batches(place, first, last):
+    Path(place).mkdir(exist_ok=True)
+    for k in range(first, last):
+        Path(place, f"{k}.json").write_text("".join(json.dumps({"batch": k, "row": i}) + "\n" for i in range(k + 1)))
+        os.utime(f"{place}/{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+
+
+def by_file(place):
+    return lambda spark, options: spark.readStream.option("maxFilesPerTrigger", 1).text(place)
+
+
+def test_windows_of_batches_in_a_flow(spark, place):
+    spec = counting(place + "/out", 3)
+    rows = lambda: sorted(map(tuple, LandedTable(spark, done["o"]).read().select("first", "last", "n").collect()))
+    run = lambda: run_flow(spark, spec, warehouse=place + "/wh", checkpoint=place + "/check", reader=by_file(place + "/in"))
+    batches(place + "/in", 0, 4)
+    done = run()
+    for query in done["queries"]:
+        drain(query)
+    assert rows() == [(0, 2, 6)]  # the fourth batch waits
+    batches(place + "/in", 4, 7)  # a restart inside the window
+    done = run()
+    done["finish"]()
+    assert rows() == [(0, 2, 6), (3, 5, 15), (6, 6, 7)]
+    done["finish"]()
+    assert rows() == [(0, 2, 6), (3, 5, 15), (6, 6, 7)]
+    assert spark.read.parquet(done["p"]).count() == 28
+
+
+def test_a_window_that_is_handed_on_again_counts_once(spark, place, monkeypatch):
+    """The window's load is written, then the query dies before the window is closed."""
+    spec = counting(place + "/out", 2)
+    batches(place + "/in", 0, 3)
+    run = lambda: run_flow(spark, spec, warehouse=place + "/wh", checkpoint=place + "/check", reader=by_file(place + "/in"))
+    from tidemill.streaming.count_window import BatchBuffer
+
+    with monkeypatch.context() as patched:
+        patched.setattr(BatchBuffer, "done", lambda self, number: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            run()["finish"]()
+    done = run()
+    done["finish"]()
+    got = LandedTable(spark, done["o"]).read().select("first", "last", "n").collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 3), (2, 2, 3)]
+
+
+def test_a_replayed_batch_leaves_one_copy_in_a_catalog_table(spark, place, monkeypatch):
+    spark.sql(f"CREATE DATABASE replays LOCATION '{place}/db'")
+    spec = {**counting(place + "/out", 1, catalog="spark_catalog", bucket="replays"), "edges": [["s", "o"]], "transforms": []}
+    spec["sinks"] = spec["sinks"][:1]
+    batches(place + "/in", 0, 3)
+    run = lambda: run_flow(spark, spec, checkpoint=place + "/check", reader=by_file(place + "/in"))
+    from tidemill.plans import flow as flows
+
+    write = flows.append_to_catalog
+
+    def crash(*given):
+        write(*given)
+        raise RuntimeError("lost after the write")
+
+    try:
+        with monkeypatch.context() as patched:
+            patched.setattr(flows, "append_to_catalog", crash)
+            with pytest.raises(Exception, match="lost after the write"):
+                run()["finish"]()
+        done = run()
+        done["finish"]()
+        assert done["o"] == "spark_catalog.replays.counts"
+        assert sorted((r["batch"], r["row"]) for r in spark.table(done["o"]).collect()) == [(k, i) for k in range(3) for i in range(k + 1)]
+    finally:
+        spark.sql("DROP DATABASE replays CASCADE")

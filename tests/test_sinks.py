@@ -1,4 +1,6 @@
+import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemill.schema import SchemaMismatch
 from tidemill.sinks.files import kafka_frame, kafka_write, parquet_dir, partitioned_write, stdout_pretty
+from tidemill.sinks.changes import each_change
 from tidemill.sinks.landed import LandedTable, append_to_catalog
 
 
@@ -104,6 +107,64 @@ def test_append_to_catalog(spark, place):
         spark.sql("DROP DATABASE shop CASCADE")
 
 
+def test_a_load_in_a_catalog_table_is_replaced(spark, place):
+    spark.sql(f"CREATE DATABASE stock LOCATION '{place}/stock'")
+    try:
+        for load, rows in (("one", "(1, 'x'), (2, 'y')"), ("two", "(3, 'z')"), ("one", "(1, 'x'), (2, 'y')")):
+            append_to_catalog(spark.sql(f"SELECT * FROM VALUES {rows} AS t(a, `b.c`)"), "stock.goods", load)
+        append_to_catalog(spark.sql("SELECT 'w' AS `b.c`, 4 AS a"), "stock.goods")  # a load of its own
+        got = spark.table("stock.goods")
+        assert sorted(r["a"] for r in got.collect()) == [1, 2, 3, 4] and got.select("load_id").distinct().count() == 3
+        with pytest.raises(SchemaMismatch, match="differ"):
+            append_to_catalog(spark.sql("SELECT 1 AS a"), "stock.goods", "three")
+        spark.sql("CREATE TABLE stock.plain (a INT) USING parquet")
+        with pytest.raises(SchemaMismatch, match="load_id"):
+            append_to_catalog(spark.sql("SELECT 1 AS a"), "stock.plain", "one")
+    finally:
+        spark.sql("DROP DATABASE stock CASCADE")
+
+
+def test_a_time_filter_opens_matching_loads_only(spark, place):
+    table = LandedTable(spark, place + "/timed", event_time="ts")
+    for day in range(1, 6):
+        table.append(spark.sql(f"SELECT id, timestamp_ntz'2024-01-0{day} 00:00:00' + make_interval(0, 0, 0, 0, id) AS ts FROM range(20)"), f"day{day}")
+    table.append(spark.sql("SELECT 99L AS id, CAST(NULL AS TIMESTAMP_NTZ) AS ts"), "none")
+    log = {r["load_id"]: (r["min_time"], r["max_time"], r["added_records"]) for r in table.loads().collect()}
+    assert log["day3"] == (dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 3, 19), 20) and log["none"] == (None, None, 1)
+    part = table.read(since="2024-01-02 10:00:00", until="2024-01-04 05:00:00")
+    assert part.count() == 10 + 20 + 5
+    for day in (1, 5):  # files of loads outside are not opened: reading them would fail
+        for file in Path(place, f"timed/data/load_id=day{day}").rglob("*.parquet"):
+            file.write_bytes(b"broken")
+    assert part.count() == 10 + 20 + 5
+    with pytest.raises(Exception, match="(?i)parquet"):
+        table.read().count()
+
+
+def test_each_load_is_handed_on_once(spark, place):
+    table, out = LandedTable(spark, place + "/fed"), LandedTable(spark, place + "/copy")
+    copy = lambda rows, load: out.append(rows, load)
+    ids = lambda: sorted(r["id"] for r in out.read().collect())
+    assert each_change(table, "copier", copy) == 0
+    table.append(spark.range(5), "one")
+    table.append(spark.range(5, 8), "two")
+    spark.range(100, 107).write.parquet(place + "/fed/data/load_id=lost/schema_id=1")  # not logged
+    assert each_change(table, "copier", copy) == 1 and ids() == list(range(8))
+    table.append(spark.range(5), "one")  # replaced after it was handed on
+    assert each_change(table, "copier", copy) == 0 and ids() == list(range(8))
+    table.append(spark.range(8, 11), "three")
+
+    def crash(rows, load):
+        out.append(rows, load)
+        raise RuntimeError("lost after the write")
+
+    with pytest.raises(RuntimeError):
+        each_change(table, "copier", crash)
+    table.append(spark.range(11, 12), "four")  # logged while the third run is not done
+    assert each_change(table, "copier", copy) == 2 and ids() == list(range(12))
+    assert each_change(table, "other", copy) == 1 and len(ids()) == 24  # each consumer has its own place
+
+
 def test_loads_that_are_not_logged_do_not_count(spark, place):
     table = LandedTable(spark, place + "/logged")
     table.append(spark.range(5), "one")

@@ -42,8 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         done = run_flow(
             spark, options.flow, warehouse=options.warehouse, checkpoint=options.checkpoint, every=options.every
         )
-        for query in done["queries"]:
-            query.awaitTermination()
+        done["finish"]()
         return
     tables = {}
     for pair in options.table:

@@ -61,3 +61,31 @@ def number_rows(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
         same = same & F.col(key).eqNullSafe(F.col(f"_key{i}"))
     number = F.col("_local").cast("bigint") + F.coalesce("_shift", F.lit(0))
     return local.join(F.broadcast(shifts), same, "left").select(*df.columns, number.alias(name))
+
+
+def running_totals(df: DataFrame, order_by: Sequence[str], value: str, number: str, total: str) -> DataFrame:
+    """Rows numbered from 1 in the order of ``order_by``, which must be unique, with the total of ``value`` so far.
+
+    Even ranges of the order are summed up by themselves and shifted by the ranges before, of which
+    there are as many as shuffle partitions.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared_root(df.sparkSession)
+    # The range bounds come from a sample: they must not change between the two uses below.
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{value}`").alias("value"),
+                    *[F.col(f"`{c}`").alias(f"key{i}") for i, c in enumerate(order_by)])
+    keys = [f"key{i}" for i in range(len(order_by))]
+    ranged = own.repartitionByRange(ranges, *keys).withColumn("range", F.spark_partition_id()).checkpoint()
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("rows"), F.sum("value").alias("sum"))
+    shifts = sums.select(
+        "range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("rows", "sum")]
+    )
+    local = Window.partitionBy("range").orderBy(*keys)
+    so_far = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        ranged.withColumn("n", F.row_number().over(local))
+        .withColumn("upto", F.coalesce(F.sum("value").over(so_far), F.lit(0)))
+        .join(F.broadcast(shifts), "range")
+        .select("row.*", (F.col("n") + F.col("rows_before")).alias(number), (F.col("upto") + F.col("sum_before")).alias(total))
+    )

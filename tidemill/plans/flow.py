@@ -25,10 +25,12 @@ from ..sinks.files import parquet_dir, stdout_pretty
 from ..sinks.landed import LandedTable, SchemaLog, append_to_catalog, evolve_to_log
 from ..sources.csv_files import csv_scan
 from ..sources.kafka import Reader, connector, kafka_stream
-from ..streaming.ingest import each_batch
+from ..streaming.count_window import BatchBuffer
+from ..streaming.ingest import each_batch, query_id
 from ..streaming.topic_table import TopicTable, parse_messages
 
 Step = Callable[[DataFrame], DataFrame]
+Gather = Callable[[str, DataFrame], DataFrame | None]
 
 
 def load_spec(source: Mapping | str | Path) -> dict:
@@ -74,9 +76,6 @@ def _transform(entry: Mapping, registry: str | None) -> Step:
     if kind == "schema_evolution":
         return lambda df: _evolve(df, entry, registry)
     if kind == "sql_transform":
-        if int(entry.get("window_size") or 1) > 1:
-            # A micro-batch is the unit of work here: its size is the source's and the trigger's matter.
-            raise ValueError(f"{entry['id']}: window_size is not supported; set the size of the source's batches")
         return lambda df: sql_transform(df, entry["query"])
     raise ValueError(f"unknown transform type {kind}")
 
@@ -89,6 +88,7 @@ class Flow:
     nodes: dict[str, dict] = field(init=False)
     parents: dict[str, list[str]] = field(init=False)
     order: list[str] = field(init=False)
+    windows: dict[str, str | None] = field(init=False)
 
     def __post_init__(self) -> None:
         self.nodes = {}
@@ -108,6 +108,29 @@ class Flow:
             self.order = list(TopologicalSorter(self.parents).static_order())
         except CycleError as cycle:
             raise ValueError(f"edges form a cycle: {' -> '.join(cycle.args[1])}") from cycle
+        self.windows = self._windows()
+
+    def size_of(self, name: str) -> int:
+        """How many batches a step gathers before it runs."""
+        return int(self.nodes[name].get("window_size") or 1)
+
+    def _windows(self) -> dict[str, str | None]:
+        """For each node the step whose windows of batches its rows come in, if any.
+
+        Rows that come batch by batch and rows that come window by window can't meet in one node:
+        a load is one or the other, and is replaced as such.
+        """
+        found: dict[str, str | None] = {}
+        for name in self.order:
+            above = {found[p] for p in self.parents[name]}
+            if len(above) > 1:
+                raise ValueError(f"{name} unites rows of different windows: {sorted(map(str, above))}")
+            found[name] = next(iter(above), None)
+            if self.nodes[name]["group"] == "transforms" and self.size_of(name) > 1:
+                if found[name] is not None:
+                    raise ValueError(f"{name}: a window of the windows of {found[name]} is not supported")
+                found[name] = name
+        return found
 
     def _chain(self) -> list[tuple[str, str]]:
         """Without edges the transforms are one line: every source feeds the first of them and the last
@@ -134,9 +157,13 @@ class Flow:
     def group(self, name: str) -> list[str]:
         return [n for n, entry in self.nodes.items() if entry["group"] == name]
 
-    def frames(self, inputs: Mapping[str, DataFrame], registry: str | None = None) -> dict[str, DataFrame]:
+    def frames(
+        self, inputs: Mapping[str, DataFrame], registry: str | None = None, gather: Gather | None = None
+    ) -> dict[str, DataFrame]:
         """The frame of every node that some input reaches; several parents are united by name.
-        ``registry`` is the folder schema steps remember their schemas in.
+        ``registry`` is the folder schema steps remember their schemas in. ``gather`` takes the rows
+        that reach a step with a window of batches, and gives those of the window once it is full;
+        without it the rows are the whole window.
 
         A node that several others read is written to the shared folder once: it is computed once
         for all sinks behind it, which so get the same times and the same rows.
@@ -152,6 +179,10 @@ class Flow:
                 continue
             df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), arriving)
             entry = self.nodes[name]
+            if gather is not None and self.windows[name] == name:
+                df = gather(name, df)
+                if df is None:
+                    continue
             df = _transform(entry, registry)(df) if entry["group"] == "transforms" else df
             built[name] = _once(df, name) if readers[name] > 1 else df
         return built
@@ -169,6 +200,10 @@ def _table_root(spark: SparkSession, entry: Mapping, warehouse: str | None) -> s
     return f"{base.rstrip('/')}/{entry.get('bucket', 'default')}/{entry['table_name']}"
 
 
+def _catalog_name(entry: Mapping) -> str:
+    return f"{entry['catalog']}.{entry.get('bucket', 'default')}.{entry['table_name']}"
+
+
 def _write(
     df: DataFrame, entry: Mapping, warehouse: str | None, load_id: str | None, evolve: bool
 ) -> str | None:
@@ -184,8 +219,8 @@ def _write(
         return target
     if kind == "iceberg" and entry.get("catalog"):
         # A table format's own catalog keeps schema, snapshots and commits.
-        name = f"{entry['catalog']}.{entry.get('bucket', 'default')}.{entry['table_name']}"
-        append_to_catalog(df, name)
+        name = _catalog_name(entry)
+        append_to_catalog(df, name, load_id)
         return name
     if kind == "iceberg":
         table = LandedTable(df.sparkSession, _table_root(df.sparkSession, entry, warehouse), entry.get("partition_by", ()))
@@ -205,7 +240,10 @@ def run_flow(
 ) -> dict:
     """Run a flow: tables once, topics as streams.
 
-    Returns for each sink where it wrote, and under ``queries`` the streaming queries started.
+    Returns for each sink where it wrote, under ``queries`` the streaming queries started, and under
+    ``finish`` a function that waits for them and then runs what is left in open windows: a step with
+    a ``window_size`` runs once for so many micro-batches of a topic, and at the end for the rest. A
+    table is one window.
     ``inputs`` may supply the frame of a source. For a stream every micro-batch goes through the
     whole flow from its source, so transforms may use anything a table allows, including row
     numbers within the batch; a topic that has a table of its own passes on the rows of each load.
@@ -231,7 +269,7 @@ def run_flow(
 
     if streams and checkpoint is None:
         raise ValueError("topics need a checkpoint folder: without it every run would read them anew")
-    results: dict = {"queries": []}
+    results: dict = {"queries": [], "finish": lambda: None}
     sinks = flow.group("sinks")
     if tables:
         built = flow.frames(tables, f"{checkpoint}/schemas" if checkpoint else None)
@@ -242,7 +280,7 @@ def run_flow(
         place = f"{checkpoint}/{name}"
         entry = flow.nodes[name]
         mapping = entry.get("topic_mapping")
-        onward = _onward(flow, name, warehouse, f"{checkpoint}/schemas")
+        onward = _onward(flow, name, warehouse, f"{checkpoint}/schemas", f"{place}/windows")
         if mapping:
             root = _table_root(spark, {"table_name": mapping["iceberg_table"], **mapping}, warehouse)
             loader = TopicTable(
@@ -262,21 +300,69 @@ def run_flow(
         results["queries"].append(each_batch(stream, run, place, name, every))
         for sink in flow.behind(name):
             target = flow.nodes[sink]
-            if target["type"] == "parquet_dir":
+            if target.get("catalog"):
+                results[sink] = _catalog_name(target)
+            elif target["type"] == "parquet_dir":
                 results[sink] = f"{target['path'].rstrip('/')}/{sink}.parquet"
             elif target["type"] == "iceberg":
                 results[sink] = _table_root(spark, target, warehouse)
+    if results["queries"]:
+        started = dict(zip(streams, results["queries"]))
+        results["finish"] = lambda: _finish(flow, spark, started, warehouse, checkpoint)
     return results
 
 
-def _onward(flow: Flow, source: str, warehouse: str | None, registry: str):
-    """Send a source's typed rows through the flow; each sink's load has an id of its own."""
+def _finish(flow: Flow, spark: SparkSession, started: Mapping, warehouse: str | None, checkpoint: str) -> None:
+    """Wait for draining queries, and send what their open windows have through the rest of the flow."""
+    for source, query in started.items():
+        query.awaitTermination()
+        for name in flow.group("transforms"):
+            if flow.windows[name] != name:
+                continue
+            buffer = BatchBuffer(spark, f"{checkpoint}/{source}/windows/{name}", flow.size_of(name))
+            if (rest := buffer.open_window()) is None:
+                continue
+            first, last, rows = rest
+            built = flow.frames({name: _transform(flow.nodes[name], f"{checkpoint}/schemas")(rows)}, f"{checkpoint}/schemas")
+            for sink in flow.behind(name):
+                _write(built[sink], flow.nodes[sink], warehouse, _window_load(source, query.id, name, first, sink), flow.evolves)
+            buffer.done(last)
+
+
+def _window_load(source: str, query: str, step: str, first: int, sink: str) -> str:
+    return f"{source}-{query}-{step}-{first:012d}-{sink}"
+
+
+def _onward(flow: Flow, source: str, warehouse: str | None, registry: str, windows: str):
+    """Send a source's typed rows through the flow; each sink's load has an id of its own: that of the
+    batch, or of the window that the rows come from."""
 
     def run(rows: DataFrame, load_id: str) -> None:
         behind = flow.behind(source)
-        built = flow.frames({source: rows}, registry) if behind else {}
+        if not behind:
+            return
+        number, first = int(load_id.rsplit("-", 1)[1]), {}
+        buffers = {
+            n: BatchBuffer(rows.sparkSession, f"{windows}/{n}", flow.size_of(n)) for n in flow.nodes if flow.windows[n] == n
+        }
+
+        def gather(name: str, arrived: DataFrame) -> DataFrame | None:
+            full = buffers[name].add(arrived, number)
+            if full is None:
+                return None
+            first[name] = full[0]
+            return full[1]
+
+        built = flow.frames({source: rows}, registry, gather)
         for sink in behind:
-            _write(built[sink], flow.nodes[sink], warehouse, f"{load_id}-{sink}", flow.evolves)
+            if sink in built:
+                step = flow.windows[sink]
+                own = f"{load_id}-{sink}"
+                if step is not None:
+                    own = _window_load(source, query_id(rows), step, first[step], sink)
+                _write(built[sink], flow.nodes[sink], warehouse, own, flow.evolves)
+        for name in first:
+            buffers[name].done(number)
 
     return run
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,12 +24,16 @@ from ..operators.ticker import preferred_quote, unpivot_ticker
 from ..schema import conform_and_union, infer_schema, nested_paths, schema_evolution, schema_from_config
 from ..session import scratch_path, pin_settings
 from ..sinks.files import kafka_frame, parquet_dir, partitioned_write
-from ..sinks.landed import LandedTable
+from ..sinks.changes import each_change
+from ..sinks.landed import LandedTable, append_to_catalog
 from ..sources.csv_files import csv_rejects, csv_scan
+from ..sources.json_arrays import array_scan
 from ..sources.json_files import json_scan
 from ..sources.json_values import parse_json, split_json
 from ..sources.kafka import kafka_stream
 from ..sources.tables import parquet_scan, parquet_stream
+from ..streaming.count_window import close_window, each_window
+from ..streaming.late import late_log, part_late
 from ..streaming.ingest import drain, each_batch, to_landed, to_parquet
 from ..streaming.topic_table import TopicTable
 from ..streaming.windows import latest_updates, to_updates, window_stats
@@ -177,6 +181,26 @@ def _json_layouts(spark, folder):
     return json_scan(spark, path, pattern="*.txt")
 
 
+@query("src4_split_array", r"""
+    select o_orderkey, o_orderstatus, concat('}{"', o_orderpriority, '\\"]}') as o_comment, o_totalprice as price from orders""")
+def _split_array(spark, folder):
+    """Files of one array each, with braces and quotes in their texts, read in ranges of 64 KB."""
+    path = scratch_path(spark, "json-arrays")
+    note = F.concat(F.lit('}{"'), F.col("o_orderpriority"), F.lit('\\\\"]}'))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", note.alias("o_comment"), F.struct(F.col("o_totalprice").alias("price")).alias("o"))
+    in_file = Window.partitionBy("file").orderBy("o_orderkey")
+    lines = orders.withColumn("file", F.col("o_orderkey") % 3).withColumns(
+        {"first": F.lag("o_orderkey").over(in_file).isNull(), "last": F.lead("o_orderkey").over(in_file).isNull()}
+    )
+    text = F.concat(
+        F.when(F.col("first"), "[").otherwise(","), F.to_json(F.struct("o_orderkey", "o_orderstatus", "o_comment", "o")),
+        F.when(F.col("last"), "]").otherwise(""),
+    )
+    lines.select(text.alias("value"), "file").write.partitionBy("file").text(path)
+    rows = array_scan(spark, path, "*.txt", range_bytes=64 << 10)
+    return rows.select("o_orderkey", "o_orderstatus", "o_comment", F.col("o.price").alias("price"))
+
+
 @query("src5_parquet_glob", "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from orders")
 def _parquet_glob(spark, folder):
     path = scratch_path(spark, "parquet")
@@ -192,6 +216,18 @@ def _landed(spark, folder):
     return landed.read()
 
 
+@query("src6_change_feed", "select o_orderkey, o_orderstatus from orders")
+def _change_feed(spark, folder):
+    """A consumer that copies what is new: a load sent again and one that is not logged add nothing."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    source, copy = (LandedTable(spark, scratch_path(spark, f"feed-{k}")) for k in ("source", "copy"))
+    orders.limit(5).write.parquet(f"{source.root}/data/load_id=lost/schema_id=1")
+    for status in ("O", "F", "O", "P"):
+        source.append(orders.where(F.col("o_orderstatus") == status), status)
+        each_change(source, "copier", copy.append)
+    return copy.read()
+
+
 @query("src7_dead_letters", """
     select event_id, case when event_type = 'error' then 'malformed' when event_type = 'view' then 'not an object'
            else 'good' end as outcome from events""")
@@ -391,6 +427,30 @@ def _count_window(spark, folder):
 _ROUTES = {"user": "event_type IN ('signup', 'view', 'click', 'purchase')", "system": "event_type = 'error'"}
 
 
+@query("trf6_batch_windows", """
+    select min(event_id % 7) as first_batch, max(event_id % 7) as last_batch, count(*) as events, count(distinct user_id) as users
+    from events group by (event_id % 7) // 3""")
+def _batch_windows(spark, folder):
+    """Seven batches, each by a run of its own, in windows of three: SQL sees each window as one table, the
+    last one, of a single batch, when the stream has ended."""
+    files, checkpoint = scratch_path(spark, "window-batches"), scratch_path(spark, "window-checkpoint")
+    events = table(spark, folder, "events").select("event_id", "user_id", (F.col("event_id") % 7).alias("batch"))
+    out = LandedTable(spark, scratch_path(spark, "window-counts"))
+    counting = (
+        "SELECT min(batch) AS first_batch, max(batch) AS last_batch, count(*) AS events, "
+        "count(DISTINCT user_id) AS users FROM input_data"
+    )
+
+    def write(rows, load):
+        LandedTable(rows.sparkSession, out.root).append(sql_transform(rows, counting), load)
+
+    for batch in range(7):
+        events.where(F.col("batch") == batch).write.mode("append").parquet(files)
+        query = drain(each_window(parquet_stream(spark, files), write, checkpoint, "counted", 3))
+    close_window(query, spark, write, checkpoint, "counted", 3)
+    return out.read()
+
+
 @query("g4_split_events", """
     select case event_type when 'error' then 'system' else 'user' end as branch, event_id, event_type from events""")
 def _split(spark, folder):
@@ -565,6 +625,35 @@ def _audit(spark, folder):
     return loads.select(*_bigint("snapshot_id", "parent_id"), "operation", "added_records", "total_records")
 
 
+@query("snk4_time_ranges", """
+    select o_orderstatus as load_id, min(o_orderdate)::timestamp as min_time, max(o_orderdate)::timestamp as max_time,
+           count(*) as added_records, count(*) filter (where o_orderdate >= date '1996-01-01' and o_orderdate < date '1996-07-01') as in_range
+    from orders group by all""")
+def _time_ranges(spark, folder):
+    """Loads with their first and last time, and rows read by time, for which loads outside are not opened."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    landed = LandedTable(spark, scratch_path(spark, "timed"), event_time="o_orderdate")
+    for status in ("O", "F", "P"):
+        landed.append(orders.where(F.col("o_orderstatus") == status), status)
+    part = landed.read(since="1996-01-01", until="1996-07-01").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("in_range"))
+    log = landed.loads().select("load_id", "min_time", "max_time", "added_records")
+    return log.join(part.withColumnRenamed("o_orderstatus", "load_id"), "load_id", "left").withColumn(
+        "in_range", F.coalesce("in_range", F.lit(0).cast("bigint"))
+    )
+
+
+@query("snk6_catalog_replay", "select o_orderkey, o_orderstatus as load_id from orders where o_orderstatus <> 'P'")
+def _catalog_replay(spark, folder):
+    """Loads into a table of the session's catalog, the first of them sent again: it is there once."""
+    place = scratch_path(spark, "catalog")
+    name = f"replayed_{place[-12:]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    for status in ("O", "F", "O"):
+        append_to_catalog(orders.where(F.col("o_orderstatus") == status).select("o_orderkey"), f"{name}.orders", status)
+    return spark.table(f"{name}.orders")
+
+
 @query("snk5_kafka_records", """
     select o_orderstatus as key, concat('{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus,
            '","o_orderpriority":"', o_orderpriority, '","note":null}') as value from orders""")
@@ -645,26 +734,52 @@ def _windows(spark, folder):
 
 
 @query("str5_late_rows", """
-    select date_trunc('hour', ts) as window_start, count(*) as data_points from events
-    where ts >= (select max(ts) from events) - interval 2 day group by all
+    select date_trunc('hour', ts) as window_start, count(*) as data_points from events group by all
     union all select timestamp '2030-01-01 00:00:00', count(*) from events where event_type = 'click'""")
 def _late(spark, folder):
-    """Three files: the newest rows, then all clicks moved to 2030, then rows that are too late by then.
-    The watermark is a day: the second file's come after it, and none of the third is counted."""
+    """Three batches: all rows, then all clicks moved to 2030, then all rows again, too late by then.
+    The watermark is a day: the second batch comes after it, and none of the third is counted."""
     files = scratch_path(spark, "late-events")
-    events = table(spark, folder, "events").select("ts", "event_type", "value")
-    newest = events.agg(F.max("ts").alias("newest"))
-    recent = events.join(F.broadcast(newest)).filter("ts >= newest - interval 2 day").select("ts", "value")
-    future = events.filter("event_type = 'click'").select(F.lit("2030-01-01").cast("timestamp_ntz").alias("ts"), "value")
     out, checkpoint = scratch_path(spark, "late-windows"), scratch_path(spark, "late-checkpoint")
-    for rows in (recent, future, recent):
-        rows.coalesce(1).write.mode("append").parquet(files)
+    for rows in _late_batches(spark, folder):
+        rows.write.mode("append").parquet(files)
         hourly = window_stats(parquet_stream(spark, files), "ts", "value", "1 hour", late_by="1 day")
         drain(to_updates(hourly, out, checkpoint))
     final = latest_updates(spark.read.parquet(out), ["window_start"])
     return final.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "data_points")
 
 
+def _late_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type", "value")
+    return [events, events.filter("event_type = 'click'").withColumn("ts", F.lit("2030-01-01").cast("timestamp_ntz")), events]
+
+
+@query("str5_late_output", """
+    select 'on time' as part, date_trunc('day', ts) as day, count(*) as n, sum(event_id)::bigint as ids from events group by all
+    union all select 'on time', timestamp '2030-01-01', count(*), sum(event_id)::bigint from events where event_type = 'click'
+    union all select 'late', date_trunc('day', ts), count(*), sum(event_id)::bigint from events group by all
+    union all select 'logged late', null, count(*), null from events""")
+def _late_output(spark, folder):
+    """The same batches, parted: late rows are kept beside those that are on time, and the log counts them."""
+    files, checkpoint = scratch_path(spark, "parted-events"), scratch_path(spark, "parted-checkpoint")
+    parts = {k: LandedTable(spark, scratch_path(spark, f"parted-{k}")) for k in ("on time", "late")}
+
+    def to(name):
+        return lambda rows, load: LandedTable(rows.sparkSession, parts[name].root).append(rows, load)
+
+    for rows in _late_batches(spark, folder):
+        rows.write.mode("append").parquet(files)
+        drain(part_late(parquet_stream(spark, files), "ts", "1 day", to("on time"), to("late"), checkpoint, "parted"))
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
+    kept = [
+        t.read().groupBy(F.lit(k).alias("part"), day).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+        for k, t in parts.items()
+    ]
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("day", "timestamp_ntz"), ("ids", "bigint"))]
+    logged = late_log(spark, checkpoint).agg(F.sum("late").alias("n")).select(F.lit("logged late").alias("part"), none[0], "n", none[1])
+    return kept[0].unionByName(kept[1]).unionByName(logged)
+
+
 _FLOW = {
     "name": "split-events",
     "sources": [{"type": "file_csv", "id": "raw", "path": ""}],

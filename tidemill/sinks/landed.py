@@ -22,10 +22,11 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ranking import running_totals
 from ..schema import SchemaMismatch, check_strict, conform, merge_schemas
 from ..schema.evolve import promote
 from .files import partitioned
@@ -35,7 +36,8 @@ _UNFIT = "column_name STRING, value STRING, row STRING"
 _VERSIONS = "schema_id INT, struct STRING, committed_at STRING"
 _LOADS = (
     "load_id STRING, committed_at STRING, operation STRING, schema_id INT, "
-    "added_files BIGINT, added_records BIGINT, added_bytes BIGINT, unfit_values BIGINT"
+    "added_files BIGINT, added_records BIGINT, added_bytes BIGINT, unfit_values BIGINT, "
+    "min_time TIMESTAMP_NTZ, max_time TIMESTAMP_NTZ"
 )
 
 
@@ -112,10 +114,15 @@ def evolve_to_log(df: DataFrame, log: SchemaLog, auto_infer: bool = False, stric
 
 
 class LandedTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
+    """``event_time`` names a column whose least and greatest value the log has for each load."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, partition_by: Sequence[str] = (), event_time: str | None = None
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
+        self.event_time = event_time
         self.schemas = SchemaLog(spark, f"{self.root}/schemas")
 
     def schema(self) -> T.StructType | None:
@@ -133,8 +140,20 @@ class LandedTable:
         schema_id, schema = self.schemas.evolve(df.schema, evolve)
         rows = partitioned(conform(df, schema), self.partition_by).withColumn("schema_id", F.lit(schema_id))
         target = f"{self.root}/data/load_id={load}"
+        # Observed last before the write, in the writing tasks: of a retried task one attempt counts.
+        seen = Observation()
+        time_of = F.lit(None)
+        if self.event_time is not None and self.event_time in rows.columns:
+            time_of = F.col(f"`{self.event_time}`")
+        time_of = time_of.cast("timestamp_ntz")
         (
-            rows.write.mode("overwrite")
+            rows.observe(
+                seen,
+                F.count(F.lit(1)).alias("records"),
+                F.min(time_of).cast("string").alias("min_time"),
+                F.max(time_of).cast("string").alias("max_time"),
+            )
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("schema_id", *self.partition_by)
             .parquet(target)
@@ -144,52 +163,52 @@ class LandedTable:
             place = f"{self.root}/unfit/load_id={load}"
             unfit_values(df, schema, fields).write.mode("overwrite").json(place)
             unfit = self.spark.read.schema(_UNFIT).json(place).count()
-        self._log_load(load, target, schema_id, unfit)
+        self._log_load(load, target, schema_id, unfit, seen.get)
         return load
 
     def unfit(self) -> DataFrame:
         """(load_id, column_name, value, row) of all values that did not fit their columns."""
         return self._logged(read_log(self.spark, f"{self.root}/unfit", f"{_UNFIT}, load_id STRING"))
 
-    def _logged(self, rows: DataFrame) -> DataFrame:
+    def _log(self) -> DataFrame:
+        return read_log(self.spark, f"{self.root}/loads", _LOADS)
+
+    def _logged(self, rows: DataFrame, loads: DataFrame | None = None) -> DataFrame:
         """Rows of loads that the log has; ``load_id`` is a partition column, so others are not read."""
-        known = read_log(self.spark, f"{self.root}/loads", _LOADS).select("load_id")
-        return rows.join(known, "load_id", "left_semi")
+        return rows.join((self._log() if loads is None else loads).select("load_id"), "load_id", "left_semi")
 
-    def _log_load(self, load: str, target: str, schema_id: int, unfit: int) -> None:
-        """Count what was committed, not what tasks reported: a retried task cannot count twice."""
+    def _log_load(self, load: str, target: str, schema_id: int, unfit: int, seen: dict) -> None:
+        """Log what the write observed, and the files that were committed; the files are listed, not read."""
         files = (
-            self.spark.read.schema("_ignored STRING")
-            .parquet(target)
-            .groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-            .agg(F.count(F.lit(1)).alias("records"))
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(target)
         )
         summary = files.agg(
             F.count(F.lit(1)).alias("added_files"),
-            F.coalesce(F.sum("records"), F.lit(0)).alias("added_records"),
-            F.coalesce(F.sum("bytes"), F.lit(0)).alias("added_bytes"),
+            F.lit(seen["records"]).cast("bigint").alias("added_records"),
+            F.coalesce(F.sum("length"), F.lit(0)).alias("added_bytes"),
         ).select(
             F.lit(_now()).alias("committed_at"),
             F.lit("append").alias("operation"),
             F.lit(schema_id).alias("schema_id"),
             "*",
             F.lit(unfit).cast("bigint").alias("unfit_values"),
+            *[F.lit(seen[c]).cast("timestamp_ntz").alias(c) for c in ("min_time", "max_time")],
         )
         summary.coalesce(1).write.mode("overwrite").json(f"{self.root}/loads/load_id={load}")
 
     def loads(self) -> DataFrame:
-        """The load log with snapshot numbers, parents and running totals. One row per load, so
-        the window over the whole log is small."""
-        log = read_log(self.spark, f"{self.root}/loads", _LOADS)
-        in_order = Window.partitionBy().orderBy("committed_at", "load_id")
-        so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        numbered = log.withColumn("snapshot_id", F.row_number().over(in_order))
-        return numbered.select(
-            "snapshot_id",
-            F.lag("snapshot_id").over(in_order).alias("parent_id"),
-            *log.columns,
-            F.sum("added_records").over(so_far).alias("total_records"),
-        )
+        """The load log with snapshot numbers, parents and running totals."""
+        log = self._log()
+        numbered = running_totals(log, ["committed_at", "load_id"], "added_records", "snapshot_id", "total_records")
+        parent = F.when(F.col("snapshot_id") > 1, F.col("snapshot_id") - 1)
+        return numbered.select("snapshot_id", parent.alias("parent_id"), *log.columns, "total_records")
+
+    def loads_logged(self) -> DataFrame:
+        """(load_id) of the loads that count."""
+        return self._log().select("load_id")
 
     # reading
 
@@ -197,16 +216,36 @@ class LandedTable:
         """The rows of one load under the current schema."""
         return self._read(load_id)
 
-    def read(self) -> DataFrame:
-        """All rows under the current schema.
+    def read(self, since=None, until=None) -> DataFrame:
+        """All rows under the current schema; of a table with ``event_time`` those from ``since`` and before ``until``.
 
         Each version's files are read with the schema they were written under and then cast:
         Parquet columns cannot be read as every wider type. Versions are few; partition columns
-        stay partition columns, so filters on them prune. Loads that are not in the log don't count.
+        stay partition columns, so filters on them prune. Loads that are not in the log don't count,
+        and loads whose times the log has outside of the limits are not opened.
         """
-        return self._read("*")
-
-    def _read(self, load: str) -> DataFrame:
+        if since is None and until is None:
+            return self._read("*")
+        if self.event_time is None:
+            raise ValueError("a table is read by time only if it has an event_time")
+        loads, time_of = self._log(), F.col(f"`{self.event_time}`").cast("timestamp_ntz")
+        inside = F.lit(True)
+        # A load without times was logged when the table had no event_time, or has none that is not null.
+        # Plain comparisons with the log's times let Spark prune the loads' folders when it joins.
+        unknown = [F.lit(x).cast("timestamp_ntz") for x in ("9999-12-31", "0001-01-01")]
+        if since is not None:
+            since = F.lit(since).cast("timestamp_ntz")
+            loads, inside = loads.where(F.coalesce("max_time", unknown[0]) >= since), inside & (time_of >= since)
+        if until is not None:
+            until = F.lit(until).cast("timestamp_ntz")
+            loads, inside = loads.where(F.coalesce("min_time", unknown[1]) < until), inside & (time_of < until)
+        return self._read("*", loads).where(inside)
+
+    def read_loads(self, loads: DataFrame) -> DataFrame:
+        """The rows of some loads, given by a column ``load_id``, if the log has them."""
+        return self._read("*", self._log().join(loads.select("load_id"), "load_id", "left_semi"))
+
+    def _read(self, load: str, loads: DataFrame | None = None) -> DataFrame:
         known = self.schemas.versions()
         if not known:
             raise FileNotFoundError(f"no landed table at {self.root}")
@@ -223,7 +262,7 @@ class LandedTable:
                 if missing.getCondition() != "PATH_NOT_FOUND":
                     raise
                 continue
-            part = conform(self._logged(part), current)
+            part = conform(self._logged(part, loads), current)
             result = part if result is None else result.unionByName(part)
         return result if result is not None else self.spark.createDataFrame([], current)
 
@@ -269,6 +308,53 @@ def _relaxed(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def append_to_catalog(df: DataFrame, table: str) -> None:
-    """Append to a table of the session's catalogs, by column name, creating it on first use."""
-    df.write.mode("append").saveAsTable(table)
+LOAD = "load_id"
+
+
+def append_to_catalog(df: DataFrame, table: str, load_id: str | None = None) -> None:
+    """Append to a table of the session's catalogs, by column name, creating it on first use.
+
+    With a ``load_id`` the rows are the table's partition of that name, in a column ``load_id``, and replace what it
+    has: a load that is written again, as by a replayed micro-batch, leaves one copy. Rows without
+    an id go to such a table as a load of their own.
+    """
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if load_id is None and (not exists or LOAD not in spark.table(table).columns):
+        df.write.mode("append").saveAsTable(table)
+        return
+    load = load_id or uuid.uuid4().hex
+    rows = df.withColumn(LOAD, F.lit(load))
+    if not exists:
+        _create_by_load(rows.limit(0), table)
+    known = spark.table(table).columns
+    if LOAD not in known:
+        raise SchemaMismatch(f"{table} has no column {LOAD} to replace a load by")
+    if other := {c.lower() for c in rows.columns} ^ {c.lower() for c in known}:
+        raise SchemaMismatch(f"{table} and the rows differ in columns {sorted(other)}")
+    rows = rows.select(*[F.col(f"`{c}`") for c in known])
+    if _is_session_table(spark, table):
+        # The rows' own partitions are replaced, the others stay.
+        mode, earlier = "spark.sql.sources.partitionOverwriteMode", None
+        earlier = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            rows.write.mode("overwrite").insertInto(table)
+        finally:
+            spark.conf.set(mode, earlier)
+    else:
+        rows.writeTo(table).overwrite(F.col(LOAD) == load)
+
+
+def _is_session_table(spark: SparkSession, table: str) -> bool:
+    """Whether a table is of Spark's own catalog and not of a configured one, with a table format of its own."""
+    parts = table.split(".")
+    catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
+    return catalog == "spark_catalog" and spark.conf.get("spark.sql.catalog.spark_catalog", None) is None
+
+
+def _create_by_load(empty: DataFrame, table: str) -> None:
+    if _is_session_table(empty.sparkSession, table):
+        empty.write.partitionBy(LOAD).saveAsTable(table)
+    else:
+        empty.writeTo(table).partitionedBy(F.col(LOAD)).create()

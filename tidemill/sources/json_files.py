@@ -72,7 +72,8 @@ def json_scan(
     A bad record stops the read, or is skipped with ``continue_on_error``; :func:`bad_records`
     counts those. ``auto`` looks at the files first, once. A folder of one format is read by its path;
     for mixed folders the names of the files per format come to the driver, which holds the file
-    index of a scan anyway.
+    index of a scan anyway. Files of an object or an array are read by one task each; for large arrays
+    see :func:`tidemill.sources.json_arrays.array_scan`.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unknown JSON format {file_format}")
