@@ -10,9 +10,12 @@ from tidemill.sinks.files import stdout_stream
 from tidemill.sinks.landed import LandedTable
 from tidemill.sources.kafka import kafka_stream
 from tidemill.sources.tables import parquet_stream
+from tidemill.sinks.variant_table import VariantTable
+from tidemill.streaming.count_window import close_window, each_window
+from tidemill.streaming.late import late_log, part_late
 from tidemill.streaming.ingest import drain, each_batch, to_landed, to_parquet, trigger_options
 from tidemill.streaming.topic_table import TopicTable, parse_messages
-from tidemill.streaming.windows import latest_updates, to_updates, window_stats
+from tidemill.streaming.windows import joint_window_stats, latest_updates, to_updates, window_stats
 
 START = dt.datetime(2024, 1, 1)
 
@@ -245,3 +248,90 @@ def test_console_stream(spark, place):
     add(spark, place + "/src", events(spark, 0, 3))
     query = drain(stdout_stream(parquet_stream(spark, place + "/src").select(F.col("id")), place + "/check"))
     assert query.lastProgress["numInputRows"] == 3 and "Console" in query.lastProgress["sink"]["description"]
+
+
+def test_windows_of_batches_and_marks(spark, place):
+    """A mark in the stream closes a window early; a crash between write and close repeats the window."""
+    src, check, out = place + "/src", place + "/check", LandedTable(spark, place + "/out")
+    seen = []
+
+    def write(rows, load):
+        seen.append((load.rsplit("-", 1)[1], sorted(r["id"] for r in rows.collect())))
+        LandedTable(rows.sparkSession, out.root).append(rows.groupBy().agg(F.count(F.lit(1)).alias("n")), load)
+
+    def batch(first, last):
+        add(spark, src, events(spark, first, last))
+        return drain(each_window(parquet_stream(spark, src), write, check, "w", 3, closes=F.col("id") == 6))
+
+    for first, last in ((0, 2), (2, 4), (4, 5), (5, 7), (7, 9)):
+        query = batch(first, last)
+    assert seen == [("000000000000", [0, 1, 2, 3, 4]), ("000000000003", [5, 6])]
+    for _ in range(2):
+        close_window(query, spark, write, check, "w", 3)
+    assert seen[2:] == [("000000000004", [7, 8])]
+    assert sorted(r["n"] for r in out.read().collect()) == [2, 2, 5]
+    assert len(list(Path(check, "windows/rows").glob("number=*"))) <= 2  # batches of closed windows go
+    batch(9, 10)
+    assert batch(10, 11) and seen[3:] == []
+
+
+def test_late_rows_are_kept_and_counted(spark, place):
+    src, check = place + "/src", place + "/check"
+    parts = {k: LandedTable(spark, f"{place}/{k}") for k in ("now", "late")}
+
+    def run(crash=False):
+        def late(rows, load):
+            LandedTable(rows.sparkSession, parts["late"].root).append(rows, load)
+            if crash:
+                raise RuntimeError("lost after the write")
+
+        now = lambda rows, load: LandedTable(rows.sparkSession, parts["now"].root).append(rows, load)
+        drain(part_late(parquet_stream(spark, src), "ts", "2 hours", now, late, check, "parted"))
+
+    def rows(*hours):
+        data = [(h, None if h is None else START + dt.timedelta(hours=h)) for h in hours]
+        add(spark, src, spark.createDataFrame(data, "h int, ts timestamp_ntz").coalesce(1))
+
+    rows(5, 0, None)  # one batch: only the row without a time is late
+    run()
+    rows(3, 2, 9)  # the first is at the limit of two hours before 5
+    with pytest.raises(Exception, match="lost after the write"):
+        run(crash=True)
+    run()
+    rows(8, 6)
+    run()
+    read = lambda k: [r["h"] for r in parts[k].read().orderBy("h").collect()]
+    assert read("now") == [0, 3, 5, 8, 9] and read("late") == [None, 2, 6]
+    log = [(r["batch"], r["newest"].hour, r["rows"], r["late"]) for r in late_log(spark, check).orderBy("batch").collect()]
+    assert log == [(0, 5, 3, 1), (1, 9, 3, 1), (2, 9, 2, 1)]
+
+
+@pytest.mark.parametrize("wait, hours", [(True, [0, 1]), (False, [0, 1, 2, 3])])
+def test_windows_of_two_sources_close_when_both_have_passed(spark, place, wait, hours):
+    def stream(name, *at):
+        rows = [(START + dt.timedelta(hours=h), 1.0) for h in at]
+        add(spark, f"{place}/{name}", spark.createDataFrame(rows, "ts timestamp_ntz, v double").coalesce(1))
+        return parquet_stream(spark, f"{place}/{name}")
+
+    streams = {"fast": stream("fast", 0, 1, 2, 3, 5), "slow": stream("slow", 0, 3)}
+    closed = joint_window_stats(streams, "ts", "v", "1 hour", "1 hour", wait_for_idle=wait)
+    drain(to_parquet(closed, place + "/out", place + "/check"))
+    got = spark.read.schema(closed.schema).parquet(place + "/out")
+    assert sorted(r["window_start"].hour for r in got.where("source = 'fast'").collect()) == hours
+    spark.conf.unset("spark.sql.streaming.multipleWatermarkPolicy")
+
+
+def test_messages_without_a_schema(spark, place):
+    landed = VariantTable(spark, place)
+    text = lambda *rows: spark.createDataFrame([(r,) for r in rows], "value string")
+    landed.load(text('{"a": 1, "b": "x"}', "not json", "[1]", None), "one")
+    landed.load(text('{"a": 2.5, "it\'s": true}'), "two")
+    landed.load(text('{"a": "odd", "c": {"d": [1, {"e": null}]}, "b": 7}'), "three")
+    landed.load(text('{"a": 2.5, "it\'s": true}'), "two")  # a replay
+    schema = landed.schema()
+    assert {f.name: f.dataType.simpleString() for f in schema.fields} == {"a": "double", "b": "string", "it's": "boolean", "c": "string"}
+    got = sorted(map(tuple, landed.typed().select("a", "b", "it's", "c").collect()), key=str)
+    assert got == [(1.0, "x", None, None), (2.5, None, True, None), (None, "7", None, '{"d":[1,{"e":null}]}')]
+    assert sorted(r["rejected"] or "" for r in landed.rejects().collect()) == ["", "[1]", "not json"]
+    whole = landed.typed(landed.schema(keep_objects=True)).where("c is not null").first()
+    assert whole["c"]["d"] is not None

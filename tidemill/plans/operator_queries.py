@@ -26,6 +26,7 @@ from ..session import scratch_path, pin_settings
 from ..sinks.files import kafka_frame, parquet_dir, partitioned_write
 from ..sinks.changes import each_change
 from ..sinks.landed import LandedTable, append_to_catalog
+from ..sinks.variant_table import VariantTable
 from ..sources.csv_files import csv_rejects, csv_scan
 from ..sources.json_arrays import array_scan
 from ..sources.json_files import json_scan
@@ -36,7 +37,7 @@ from ..streaming.count_window import close_window, each_window
 from ..streaming.late import late_log, part_late
 from ..streaming.ingest import drain, each_batch, to_landed, to_parquet
 from ..streaming.topic_table import TopicTable
-from ..streaming.windows import latest_updates, to_updates, window_stats
+from ..streaming.windows import joint_window_stats, latest_updates, to_updates, window_stats
 from . import views
 from .flow import run_flow
 from .reports import rounded
@@ -147,11 +148,22 @@ def _topic(spark, folder):
 
 
 @query("src3_json_rows", """
-    select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, 0.0::double as score, '' as label,
-           false as seen from events""")
+    select event_id, case when event_id % 2 = 0 then event_id else 0 end as k,
+           case when event_id % 3 = 0 then value else 0 end as score, case event_id % 4 when 0 then event_type else '' end as label,
+           (event_id % 5 = 0 and value > 20) as seen from events""")
 def _json_rows(spark, folder):
+    """Every field is there, missing, null or of another type in some of the messages."""
     declared = T.DataType.fromDDL("k bigint, score double, label string, seen boolean")
-    return parse_json(table(spark, folder, "events"), declared, "props", ["event_id"], on_missing="default")
+    every = lambda n, there, other=None: F.when(F.col("event_id") % n == 0, there).otherwise(F.lit(other))
+    fields = {
+        "k": every(2, F.to_json(F.struct(F.col("event_id").alias("k")))),
+        "score": every(3, F.to_json(F.struct(F.col("value").alias("score"))), '{"score":"none"}'),
+        "label": every(4, F.to_json(F.struct(F.col("event_type").alias("label"))), '{"label":null}'),
+        "seen": every(5, F.to_json(F.struct((F.col("value") > 20).alias("seen")))),
+    }
+    inner = F.concat_ws(",", *[F.regexp_extract(x, r"^\{(.*)\}$", 1) for x in fields.values()])
+    messages = table(spark, folder, "events").select("event_id", F.concat(F.lit("{"), inner, F.lit("}")).alias("message"))
+    return parse_json(messages, declared, "message", ["event_id"], on_missing="default")
 
 
 @query("src4_json_scan", "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from orders")
@@ -250,13 +262,17 @@ def _dead_letters(spark, folder):
 
 
 @query("sch1_configured_schema", """
-    select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, null::varchar as label,
-           'label required' as broken from events""")
+    select event_id, case when event_id % 3 <> 1 then event_id end as k, case when event_id % 3 <> 2 then event_type end as label,
+           case event_id % 3 when 1 then 'k required' when 2 then 'label required' else '' end as broken from events""")
 def _configured(spark, folder):
+    """Messages that lack the one or the other field."""
     schema = schema_from_config(
-        {"fields": [{"name": "k", "data_type": "int64"}, {"name": "label", "data_type": "text"}]}
+        {"fields": [{"name": "k", "data_type": "int64", "nullable": False}, {"name": "label", "data_type": "text", "nullable": False}]}
     )
-    rows = parse_json(table(spark, folder, "events"), schema, "props", ["event_id"])
+    message = F.to_json(F.struct(
+        F.when(F.col("event_id") % 3 != 1, F.col("event_id")).alias("k"), F.when(F.col("event_id") % 3 != 2, F.col("event_type")).alias("label")
+    ))
+    rows = parse_json(table(spark, folder, "events").withColumn("message", message), schema, "message", ["event_id"])
     checked = check_rules(rows, required_rules(schema))
     return checked.select("event_id", "k", "label", F.array_join("failed_rules", ",").alias("broken"))
 
@@ -295,6 +311,21 @@ def _inferred(spark, folder):
     return _schema_rows(messages, [(f.name, f.dataType) for f in infer_schema(messages).fields])
 
 
+@query("sch3_variant_landing", """
+    select event_id as id, event_type as kind, case when event_id % 3 = 2 then value end as extra,
+           case when event_id % 3 = 2 then concat('{"user":', user_id, '}') end as who from events""")
+def _variant_landing(spark, folder):
+    """Three loads without a schema; two fields first appear in the third, one of them an object."""
+    landed = VariantTable(spark, scratch_path(spark, "variants"))
+    events = table(spark, folder, "events")
+    fields = [F.col("event_id").alias("id"), F.col("event_type").alias("kind")]
+    more = [F.col("value").alias("extra"), F.struct(F.col("user_id").alias("user")).alias("who")]
+    for k in range(3):
+        message = F.to_json(F.struct(*fields, *(more if k == 2 else [])))
+        landed.load(events.where(F.col("event_id") % 3 == k).select(message.alias("value")), f"load-{k}")
+    return landed.typed()
+
+
 @query("sch4_nested_paths", """
     select field, field_type, messages from (select count(*) as messages from events),
     (values ('id', 'bigint'), ('meta.user', 'bigint'), ('meta.detail.kind', 'string'), ('paid', 'boolean'),
@@ -733,6 +764,29 @@ def _windows(spark, folder):
     )
 
 
+@query("str3_joint_watermark", """
+    with newest as (
+        select least(max(ts) filter (event_type <> 'click'), max(ts) filter (event_type = 'click' and ts < timestamp '2024-01-20'))
+               - interval 1 hour as closed from events)
+    select if(event_type = 'click', 'clicks', 'others') as source, date_trunc('hour', ts) as window_start, count(*) as data_points
+    from events, newest where (event_type <> 'click' or ts < timestamp '2024-01-20') and date_trunc('hour', ts) + interval 1 hour <= closed
+    group by all""")
+def _joint(spark, folder):
+    """Two sources as one stream; clicks end earlier, and windows close only as far as they have come."""
+    events = table(spark, folder, "events").select("ts", "event_type", "value")
+    click = F.col("event_type") == "click"
+    streams = {}
+    for name, rows in {"clicks": events.where(click & (F.col("ts") < "2024-01-20")), "others": events.where(~click)}.items():
+        path = scratch_path(spark, f"joint-{name}")
+        rows.write.parquet(path)
+        streams[name] = parquet_stream(spark, path)
+    closed = joint_window_stats(streams, "ts", "value", "1 hour", "1 hour")
+    out, checkpoint = scratch_path(spark, "joint"), scratch_path(spark, "joint-checkpoint")
+    drain(to_parquet(closed, out, checkpoint))
+    window = F.col("window_start").cast("timestamp_ntz").alias("window_start")
+    return spark.read.schema(closed.schema).parquet(out).select("source", window, "data_points")
+
+
 @query("str5_late_rows", """
     select date_trunc('hour', ts) as window_start, count(*) as data_points from events group by all
     union all select timestamp '2030-01-01 00:00:00', count(*) from events where event_type = 'click'""")

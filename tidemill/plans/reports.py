@@ -76,14 +76,19 @@ simple("f2_delays_by_day", views.flights, flights.delays_by_day, """
            count(*) filter (where arr_delay > 15) as delayed_arrivals
     from v_flights group by fl_date""")
 
+# The limits as a table of ranges, of which the first that holds counts: a missing delay is in no range.
 simple("f3_performance_share", views.flights, flights.performance_share, """
-    select label as performance_category, n as flight_count,
-           round(n * cast(100 as double) / (select count(*) from v_flights), 2) as percentage
-    from (select case when greatest(dep_delay, arr_delay) <= 0 and dep_delay is not null then 'Early'
-                      when dep_delay >= 0 and dep_delay <= 15 and arr_delay >= 0 and arr_delay <= 15 then 'On Time'
-                      when coalesce(dep_delay, 0) > 15 or coalesce(arr_delay, 0) > 15 then 'Delayed'
-                      else 'Unknown' end as label, count(*) as n
-          from v_flights group by label)""")
+    select * from (with rules(place, label, dep_from, dep_to, arr_from, arr_to) as (values
+            (1, 'Early', -1e9, 0, -1e9, 0), (2, 'On Time', 0, 15, 0, 15),
+            (3, 'Delayed', 15.0001, 1e9, null, null), (3, 'Delayed', null, null, 15.0001, 1e9)),
+        labelled as (
+            select row, coalesce(min_by(label, place), 'Unknown') as label
+            from (select dep_delay, arr_delay, row_number() over () as row from v_flights) left join rules
+            on (dep_from is null or dep_delay between dep_from and dep_to) and (arr_from is null or arr_delay between arr_from and arr_to)
+            group by row)
+    select label as performance_category, count(*) as flight_count,
+           round(count(*) * cast(100 as double) / (select count(*) from v_flights), 2) as percentage
+    from labelled group by label)""")
 
 simple("f4_delays_by_distance", views.flights, flights.delays_by_distance, """
     select case when distance >= 2000 then 'Very Long (>2000mi)' when distance >= 1000 then 'Long (1000-2000mi)'

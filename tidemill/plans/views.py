@@ -41,7 +41,7 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         F.to_date("l_shipdate").alias("fl_date"),
         F.when(known, F.col("l_quantity") - 20).alias("dep_delay"),
-        (F.col("l_linenumber") * 10 - 25).cast("double").alias("arr_delay"),
+        F.when(F.col("l_orderkey") % 13 != 0, F.col("l_linenumber") * 10 - 25).cast("double").alias("arr_delay"),
         (F.col("l_extendedprice") / 40).alias("distance"),
         (F.col("l_quantity") * 5).alias("air_time"),
         F.col("l_orderkey").alias("order_key"),
@@ -164,7 +164,7 @@ ORACLE = {
     "v_flights": """
         select cast(l_shipdate as date) as fl_date,
                case when l_orderkey % 17 = 0 then null else l_quantity - 20 end as dep_delay,
-               cast(l_linenumber * 10 - 25 as double) as arr_delay,
+               cast(case when l_orderkey % 13 <> 0 then l_linenumber * 10 - 25 end as double) as arr_delay,
                l_extendedprice / 40 as distance, l_quantity * 5 as air_time,
                l_orderkey as order_key, l_linenumber as line_number
         from lineitem""",

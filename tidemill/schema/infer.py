@@ -57,7 +57,11 @@ def infer_schema(df: DataFrame, value: str = "value", keep_objects: bool = False
     has no say: one list among the messages would otherwise make the merged type a conflict.
     """
     message = F.when(F.ltrim(F.col(value)).startswith("{"), F.try_parse_json(F.col(value)))
-    found = df.agg(F.schema_of_variant_agg(message)).first()[0]
+    return schema_of_shape(df.agg(F.schema_of_variant_agg(message)).first()[0], keep_objects)
+
+
+def schema_of_shape(found: str | None, keep_objects: bool = False) -> T.StructType:
+    """The schema for what ``schema_of_variant_agg`` found."""
     if not found or not found.startswith("OBJECT<"):
         return T.StructType([])
     parsed = T.DataType.fromDDL(_to_ddl(found))

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .ingest import query_id, trigger_options
 
 
 def with_event_time(df: DataFrame, column: str) -> DataFrame:
-    """Watermarks need a TIMESTAMP: values stored without a zone are taken as UTC session time."""
+    """Watermarks need a TIMESTAMP: values stored without a zone are taken as UTC session time. A column
+    that is one already stays as it is, with the watermark it may have."""
+    if df.schema[column].dataType == T.TimestampType():
+        return df
     return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
@@ -45,6 +50,33 @@ def window_stats(
     )
 
 
+WATERMARK_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
+
+
+def joint_window_stats(
+    streams: Mapping[str, DataFrame],
+    time: str,
+    value: str,
+    width: str,
+    late_by: str,
+    keys: Sequence[str] = (),
+    wait_for_idle: bool = True,
+) -> DataFrame:
+    """``window_stats`` over several sources as one stream, with a column ``source``.
+
+    Each source has a watermark of its own, and theirs is the least: a window is closed once all sources
+    have passed it, so a slow source loses no rows to a fast one. A source that sends nothing holds
+    all windows open; with ``wait_for_idle`` off the fastest source decides, and rows of slower
+    ones that come behind it are late. The choice is kept in the query's checkpoint.
+    """
+    parts = []
+    for name, stream in streams.items():
+        timed = with_event_time(stream, time).withWatermark(time, late_by)
+        parts.append(timed.select(F.lit(name).alias("source"), time, value, *keys))
+        stream.sparkSession.conf.set(WATERMARK_POLICY, "min" if wait_for_idle else "max")
+    return window_stats(reduce(DataFrame.unionByName, parts), time, value, width, ["source", *keys])
+
+
 def to_updates(
     aggregate: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
