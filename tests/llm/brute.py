@@ -75,12 +75,11 @@ def line_facts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(marked)
 
 
-def line_verdicts(rows, share, least, min_words=10):
+def line_verdicts(rows, least, most=50, min_words=10):
     """{doc_id: (base_failed, removed_words, kept)} of (doc_id, text, source)."""
     norm = lambda x: " ".join(words(x.lower()))
-    docs, hosts = defaultdict(set), defaultdict(set)
+    docs = defaultdict(set)
     for _, t, s in rows:
-        hosts[s].add(t or "")
         for line in (t or "").split("\n"):
             if words(line):
                 docs[s, norm(line)].add(t or "")
@@ -91,9 +90,9 @@ def line_verdicts(rows, share, least, min_words=10):
         gone = sum(
             len(words(x))
             for x in (t or "").split("\n")
-            if words(x) and len(docs[s, norm(x)]) > least and len(docs[s, norm(x)]) > share * len(hosts[s])
+            if words(x) and len(docs[s, norm(x)]) > least
         )
-        out[d] = (failed, gone, not failed and n - gone >= min_words)
+        out[d] = (failed, gone, not failed and n - gone >= min_words and 100 * gone <= most * n)
     return out
 
 

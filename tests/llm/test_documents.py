@@ -133,7 +133,7 @@ LINES = BOILER + [(100 + i, BOILER[3][1], "h") for i in range(30)] + [(200, "Coo
 def test_line_verdicts(spark, place):
     docs = table(spark, LINES, place)
     got = line_quality.line_quality(docs, line_docs=5).collect()
-    expected = brute.line_verdicts(LINES, 0.1, 5)
+    expected = brute.line_verdicts(LINES, 5)
     assert {r.doc_id: (r.base_failed, r.removed_words, r.kept) for r in got} == expected
     out = line_quality.cleaned(docs, line_docs=5)
     assert out.columns == docs.columns
@@ -145,10 +145,73 @@ def test_line_verdicts(spark, place):
 
 def test_op7_verdicts_on_documents(spark, plain):
     got = QUERIES["op7_line_quality"](spark, FOLDER).collect()
-    expected = brute.line_verdicts(plain, line_quality.LINE_SHARE, line_quality.LINE_DOCS)
+    expected = brute.line_verdicts(plain, line_quality.LINE_DOCS)
     assert {r.doc_id: (r.base_failed, r.removed_words, r.kept) for r in got} == expected
 
 
+def test_registered_limits_cut_lines_and_reject(spark):
+    """At sf0.01 frequent lines go, and where they are over half of a text, with lines of its own beside, it goes too."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    most = docs.where("doc_id % 9 = 0").withColumns({"doc_id": F.col("doc_id") + 10**6, "source": F.lit("mirror")})
+    lines = "one line that many of this mirror have in common\nand an other one they have\nown "
+    most = most.withColumn("text", F.concat(F.lit(lines), F.col("doc_id").cast("string"), F.lit(" a b c d e f g h i j k")))
+    rows = docs.unionByName(most)
+    got = line_quality.line_quality(rows).collect()
+    expected = brute.line_verdicts([(r.doc_id, r.text, r.source) for r in rows.collect()], line_quality.LINE_DOCS)
+    assert {r.doc_id: (r.base_failed, r.removed_words, r.kept) for r in got} == expected
+    own = [r for r in got if r.doc_id < 10**6]
+    assert sum(r.removed_words > 0 for r in own) > 50
+    assert all(r.removed_words == 16 and not r.base_failed and not r.kept for r in got if r.doc_id >= 10**6)
+
+
+def test_the_tree_decides_the_shards(spark, documents):
+    """Another tree gives other shards of the same rows, with exact quotas of every source's blocks."""
+    mixes = [source_mix.mix_sources(documents, shards=4, blocks_per_shard=16, tree_seed=s).collect() for s in (1, 2)]
+    taken = [{(r.doc_id, r.time): r.shard for r in m if r.shard is not None} for m in mixes]
+    assert taken[0].keys() == taken[1].keys() and taken[0] != taken[1]
+    assert all(set(t.values()) == {0, 1, 2, 3} for t in taken)
+    rows = QUERIES["op6_source_mix"](spark, FOLDER).collect()
+    assert all(r.taken == r.size * len(r.shards) for r in rows) and any(len(r.shards) == 2 for r in rows)
+
+
+def test_shards_are_written_shuffled(spark, place, documents):
+    mix = source_mix.mix_sources(documents, shards=3, blocks_per_shard=4)
+    source_mix.write_shards(spark, mix, f"{place}/out")
+    back = spark.read.parquet(f"{place}/out")
+    key = ("shard", "doc_id", "time", "place")
+    assert Counter(map(tuple, back.select(*key).collect())) == Counter(map(tuple, mix.where("shard is not null").select(*key).collect()))
+    for shard in range(3):
+        places = [r.place for r in spark.read.parquet(f"{place}/out/shard={shard}").coalesce(1).select("place", F.input_file_name()).collect()]
+        assert places == sorted(places) and len(places) > 10
+    mixed = source_mix.mixed_documents(documents, shards=3, blocks_per_shard=4)
+    shard_of = defaultdict(set)
+    for r in back.collect():
+        shard_of[r.doc_id].add(r.shard)
+    parts = mixed.select("doc_id", F.spark_partition_id().alias("p")).collect()
+    least = [max(min(shard_of[r.doc_id]) for r in parts if r.p == p) for p in sorted({r.p for r in parts})]
+    assert least == sorted(least)
+
+
+ODD_NAMES = ["a.b", "cut", "cut_", "shard", "place", "time", "text.x", "__cut", "__numbered_row", "back`tick", "Row", "n_docs"]
+
+
+@pytest.mark.parametrize("operator", [
+    exact_dedup.drop_copies, ngram_join.one_of_each, line_quality.cleaned, source_mix.mixed_documents,
+    exact_dedup.dedup_classes, ngram_join.ngram_join, line_quality.line_quality, source_mix.mix_sources, bin_slack.pack,
+])
+def test_columns_of_any_name(spark, place, operator):
+    rows = [(i, f"word {i % 7} of some text that is long enough to be kept here {i % 7}", "h") for i in range(20)]
+    docs = table(spark, rows, place)
+    docs = docs.drop("row").select("*", *[F.lit(0).alias(c) for c in ODD_NAMES])
+    docs.write.parquet(f"{place}/odd")
+    docs = spark.read.parquet(f"{place}/odd")
+    got = operator(docs)
+    if operator in (exact_dedup.drop_copies, ngram_join.one_of_each, line_quality.cleaned, source_mix.mixed_documents):
+        assert got.columns == docs.columns
+    n = got.count()
+    assert n == 7 if operator is exact_dedup.drop_copies else n > 0
+
+
 def test_mix_reaches_targets(spark, plain):
     got = QUERIES["op6_source_mix"](spark, FOLDER).collect()
     again = QUERIES["op6_source_mix"](spark, FOLDER).collect()

@@ -31,7 +31,7 @@ def stages(spark, tmp_path_factory):
 
 def test_quality_stage(stages):
     rows = [(r.doc_id, r.text, r.source) for r in stages[0]]
-    verdict = brute.line_verdicts(rows, line_quality.LINE_SHARE, line_quality.LINE_DOCS)
+    verdict = brute.line_verdicts(rows, line_quality.LINE_DOCS)
     assert {r.doc_id for r in stages[1]} == {d for d, (_, _, kept) in verdict.items() if kept}
     assert all(r.n_chars == len(r.text) for r in stages[1])
 

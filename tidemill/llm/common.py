@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -18,8 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: the proven bound of what ``skewed_join`` broadcasts.
 HOT_SHARE = 1000
 
-#: The column of ``numbered``.
-ROW = "__numbered_row"
+#: The column of ``numbered``: a name of this run, which no table can have by chance.
+ROW = f"row_{uuid.uuid4().hex}"
 
 #: Rows of an Arrow batch handed to Python: texts are long, and a batch is held in memory whole.
 BATCH_ROWS = 256
@@ -73,6 +74,19 @@ def python_tasks(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+def named(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(taken: list[str], name: str) -> str:
+    """A name like ``name`` that is none of those taken, in any case."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def full_text(column: str = "text") -> Column:
     """The whole text, empty for null."""
     return F.coalesce(F.col(column), F.lit(""))

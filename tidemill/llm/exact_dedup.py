@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, SPACES, full_text, hot_keys, numbered, row_number, skewed_join, written
+from .common import ROW, SPACES, full_text, hot_keys, named, numbered, row_number, skewed_join, written
 
 SALTS = 32
 
@@ -118,4 +118,4 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     own = numbered(docs)
     kept = dedup_classes(own, id_column, text_column).where("kept").select(F.col("row").alias(ROW))
-    return own.join(kept, ROW, "left_semi").select(*docs.columns)
+    return own.join(kept, ROW, "left_semi").select(*[named(c) for c in docs.columns])

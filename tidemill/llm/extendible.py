@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_rows
-from .common import ROW, full_text, named_key, numbered, written
+from .common import ROW, fresh, full_text, named, named_key, numbered, written
 
 #: Bytes of text in a shard at most (a longer document is a shard of its own).
 SHARD_BYTES = 1 << 20
@@ -122,7 +122,8 @@ def write_shards(
     """Write the documents, one folder per shard; ``docs`` is the table that ``shard`` was given.
 
     Documents meet their shards by id, bytes and a number among those equal in both, which may
-    change places without changing any shard's size.
+    change places without changing any shard's size. The folders are named by ``shard``, or by ``shard_`` if
+    the documents have a column of that name.
     """
     own = numbered(docs)
     size = F.octet_length(full_text(text_column)).cast("bigint")
@@ -130,5 +131,7 @@ def write_shards(
     places = written(sharded.select("row", named_key("doc_id").alias("id"), "bytes", "shard"), "shard-places")
     keys = number_rows(keys, ["id", "bytes"], [ROW], "copy")
     places = number_rows(places, ["id", "bytes"], ["row"], "copy")
-    shard_of = keys.join(places, ["id", "bytes", "copy"]).select(ROW, "shard")
-    own.drop("shard").join(shard_of, ROW).drop(ROW).repartition("shard").write.partitionBy("shard").parquet(path)
+    folder = fresh(docs.columns, "shard")
+    shard_of = keys.join(places, ["id", "bytes", "copy"]).select(ROW, F.col("shard").alias(folder))
+    out = own.join(shard_of, ROW).select(*[named(c) for c in docs.columns], folder)
+    out.repartition(folder).write.partitionBy(folder).parquet(path)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, full_text, hot_keys, named_key, skewed_join, python_tasks, written
+from .common import HOT_SHARE, ROW, fresh, full_text, named, named_key, numbered, python_tasks, row_number, skewed_join, written
 from .words import windows, words_of
 
 MIN_WORDS = 10
@@ -23,10 +23,10 @@ MIN_WORDS = 10
 MAX_REPEATED = 20
 REPEAT_WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
-#: A line is boilerplate when more than this share of its host's distinct documents have it ...
-LINE_SHARE = 0.1
-#: ... and more than this many.
-LINE_DOCS = 20
+#: A line is boilerplate when more than this many distinct documents of its host have it.
+LINE_DOCS = 6
+#: A document that loses more than this percentage of its words with such lines is depleted.
+MOST_REMOVED = 50
 
 _FACTS = pa.schema(
     [
@@ -103,8 +103,8 @@ def facts(texts: pa.Array) -> list[pa.Array]:
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = facts(batch.column("text"))
-        kept = [batch.column(k) for k in ("doc_id", "host", "digest")]
-        yield pa.RecordBatch.from_arrays([*kept, *columns], ["doc_id", "host", "digest", *_FACTS.names])
+        kept = [batch.column(k) for k in ("row", "doc_id", "host", "digest")]
+        yield pa.RecordBatch.from_arrays([*kept, *columns], ["row", "doc_id", "host", "digest", *_FACTS.names])
 
 
 def measured(docs: DataFrame, id_column: str, text_column: str, host_column: str) -> DataFrame:
@@ -112,32 +112,24 @@ def measured(docs: DataFrame, id_column: str, text_column: str, host_column: str
     python_tasks(docs.sparkSession)
     text = full_text(text_column)
     given = docs.select(
+        row_number(docs).alias("row"),
         F.col(id_column).cast("long").alias("doc_id"),
         named_key(host_column).alias("host"),
         F.unhex(F.sha2(text, 256)).alias("digest"),
         text.alias("text"),
     )
-    found = given.mapInArrow(_measure, f"doc_id LONG, host STRING, digest BINARY, {_FACTS_SQL}")
-    return written(found.withColumn("row", F.monotonically_increasing_id()), "line-facts")
+    return written(given.mapInArrow(_measure, f"row LONG, doc_id LONG, host STRING, digest BINARY, {_FACTS_SQL}"), "line-facts")
 
 
-def frequent_lines(rows: DataFrame, share: float, least: int) -> DataFrame:
-    """Lines in over ``share`` of their host's distinct documents and in over ``least``; written.
+def frequent_lines(rows: DataFrame, least: int) -> DataFrame:
+    """(host, line, n_docs) of lines in over ``least`` distinct documents of their host; written.
 
     Exact copies of a document count once. Counting is pre-aggregated per (host, line, document),
     so a line or host of any frequency is spread over all tasks.
     """
     lines = rows.select("host", "digest", F.explode("lines.line").alias("line"))
-    counts = lines.groupBy("host", "line").agg(F.countDistinct("digest").alias("n_docs")).where(F.col("n_docs") > least)
-    hosts = written(
-        rows.groupBy("host").agg(F.countDistinct("digest").alias("host_docs"), F.count(F.lit(1)).alias("host_rows")),
-        "line-hosts",
-    )
-    # What is left of the counts is at most 1 of ``least`` of the lines; a host may hold a third of it.
-    counts = written(counts, "line-counts")
-    hot = hot_keys(counts.groupBy("host").count(), ["host"], "count", counts.count())
-    limited = skewed_join(counts, hosts.select("host", "host_docs"), ["host"], hot)
-    return written(limited.where(F.col("n_docs") > F.col("host_docs") * F.lit(share)), "frequent-lines")
+    counts = lines.groupBy("host", "line").agg(F.countDistinct("digest").alias("n_docs"))
+    return written(counts.where(F.col("n_docs") > least), "frequent-lines")
 
 
 def line_quality(
@@ -147,20 +139,22 @@ def line_quality(
     host_column: str = "source",
     min_words: int = MIN_WORDS,
     max_repeated: int = MAX_REPEATED,
-    line_share: float = LINE_SHARE,
     line_docs: int = LINE_DOCS,
+    most_removed: int = MOST_REMOVED,
 ) -> DataFrame:
     """Each document's base facts, the words in its too frequent lines, and the verdict.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    removed_words, removed_lines (their hashes), kept, digest. ``kept`` is false if the base rules
-    fail or fewer than ``min_words`` words are left without the host's frequent lines.
+    removed_words, removed_lines (their hashes), kept, row (its number if ``docs`` is ``numbered``, else
+    its place in a scan). ``kept`` is false if the base rules fail, if fewer than ``min_words`` words
+    are left without the host's frequent lines, or over ``most_removed`` percent of them go. A line is frequent in a host
+    where over ``line_docs`` distinct documents have it, however large the host.
 
     A null text has no words and fails; a null host is a host of its own; rows that repeat each get
     a row, and copies of a text count as one document of their host. An empty table gives no rows.
     """
     rows = measured(docs, id_column, text_column, host_column)
-    frequent = frequent_lines(rows, line_share, line_docs)
+    frequent = frequent_lines(rows, line_docs)
     lines = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.words")
     total = rows.select(F.sum(F.size("lines"))).first()[0] or 0
     hot = frequent.where(F.col("n_docs") * HOT_SHARE > total).select("host", "line")
@@ -180,26 +174,28 @@ def line_quality(
             failed.alias("base_failed"),
             removed.alias("removed_words"),
             F.coalesce("removed_lines", F.array().cast("array<bigint>")).alias("removed_lines"),
-            (~failed & (F.col("n_words") - removed >= min_words)).alias("kept"),
-            "host",
-            "digest",
+            (~failed & (F.col("n_words") - removed >= min_words) & (removed * 100 <= F.col("n_words") * most_removed)).alias("kept"),
+            "row",
         )
     )
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut the lines named by ``__cut`` out of ``__text``."""
-    for batch in batches:
-        texts = []
-        for text, cut in zip(batch.column("__text").to_pylist(), batch.column("__cut").to_pylist()):
-            if text and cut:
-                gone = set(cut)
-                text = "\n".join(x for x in text.split("\n") if not x.strip(" \t\r\x0b\x0c") or _hash_of(x) not in gone)
-            texts.append(text)
-        at = batch.schema.get_field_index("__text")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names
-        )
+def _without(text_at: int, cut_at: int):
+    """Cut the lines that one column names out of the texts of another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, cut in zip(batch.column(text_at).to_pylist(), batch.column(cut_at).to_pylist()):
+                if text and cut:
+                    gone = set(cut)
+                    text = "\n".join(x for x in text.split("\n") if not x.strip(" \t\r\x0b\x0c") or _hash_of(x) not in gone)
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if i == text_at else c for i, c in enumerate(batch.columns)], batch.schema.names
+            )
+
+    return run
 
 
 def _hash_of(line: str) -> int:
@@ -218,42 +214,19 @@ def cleaned(
 
     A text that loses lines gets its new length in ``length_column`` where there is such a column.
     """
-    judged = line_quality(docs, id_column, text_column, host_column, **limits)
-    # Rows of one id, host and text get one verdict, so repeated rows stay repeated.
-    changes = (
-        judged.where("not kept or size(removed_lines) > 0")
-        .select(
-            F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("digest").alias("__digest"),
-            F.col("kept").alias("__kept"), F.col("removed_lines").alias("__cut"),
-        )
-        .dropDuplicates(["__id", "__host", "__digest"])
-    )
-    own = docs.withColumns(
-        {
-            "__own": F.col(id_column).cast("long"),
-            "__host": named_key(host_column),
-            "__digest": F.unhex(F.sha2(full_text(text_column), 256)),
-        }
-    )
-    joined = own.alias("o").join(
-        changes.alias("c"),
-        F.col("o.__own").eqNullSafe(F.col("c.__id"))
-        & (F.col("o.__host") == F.col("c.__host"))
-        & (F.col("o.__digest") == F.col("c.__digest")),
-        "left",
-    )
-    stays = joined.where("c.__kept is null or c.__kept")
-    given = stays.select(*[F.col(f"o.{c}").alias(c) for c in docs.columns if c != text_column],
-                         F.col(f"o.{text_column}").alias("__text"), F.col("c.__cut").alias("__cut"))
-    out = given.mapInArrow(_without, given.schema)
-    shorter = F.size("__cut") > 0
+    own = numbered(docs)
+    cut = fresh(docs.columns, "cut")
+    judged = line_quality(own, id_column, text_column, host_column, **limits)
+    kept = judged.where("kept").select(F.col("row").alias(ROW), F.col("removed_lines").alias(cut))
+    # Under plain names, since the step in Python resolves them.
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    given = own.join(kept, ROW).select(*[named(c).alias(at[c]) for c in docs.columns], named(cut).alias("gone"))
+    out = given.mapInArrow(_without(docs.columns.index(text_column), len(docs.columns)), given.schema)
     columns = []
     for c in docs.columns:
-        if c == text_column:
-            columns.append(F.col("__text").alias(c))
-        elif c == length_column:
-            kind = docs.schema[c].dataType
-            columns.append(F.when(shorter, F.char_length("__text").cast(kind)).otherwise(F.col(c)).alias(c))
-        else:
-            columns.append(F.col(c))
+        own = F.col(at[c])
+        if c == length_column:
+            length = F.char_length(at[text_column]).cast(docs.schema[c].dataType)
+            own = F.when(F.size("gone") > 0, length).otherwise(own)
+        columns.append(own.alias(c))
     return out.select(*columns)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, full_text, hot_keys, numbered, skewed_join, python_tasks, written
+from .common import ROW, full_text, hot_keys, named, numbered, skewed_join, python_tasks, written
 from .components import components
 from .words import mixed, shingles
 
@@ -343,4 +343,4 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
         .select(F.col("first.row").alias(ROW))
     )
-    return own.join(kept, ROW, "left_semi").select(*docs.columns)
+    return own.join(kept, ROW, "left_semi").select(*[named(c) for c in docs.columns])

@@ -63,12 +63,13 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """How many words the mix takes of each document."""
+    """How many words the mix takes of each document, and where: (time, shard, place in the shard's order)."""
     taken = F.sum(F.when(F.col("shard").isNotNull(), F.col("size")).otherwise(0))
+    shards = F.collect_list(F.when(F.col("shard").isNotNull(), F.struct("time", "shard", "place")))
     return (
         mix_sources(_table(spark, folder, "documents"))
         .groupBy("row", "doc_id", "size", "source_size", "target")
-        .agg(taken.alias("taken"))
+        .agg(taken.alias("taken"), F.sort_array(shards).alias("shards"))
         .drop("row")
     )
 

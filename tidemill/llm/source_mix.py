@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_rows
-from .common import ROW, WORD, full_text, hot_keys, named_key, numbered, row_number, skewed_join, unit, written
+from .common import ROW, WORD, fresh, full_text, hot_keys, named, named_key, numbered, row_number, skewed_join, unit, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Words of the mix over words of all sources.
@@ -86,6 +86,7 @@ def split_quotas(units: DataFrame, shards: int, seed: int) -> DataFrame:
     ``units`` has a host's number of blocks. A node's tickets, one per block, are ordered by a hash
     that is new at each level, and the left shards get their exact share of them: a multivariate
     hypergeometric draw. ``first`` is where the shard's blocks begin in the source's permutation.
+    Tickets are numbered in even ranges of the order, so a node of very many is not one task's work.
     """
     node = units.where("units > 0").select(
         "host", F.lit(0).alias("low"), F.lit(shards).alias("high"), F.col("units").cast("long").alias("quota")
@@ -95,12 +96,13 @@ def split_quotas(units: DataFrame, shards: int, seed: int) -> DataFrame:
         tickets = node.select("host", "low", "high", F.explode(F.sequence(F.lit(1), F.col("quota"))).alias("ticket"))
         middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
         draw = F.xxhash64(F.lit(seed), F.lit(level), "low", "host", "ticket")
-        place = F.row_number().over(Window.partitionBy("low", "high").orderBy(draw, "host", "ticket"))
-        here = F.count(F.lit(1)).over(Window.partitionBy("low", "high"))
-        share = F.round(here * (middle - F.col("low")) / (F.col("high") - F.col("low")))
-        left = (place <= share) & (middle > F.col("low"))
+        placed = number_rows(tickets.withColumn("draw", draw), ["low", "high"], ["draw", "host", "ticket"], "place")
+        here = node.groupBy("low", "high").agg(F.sum("quota").alias("here"))  # a row per node, of which there are few
+        share = F.round(F.col("here") * (middle - F.col("low")) / (F.col("high") - F.col("low")))
+        left = (F.col("place") <= share) & (middle > F.col("low"))
         node = (
-            tickets.select("host", "low", "high", middle.alias("middle"), left.alias("left"))
+            placed.join(F.broadcast(here), ["low", "high"])
+            .select("host", "low", "high", middle.alias("middle"), left.alias("left"))
             .groupBy(
                 "host",
                 F.when(F.col("left"), F.col("low")).otherwise(F.col("middle")).alias("low"),
@@ -125,6 +127,7 @@ def mix_sources(
     blocks_per_shard: int = BLOCKS_PER_SHARD,
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
+    tree_seed: int | None = None,
 ) -> DataFrame:
     """The mix, one row per time a row is taken (and one, with a null shard, for a row not taken).
 
@@ -139,7 +142,7 @@ def mix_sources(
     no rows.
     """
     kinds = [(c, kind) for c, kind in docs.dtypes if c != ROW and "map<" not in kind and "variant" not in kind]
-    values = [x for c, _ in kinds for x in (F.col(c), F.col(c).isNull())]
+    values = [x for c, _ in kinds for x in (named(c), named(c).isNull())]
     rows = written(
         docs.select(
             row_number(docs).alias("row"),
@@ -176,7 +179,7 @@ def mix_sources(
     )
     order = Window.partitionBy("host").orderBy(F.xxhash64(F.lit(seed + 1), "block", "time"), "block", "time")
     uses = written(uses.withColumn("number", F.row_number().over(order) - 1), "mix-blocks")
-    quotas = split_quotas(uses.groupBy("host").agg(F.count(F.lit(1)).alias("units")), shards, seed)
+    quotas = split_quotas(uses.groupBy("host").agg(F.count(F.lit(1)).alias("units")), shards, seed if tree_seed is None else tree_seed)
     shard_of = (
         uses.join(quotas, "host")
         .where("number >= first and number < first + quota")
@@ -258,10 +261,18 @@ def _times(dealt: DataFrame, drawn: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of the mix in the columns of ``docs``; a row taken twice comes twice."""
+    """The rows of the mix in the columns of ``docs``; a row taken twice comes twice.
+
+    They come shard by shard, and shuffled within each: partitions are ranges of (shard, place), so
+    what is written has the shards one after the other.
+    """
     own = numbered(docs)
-    taken = mix_sources(own, **settings).where("shard is not null").select(F.col("row").alias(ROW), "time")
-    return own.join(taken, ROW).select(*docs.columns)
+    shard, place = fresh(docs.columns, "shard"), fresh(docs.columns, "place")
+    taken = mix_sources(own, **settings).where("shard is not null")
+    taken = taken.select(F.col("row").alias(ROW), F.col("shard").alias(shard), F.col("place").alias(place))
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    mixed = own.join(taken, ROW).repartitionByRange(parts, shard, place).sortWithinPartitions(shard, place)
+    return mixed.select(*[named(c) for c in docs.columns])
 
 
 def write_shards(spark: SparkSession, mixed: DataFrame, path: str) -> None:
