@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_MADE: list[str] = []
+
+
 def build_session(app_name: str = "tidemill", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings every job here relies on.
 
@@ -61,7 +64,14 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created until something writes to it."""
-    return f"{shared_root(spark)}/tidemill/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tidemill/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def scratch_made() -> list[str]:
+    """All paths that :func:`scratch_path` gave in this process, oldest first."""
+    return list(_MADE)
 
 
 def remove(spark: SparkSession, path: str) -> None:
