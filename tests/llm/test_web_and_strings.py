@@ -15,6 +15,7 @@ from oracle import compare, connect
 from pyspark.sql import functions as F
 
 from tidemill.llm import extendible, secret_scan, suffix_dedup, url_ratio, warc
+from tidemill.llm.common import written
 from tidemill.llm.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -306,6 +307,75 @@ def test_suffix_dedup_on_passages(spark, place, monkeypatch, seed, group, slice_
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got.collect())
 
 
+@pytest.mark.parametrize("seed,fan,group,run", [(3, 2, 400, 400), (4, 3, 1000, 200), (5, 512, 400, 50)])
+def test_suffix_dedup_over_hops_and_with_hot_minimizers(spark, place, seed, fan, group, run):
+    rows = passages(seed)
+    got = suffix_dedup.suffix_dedup(docs_table(spark, rows, place), group_bytes=group, bucket_bytes=group, run_bytes=run, fan=fan)
+    assert as_counter(got) == removed(rows, 50)
+
+
+def sent_rows(spark, place, monkeypatch, rows, **limits):
+    """The rows sent by each exchange, hops included, and the result."""
+    sent = []
+
+    def recorded(df, label):
+        out = written(df, label)
+        if label.endswith("-hop"):
+            sent.append(out)
+        return out
+
+    real = suffix_dedup._exchange
+
+    def exchange(rows, schema, route, label, *tasks):
+        if route.hops == 1:
+            rows = recorded(rows, f"{label}-hop")
+        out = real(rows, schema, route, label, *tasks)
+        sent.append(out)
+        return out
+
+    with monkeypatch.context() as patch:
+        patch.setattr(suffix_dedup, "written", recorded)
+        patch.setattr(suffix_dedup, "_exchange", exchange)
+        got = as_counter(suffix_dedup.suffix_dedup(docs_table(spark, rows, place), **limits))
+    return sent, got
+
+
+def test_suffix_rows_grow_with_the_input(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+    counts = []
+    for n in (50, 200):
+        rows = [(i, text()) for i in range(n)]
+        rows += [(n + i, t) for i, (_, t) in enumerate(rows[: n // 2])]
+        sent, got = sent_rows(spark, str(tmp_path / str(n)), monkeypatch, rows, group_bytes=2000, bucket_bytes=2000, run_bytes=2000, fan=4)
+        assert got == removed(rows, 50)
+        counts.append(sum(x.count() for x in sent))
+    # Four times the input: one more hop of three, not sixteen times the rows.
+    assert counts[1] < 7 * counts[0]
+
+
+def test_suffix_runs_of_a_frequent_passage_are_split(spark, place, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(20))
+    passage = " ".join(word() for _ in range(10))
+    rows = [(i, f"{word()}{word()}{passage}{word()}{word()}") for i in range(1500)]
+    run = 20_000
+    sizes = {}
+    for hot in (True, False):
+        with monkeypatch.context() as patch:
+            if not hot:  # as if no minimizer were
+                patch.setattr(suffix_dedup, "hot_zeros", lambda *_: 99)
+            sent, got = sent_rows(spark, f"{place}/{hot}", monkeypatch, rows, group_bytes=20_000, bucket_bytes=100_000, run_bytes=run)
+        if hot:
+            assert got == removed(rows, 50)
+        runs = [x for x in sent if "data" in x.columns][0].select("part", "data").collect()
+        tasks = defaultdict(set)
+        for r in runs:
+            tasks[r.part].update(suffix_dedup._unpacked(r.data)[0])
+        sizes[hot] = max(sum(map(len, strings)) for strings in tasks.values())
+    assert sizes[True] < 3 * run < sizes[False]
+
+
 def test_suffix_query(spark, plain):
     got = QUERIES["op5_suffix_dedup"](spark, FOLDER).collect()
     expected = Counter({(d, n, sum(b - a for a, b in s), len(s), h): c for (d, n, s, h), c in removed(plain, 50).items()})

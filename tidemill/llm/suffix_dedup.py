@@ -3,13 +3,19 @@
 A string of ``length`` bytes is worth comparing only with strings that have the same minimizer (the
 least hash of their q-grams), so suffixes are dealt to tasks by minimizer, in runs that share one:
 
-1. groups of documents send their minimizers, and learn which of them other documents have too;
+1. groups of documents send their minimizers, and learn which of them other documents have too, and
+   which are hot, with very many different runs; runs of a hot one are cut anew by the minimizers of
+   longer grams, at last by whole strings, which equal strings share as well, and asked about again;
 2. runs under shared minimizers are sent, each different string once per group; a task sorts all
    suffixes of its strings: initial q-gram buckets, refined by sorting on the bucket pointers of
    later offsets, where updated pointers serve the next refinement, to the depth ``length``;
    it answers, bit by bit, which strings begin in a smaller document as well;
 3. groups of documents remove what the answers cover.
 
+A task sends at most ``fan`` rows, to ranges of buckets. Where there are more buckets, tasks in between
+merge what so many others sent to a range and send it on to its parts, so that rows grow with the input
+times the number of hops (its logarithm), and what all groups have meets no task more than ``fan`` times.
+
 Answers come in the order of the questions, which a group can always work out again, so what is
 shuffled is a few bytes per minimizer and the texts of shared runs.
 """
@@ -21,6 +27,8 @@ import math
 import uuid
 import zlib
 from collections.abc import Callable
+from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +46,8 @@ Q = 16
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 RUN_BYTES = 1 << 20
+#: Rows that a task sends to others at most.
+FAN = 512
 #: Groups that one file of the grouped table holds, about.
 GROUPS_PER_FILE = 8
 #: Window positions whose minimizers are worked out at once.
@@ -72,10 +82,30 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - k)], values[width - k :]) if width > k else values
 
 
-class Runs:
-    """The texts of a group, in the order of (rank, bytes), and their runs of one minimizer."""
+class Cut(NamedTuple):
+    """Runs of windows: first place, windows, key, number of the text, and leading zeros of a hash of the bytes."""
+
+    start: np.ndarray
+    count: np.ndarray
+    key: np.ndarray
+    owner: np.ndarray
+    zeros: np.ndarray
+
+    def take(self, which: np.ndarray) -> Cut:
+        return Cut(*(x[which] for x in self))
+
+
+_NO_RUNS = Cut(*(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.int32, np.uint8)))
+
+
+def _joined(cuts: list[Cut]) -> Cut:
+    return Cut(*(np.concatenate(x) for x in zip(_NO_RUNS, *cuts)))
+
 
-    def __init__(self, table: pa.Table, length: int, q: int):
+class Group:
+    """The texts of a group, in the order of (rank, bytes)."""
+
+    def __init__(self, table: pa.Table, length: int):
         ranks, texts = table.column("rank").to_pylist(), table.column("text").to_pylist()
         order = sorted(range(len(texts)), key=lambda i: (ranks[i], texts[i]))
         self.rows = order
@@ -85,170 +115,334 @@ class Runs:
         self.begin = np.cumsum(sizes) - sizes
         self.bytes = b"".join(self.texts)
         self.length = length
-        data = np.frombuffer(self.bytes, np.uint8)
-        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        parts = []
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+    def cut(self, q: int, within: np.ndarray | None = None) -> Cut:
+        """Runs of windows that share a minimizer; of windows that begin where ``within`` has one
+        number over 0, if it is given."""
+        data, owner, length, parts = np.frombuffer(self.bytes, np.uint8), self.owner, self.length, []
         for a in range(0, max(0, len(data) - length + 1), SLICE):
             piece = data[a : a + SLICE + length - 1]
             n = len(piece) - length + 1
-            least = _sliding_least(_gram_hashes(piece, q), length - q + 1)
+            if within is not None and not within[a : a + n].any():
+                continue
+            grams = _gram_hashes(piece, q)
+            least = _sliding_least(grams, length - q + 1)
             own = owner[a : a + n]
             inside = own == owner[a + length - 1 : a + n + length - 1]
             new = np.ones(n, bool)
             new[1:] = (least[1:] != least[:-1]) | (own[1:] != own[:-1]) | (inside[1:] != inside[:-1])
+            if within is not None:
+                of = within[a : a + n]
+                new[1:] |= of[1:] != of[:-1]
+                inside &= of > 0
             start = np.flatnonzero(new)
             count = np.diff(np.append(start, n))
             good = inside[start]
             start, count = start[good], count[good]
+            sums = np.append(np.uint64(0), np.cumsum(grams))
+            marks = mixed(sums[start + count + length - q] - sums[start])
+            zeros = np.clip(64 - np.frexp(marks.astype(np.float64))[1], 0, 63).astype(np.uint8)
             # The least of many hashes is small: mixed again, keys spread evenly over buckets.
-            parts.append((start + a, count, mixed(least[start]), own[start]))
-        if parts:
-            self.start, self.count, self.key, self.owner = (np.concatenate(x) for x in zip(*parts))
-        else:
-            self.start = self.count = np.zeros(0, np.int64)
-            self.key, self.owner = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-
-    def keep(self, which: np.ndarray) -> None:
-        self.start, self.count, self.key, self.owner = (
-            x[which] for x in (self.start, self.count, self.key, self.owner)
-        )
-
+            parts.append(Cut(start + a, count, mixed(least[start]), own[start], zeros))
+        return _joined(parts)
 
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
+class Route:
+    """The way from groups to ``buckets`` in hops; a sender has at most ``fan`` rows, one for each range.
 
-def _slices(bucket: np.ndarray) -> list[tuple[int, int, int]]:
-    """(bucket, from, to) of sorted bucket numbers."""
-    if not len(bucket):
-        return []
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-    return [(int(bucket[a]), int(a), int(b)) for a, b in zip(cut[:-1], cut[1:])]
-
-
-def _different(runs: Runs, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The group's different minimizers, cut to their first ``size`` bytes, and how many texts have each."""
-    cut = runs.key >> np.uint64(64 - 8 * size)
-    order = np.lexsort((runs.owner, cut))
-    cut, owner = cut[order], runs.owner[order]
-    new = np.ones(len(cut), bool)
-    new[1:] = (cut[1:] != cut[:-1]) | (owner[1:] != owner[:-1])
-    return np.unique(cut[new], return_counts=True)
-
+    A place is (part, grp): a range of buckets, for what ``fan`` places of the hop before sent there.
+    Groups of documents are places of part 0, and a bucket is one place for all.
+    """
 
-def _send_minimizers(length: int, q: int, buckets: int, size: int) -> Callable:
-    def run(key, table):
-        values, texts = _different(Runs(table, length, q), size)
-        data = values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size :]
-        rows = [
-            (b, data[lo:hi].tobytes(), np.packbits(texts[lo:hi] > 1).tobytes())
-            for b, lo, hi in _slices(_bucket(values << np.uint64(64 - 8 * size), buckets))
-        ]
-        b, values_, several = zip(*rows) if rows else ((), (), ())
+    def __init__(self, buckets: int, fan: int):
+        self.buckets, self.fan, self.hops = buckets, fan, 1
+        while fan**self.hops < buckets:
+            self.hops += 1
+
+    def bucket(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
+
+    def spans(self, bucket: np.ndarray, hop: int) -> list[tuple[int, int, int]]:
+        """(range, from, to) of sorted bucket numbers, at a hop from 1 on."""
+        if not len(bucket):
+            return []
+        part = bucket // self.fan ** (self.hops - hop)
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+        return [(int(part[a]), int(a), int(b)) for a, b in zip(edge[:-1], edge[1:])]
+
+    def sent(self, hop: int, part: int, grp: int, rows: list[tuple], names: list[str]) -> pa.Table:
+        """Rows (range, payload ...) from a place to those of the hop."""
+        n, to = len(rows), 0 if hop == self.hops else grp // self.fan
+        at, *values = zip(*rows) if rows else [()] * (1 + len(names))
         return pa.table(
-            {"grp": pa.array([key[0].as_py()] * len(rows), pa.int64()), "bucket": pa.array(b, pa.int64()),
-             "keys": pa.array(values_, pa.binary()), "several": pa.array(several, pa.binary())}
+            {"from_part": pa.array([part] * n, pa.int64()), "from_grp": pa.array([grp] * n, pa.int64()),
+             "part": pa.array(at, pa.int64()), "grp": pa.array([to] * n, pa.int64()),
+             **{k: pa.array(v, pa.binary()) for k, v in zip(names, values)}}
         )
 
-    return run
-
-
-def _answer_minimizers(size: int) -> Callable:
-    def run(key, table):
-        keys = [np.frombuffer(x, np.uint8).reshape(-1, size) for x in table.column("keys").to_pylist()]
-        lengths = [len(x) for x in keys]
-        wide = np.zeros((sum(lengths), 8), np.uint8)
-        wide[:, 8 - size :] = np.concatenate(keys)
-        several = np.concatenate(
-            [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table.column("several").to_pylist(), lengths)]
-        )
-        _, which = np.unique(wide.view(">u8").ravel(), return_inverse=True)
-        shared = (np.bincount(which, weights=1 + several) > 1)[which]
-        cuts = np.cumsum(lengths)[:-1]
-        bits = [np.packbits(x).tobytes() for x in np.split(shared, cuts)]
-        return _reply(table.column("grp"), key[0].as_py(), 0, bits)
 
-    return run
+_SENT_SQL = "from_part LONG, from_grp LONG, part LONG, grp LONG"
+_REPLY_SQL = "part LONG, grp LONG, about LONG, kind INT, hot BOOLEAN, bits BINARY"
+#: The kind of replies about runs; those about minimizers have the number of their round.
+RUNS = -1
 
 
-def _reply(groups: pa.ChunkedArray, bucket: int, kind: int, bits: list[bytes]) -> pa.Table:
-    n = len(bits)
+def _reply(asked: pa.Table, kind: int, bits: list[bytes], hot: bool = False) -> pa.Table:
+    """One reply to each row of ``asked``, which goes back to its sender; ``hot`` if it may tell of hot minimizers."""
     return pa.table(
-        {"grp": groups, "bucket": pa.array([bucket] * n, pa.int64()),
-         "kind": pa.array([kind] * n, pa.int32()), "bits": pa.array(bits, pa.binary())}
+        {"part": asked.column("from_part"), "grp": asked.column("from_grp"), "about": asked.column("part"),
+         "kind": pa.array([kind] * len(bits), pa.int32()), "hot": pa.array([hot] * len(bits)),
+         "bits": pa.array(bits, pa.binary())}
     )
 
 
-_REPLY_SQL = "grp LONG, bucket LONG, kind INT, bits BINARY"
-
-
 def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
-    rows = zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "bits")))
-    return {b: bits for b, k, bits in rows if k == kind}
-
-
-def _keep_shared(runs: Runs, replies: pa.Table, buckets: int, size: int) -> None:
-    """Of the runs, those whose minimizer another document has."""
-    values, _ = _different(runs, size)
-    answer, shared = _replies(replies, 0), np.zeros(len(values), bool)
-    for b, lo, hi in _slices(_bucket(values << np.uint64(64 - 8 * size), buckets)):
-        shared[lo:hi] = np.unpackbits(np.frombuffer(answer[b], np.uint8), count=hi - lo)
-    runs.keep(shared[np.searchsorted(values, runs.key >> np.uint64(64 - 8 * size))] if len(values) else np.zeros(0, bool))
-
-
-def _questions(runs: Runs, buckets: int) -> tuple[list[tuple[int, int, int]], list[bytes], np.ndarray, np.ndarray]:
-    """((bucket, from, to), strings, runs, uses): the different strings of the runs, bucket by bucket and
+    rows = zip(*(table.column(c).to_pylist() for c in ("about", "kind", "bits")))
+    return {about: bits for about, k, bits in rows if k == kind}
+
+
+class Keys(NamedTuple):
+    """How minimizers are asked about: grams of each round, way, bytes sent of a minimizer, zeros of a hot one."""
+
+    length: int
+    grams: tuple[int, ...]
+    route: Route
+    size: int
+    hot: int
+
+    def short(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> np.uint64(64 - 8 * self.size)
+
+    def bucket(self, short: np.ndarray) -> np.ndarray:
+        return self.route.bucket(short << np.uint64(64 - 8 * self.size))
+
+    def different(self, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
+        """Different minimizers, shortened, and a note of each: whether several texts have it (highest bit)
+        and the most zeros of its runs. So many zeros are likely for 2 ** zeros different runs, however often
+        each comes, and notes merge by their greatest."""
+        if not len(cut.key):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+        short = self.short(cut.key)
+        order = np.lexsort((cut.owner, short))
+        short, owner = short[order], cut.owner[order]
+        first = np.flatnonzero(np.append(True, short[1:] != short[:-1]))
+        last = np.append(first[1:], len(short)) - 1
+        several = (owner[first] != owner[last]).astype(np.uint8) << 7
+        return short[first], several | np.maximum.reduceat(cut.zeros[order], first)
+
+    def rows(self, hop: int, part: int, grp: int, short: np.ndarray, notes: np.ndarray) -> pa.Table:
+        data = short.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - self.size :]
+        spans = self.route.spans(self.bucket(short), hop)
+        rows = [(at, data[lo:hi].tobytes(), notes[lo:hi].tobytes()) for at, lo, hi in spans]
+        return self.route.sent(hop, part, grp, rows, ["keys", "notes"])
+
+    def merged(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """(different minimizers, notes, the number of the minimizer of each one sent, how many each row has)."""
+        keys = [np.frombuffer(x, np.uint8).reshape(-1, self.size) for x in table.column("keys").to_pylist()]
+        given = np.frombuffer(b"".join(table.column("notes").to_pylist()), np.uint8)
+        wide = np.zeros((len(given), 8), np.uint8)
+        wide[:, 8 - self.size :] = np.concatenate(keys)
+        short, which = np.unique(wide.view(">u8").ravel().astype(np.uint64), return_inverse=True)
+        zeros = np.zeros(len(short), np.uint8)
+        np.maximum.at(zeros, which, given & 127)
+        several = np.bincount(which, weights=1 + (given >> 7)) > 1
+        return short, zeros | (several.astype(np.uint8) << 7), which, [len(x) for x in keys]
+
+    def bits(self, shared: np.ndarray, hot: np.ndarray, which: np.ndarray, counts: list[int]) -> list[bytes]:
+        rows = np.split(which, np.cumsum(counts)[:-1])
+        return [np.packbits(np.concatenate([shared[x], hot[x]])).tobytes() for x in rows]
+
+    def answers(self, replies: pa.Table, kind: int, hop: int, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(shared, hot) of sorted minimizers that were asked about at the hop."""
+        answer, out = _replies(replies, kind), np.zeros((2, len(short)), bool)
+        for at, lo, hi in self.route.spans(self.bucket(short), hop):
+            out[:, lo:hi] = np.unpackbits(np.frombuffer(answer[at], np.uint8), count=2 * (hi - lo)).reshape(2, -1)
+        return out[0], out[1]
+
+    def settled(self, group: Group, replies: pa.Table | None, rounds: int) -> tuple[Cut, Cut]:
+        """The runs that other documents may share, after so many rounds, and those to ask about next."""
+        done, cut = [], group.cut(self.grams[0])
+        for i in range(rounds):
+            short, _ = self.different(cut)
+            shared, hot = self.answers(replies, i, 1, short)
+            at = np.searchsorted(short, self.short(cut.key))
+            done.append(cut.take((shared & ~hot)[at]))
+            cut = cut.take((shared & hot)[at])
+            if len(cut.key):
+                within = np.zeros(len(group.bytes), np.int32)
+                step = np.arange(cut.count.sum()) - np.repeat(np.cumsum(cut.count) - cut.count, cut.count)
+                within[np.repeat(cut.start, cut.count) + step] = np.repeat(np.arange(1, len(cut.key) + 1), cut.count)
+                cut = group.cut(self.grams[i + 1], within)
+        return _joined(done), cut
+
+    def send(self, round_: int) -> Callable:
+        def first(key, table):
+            return self.rows(1, 0, key[0].as_py(), *self.different(self.settled(Group(table, self.length), None, 0)[1]))
+
+        def later(key, left, right):
+            cut = self.settled(Group(left, self.length), right, round_)[1] if left.num_rows else _NO_RUNS
+            return self.rows(1, 0, key[0].as_py(), *self.different(cut))
+
+        return later if round_ else first
+
+    def relay(self, hop: int) -> Callable:
+        def run(key, table):
+            short, notes, _, _ = self.merged(table)
+            return self.rows(hop, key[0].as_py(), key[1].as_py(), short, notes)
+
+        return run
+
+    def answer(self, round_: int) -> Callable:
+        def run(key, table):
+            _, notes, which, counts = self.merged(table)
+            # Strings of the last round are whole windows: equal ones are one.
+            hot = ((notes & 127) >= self.hot) & (round_ + 1 < len(self.grams))
+            shared = notes > 127
+            return _reply(table, round_, self.bits(shared, hot, which, counts), bool((hot & shared).any()))
+
+        return run
+
+    def relay_back(self, round_: int, hop: int) -> Callable:
+        def run(key, left, right):
+            short, notes, which, counts = self.merged(left)
+            shared, hot = self.answers(right, round_, hop, short)
+            return _reply(left, round_, self.bits(shared, hot, which, counts), bool((hot & shared).any()))
+
+        return run
+
+
+def _questions(group: Group, cut: Cut, route: Route) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(buckets, strings, runs, uses): the different strings of the runs, bucket by bucket and
     in order, and for each string in turn its ``uses`` runs."""
     found: dict[int, dict[bytes, list[int]]] = {}
-    data, tail = runs.bytes, runs.length - 1
-    where = zip(_bucket(runs.key, buckets).tolist(), runs.start.tolist(), (runs.start + runs.count + tail).tolist())
+    data, tail = group.bytes, group.length - 1
+    where = zip(route.bucket(cut.key).tolist(), cut.start.tolist(), (cut.start + cut.count + tail).tolist())
     for i, (b, start, end) in enumerate(where):
         found.setdefault(b, {}).setdefault(data[start:end], []).append(i)
-    cuts, strings, own, uses = [], [], [], []
+    buckets, strings, own, uses = [], [], [], []
     for b in sorted(found):
-        cuts.append((b, len(strings), len(strings) + len(found[b])))
+        buckets += [b] * len(found[b])
         for string in sorted(found[b]):
             strings.append(string)
             own += (which := found[b][string])
             uses.append(len(which))
-    return cuts, strings, np.array(own, np.int64), np.array(uses, np.int64)
+    return np.array(buckets, np.int64), strings, np.array(own, np.int64), np.array(uses, np.int64)
 
 
-def _least_ranks(runs: Runs, own: np.ndarray, uses: np.ndarray) -> np.ndarray:
+def _least_ranks(group: Group, cut: Cut, own: np.ndarray, uses: np.ndarray) -> np.ndarray:
     """The least rank among each string's runs."""
     if not len(uses):
         return np.zeros(0, np.int64)
-    return np.minimum.reduceat(runs.rank[runs.owner[own]], np.cumsum(uses) - uses)
+    return np.minimum.reduceat(group.rank[cut.owner[own]], np.cumsum(uses) - uses)
 
 
-def _packed(strings: list[bytes], least: np.ndarray) -> bytes:
-    """Strings with a number each, compressed: short texts of many kinds are dense only after entropy coding."""
+def _packed(strings: list[bytes], least: np.ndarray, buckets: np.ndarray) -> bytes:
+    """Strings with a number and a bucket each, compressed: short texts of many kinds are dense only after
+    entropy coding."""
     sizes = np.array([len(s) for s in strings], "<i4").tobytes()
-    return zlib.compress(len(strings).to_bytes(4, "little") + sizes + least.astype("<i8").tobytes() + b"".join(strings), 1)
+    numbers = least.astype("<i8").tobytes() + np.diff(buckets, prepend=0).astype("<i8").tobytes()
+    return zlib.compress(len(strings).to_bytes(4, "little") + sizes + numbers + b"".join(strings), 1)
 
 
-def _unpacked(data: bytes) -> tuple[list[bytes], np.ndarray]:
+def _unpacked(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     data = zlib.decompress(data)
     n = int.from_bytes(data[:4], "little")
-    sizes, least = np.frombuffer(data, "<i4", n, 4), np.frombuffer(data, "<i8", n, 4 + 4 * n)
-    ends = (np.cumsum(sizes) + 4 + 12 * n).tolist()
-    return [data[e - k : e] for e, k in zip(ends, sizes.tolist())], least
+    sizes, numbers = np.frombuffer(data, "<i4", n, 4), np.frombuffer(data, "<i8", 2 * n, 4 + 4 * n)
+    ends = (np.cumsum(sizes) + 4 + 20 * n).tolist()
+    return [data[e - k : e] for e, k in zip(ends, sizes.tolist())], numbers[:n], np.cumsum(numbers[n:])
+
 
+def _run_rows(route: Route, hop: int, part: int, grp: int, strings: list, least: np.ndarray, buckets: np.ndarray) -> pa.Table:
+    spans = route.spans(buckets, hop)
+    rows = [(at, _packed(strings[lo:hi], least[lo:hi], buckets[lo:hi])) for at, lo, hi in spans]
+    return route.sent(hop, part, grp, rows, ["data"])
 
-def _send_runs(length: int, q: int, buckets: int, run_buckets: int, size: int) -> Callable:
+
+def _send_runs(keys: Keys, route: Route, rounds: int) -> Callable:
     def run(key, left, right):
-        rows = []
+        strings, least, buckets = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
         if left.num_rows:
-            runs = Runs(left, length, q)
-            _keep_shared(runs, right, buckets, size)
-            cuts, strings, own, uses = _questions(runs, run_buckets)
-            least = _least_ranks(runs, own, uses)
-            rows = [(b, _packed(strings[lo:hi], least[lo:hi])) for b, lo, hi in cuts]
-        b, data = zip(*rows) if rows else ((), ())
-        return pa.table(
-            {"grp": pa.array([key[0].as_py()] * len(rows), pa.int64()), "bucket": pa.array(b, pa.int64()),
-             "data": pa.array(data, pa.binary())}
-        )
+            group = Group(left, keys.length)
+            cut, _ = keys.settled(group, right, rounds)
+            buckets, strings, own, uses = _questions(group, cut, route)
+            least = _least_ranks(group, cut, own, uses)
+        return _run_rows(route, 1, 0, key[0].as_py(), strings, least, buckets)
+
+    return run
+
+
+class Asked:
+    """What a place was sent: its different strings, the least number of each, and whose they are."""
+
+    def __init__(self, table: pa.Table, length: int):
+        number: dict[bytes, int] = {}
+        which, least, self.per_row, buckets = [], [], [], []
+        for data in table.column("data"):
+            strings, low, bucket = _unpacked(data.as_py())
+            known = len(number)
+            ids = [number.setdefault(s, len(number)) for s in strings]
+            buckets += [b for i, b in zip(ids, bucket.tolist()) if i >= known]
+            which += ids
+            least.append(low)
+            self.per_row.append(len(strings))
+        self.strings, self.buckets = list(number), np.array(buckets, np.int64)
+        self.which, self.least = np.array(which, np.int64), np.concatenate(least)
+        self.low = np.full(len(number), LAST)
+        np.minimum.at(self.low, self.which, self.least)
+        self.windows = np.array([len(s) for s in self.strings], np.int64) - length + 1
+
+    def in_order(self) -> np.ndarray:
+        """The numbers of the strings, bucket by bucket and in order."""
+        return np.array(sorted(range(len(self.strings)), key=lambda i: (self.buckets[i], self.strings[i])), np.int64)
+
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each window asked about, in order: its place among the windows of the strings, and its string's
+        least number in the row."""
+        first = np.cumsum(self.windows) - self.windows
+        count = self.windows[self.which]
+        at = np.repeat(first[self.which] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        return at, np.repeat(self.least, count)
+
+    def bits(self, earlier: np.ndarray) -> list[bytes]:
+        """A mark for each window asked about, row by row."""
+        rows = np.cumsum([0, *self.per_row])
+        upto = np.concatenate([[0], np.cumsum(self.windows[self.which])])[rows]
+        return [np.packbits(earlier[a:b]).tobytes() for a, b in zip(upto[:-1], upto[1:])]
+
+
+def _relay_runs(route: Route, length: int, hop: int) -> Callable:
+    def run(key, table):
+        asked = Asked(table, length)
+        order = asked.in_order()
+        strings = [asked.strings[i] for i in order]
+        return _run_rows(route, hop, key[0].as_py(), key[1].as_py(), strings, asked.low[order], asked.buckets[order])
+
+    return run
+
+
+def _window_marks(route: Route, replies: pa.Table, hop: int, buckets: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """The answers to strings asked about at the hop, window by window."""
+    answers, marks = _replies(replies, RUNS), [np.zeros(0, np.uint8)]
+    for at, lo, hi in route.spans(buckets, hop):
+        marks.append(np.unpackbits(np.frombuffer(answers[at], np.uint8), count=int(windows[lo:hi].sum())))
+    return np.concatenate(marks).astype(bool)
+
+
+def _relay_runs_back(route: Route, length: int, hop: int) -> Callable:
+    def run(key, left, right):
+        asked = Asked(left, length)
+        order = asked.in_order()
+        windows = asked.windows[order]
+        marks = _window_marks(route, right, hop, asked.buckets[order], windows)
+        # From the order of the strings sent on to that of ``asked``.
+        first = np.zeros(len(order), np.int64)
+        first[order] = np.cumsum(windows) - windows
+        step = np.arange(asked.windows.sum()) - np.repeat(np.cumsum(asked.windows) - asked.windows, asked.windows)
+        marks = marks[np.repeat(first, asked.windows) + step]
+        at, least = asked.places()
+        # A string that a smaller document sent has all its windows there.
+        return _reply(left, RUNS, asked.bits(marks[at] | (np.repeat(asked.low, asked.windows)[at] < least)))
 
     return run
 
@@ -314,73 +508,55 @@ def _least_of_windows(strings: list[bytes], low: np.ndarray, length: int) -> np.
 
 def _answer_runs(length: int, q: int) -> Callable:
     def run(key, table):
-        number: dict[bytes, int] = {}
-        which, least, per_row = [], [], []
-        for data in table.column("data"):
-            strings, low = _unpacked(data.as_py())
-            which += [number.setdefault(s, len(number)) for s in strings]
-            least.append(low)
-            per_row.append(len(strings))
-        which, least = np.array(which, np.int64), np.concatenate(least)
-        low = np.full(len(number), LAST)
-        np.minimum.at(low, which, least)
-        strings = list(number)
-        windows = np.array([len(s) for s in strings], np.int64) - length + 1
+        asked = Asked(table, length)
         # Equal windows have equal minimizers: a string that is the only one under its own is settled.
-        _, mark, uses = np.unique(_minimizers(strings, length, q), return_inverse=True, return_counts=True)
+        _, mark, uses = np.unique(_minimizers(asked.strings, length, q), return_inverse=True, return_counts=True)
         several = uses[mark] > 1
-        found = np.repeat(low, windows)
+        found = np.repeat(asked.low, asked.windows)
         if several.any():
             some = np.flatnonzero(several)
-            found[np.repeat(several, windows)] = _least_of_windows([strings[i] for i in some], low[some], length)
-        first = np.cumsum(windows) - windows
-        count = windows[which]
-        asked = np.repeat(first[which] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        earlier = found[asked] < np.repeat(least, count)
-        rows = np.cumsum([0, *per_row])
-        upto = np.concatenate([[0], np.cumsum(count)])[rows]
-        bits = [np.packbits(earlier[a:b]).tobytes() for a, b in zip(upto[:-1], upto[1:])]
-        return _reply(table.column("grp"), key[0].as_py(), 1, bits)
+            strings = [asked.strings[i] for i in some]
+            found[np.repeat(several, asked.windows)] = _least_of_windows(strings, asked.low[some], length)
+        at, least = asked.places()
+        return _reply(table, RUNS, asked.bits(found[at] < least))
 
     return run
 
 
-def _remove(length: int, q: int, buckets: int, run_buckets: int, size: int, with_text: bool) -> Callable:
+def _remove(keys: Keys, route: Route, rounds: int, with_text: bool) -> Callable:
+    length = keys.length
+
     def run(key, left, right):
         if not left.num_rows:
             return _REMOVED.empty_table() if with_text else _REMOVED.empty_table().drop_columns(["kept"])
-        runs = Runs(left, length, q)
-        _keep_shared(runs, right, buckets, size)
-        answers = _replies(right, 1)
-        covered = np.zeros(len(runs.bytes) + 1, np.int32)
-        cuts, strings, own, uses = _questions(runs, run_buckets)
+        group = Group(left, length)
+        cut, _ = keys.settled(group, right, rounds)
+        covered = np.zeros(len(group.bytes) + 1, np.int32)
+        buckets, strings, own, uses = _questions(group, cut, route)
         windows = np.array([len(x) for x in strings], np.int64) - length + 1
-        bits = [np.zeros(0, np.uint8)]
-        for b, lo, hi in cuts:
-            bits.append(np.unpackbits(np.frombuffer(answers[b], np.uint8), count=int(windows[lo:hi].sum())))
-        earlier = np.concatenate(bits).astype(bool)
+        earlier = _window_marks(route, right, 1, buckets, windows)
         # Any later document of the group has all of a string from the group's first one ...
-        first = np.repeat(_least_ranks(runs, own, uses), uses)
-        later = runs.rank[runs.owner[own]] > first
-        begin = runs.start[own[later]]
+        first = np.repeat(_least_ranks(group, cut, own, uses), uses)
+        later = group.rank[cut.owner[own]] > first
+        begin = cut.start[own[later]]
         np.add.at(covered, begin, 1)
-        np.add.at(covered, begin + runs.count[own[later]] + length - 1, -1)
+        np.add.at(covered, begin + cut.count[own[later]] + length - 1, -1)
         # ... and the first one has the windows that the answers mark.
         which, count = own[~later], np.repeat(windows, uses)[~later]
         place = np.repeat(np.cumsum(windows) - windows, uses)[~later]
         step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        hit = (np.repeat(runs.start[which], count) + step)[earlier[np.repeat(place, count) + step]]
+        hit = (np.repeat(cut.start[which], count) + step)[earlier[np.repeat(place, count) + step]]
         np.add.at(covered, hit, 1)
         np.add.at(covered, hit + length, -1)
         gone = np.cumsum(covered[:-1]) > 0
         out = {k: [] for k in _REMOVED.names}
         given = left.column("doc_id").to_pylist()
-        for i, (text, begin) in enumerate(zip(runs.texts, runs.begin)):
+        for i, (text, begin) in enumerate(zip(group.texts, group.begin)):
             own = gone[begin : begin + len(text)]
             edge = np.diff(np.concatenate([[0], own.astype(np.int8), [0]]))
             starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
             kept = np.frombuffer(text, np.uint8)[~own].tobytes() if len(starts) else text
-            out["doc_id"].append(given[runs.rows[i]])
+            out["doc_id"].append(given[group.rows[i]])
             out["n_bytes"].append(len(text))
             out["n_removed"].append(int(own.sum()))
             out["starts"].append(starts)
@@ -408,6 +584,7 @@ def suffix_dedup(
     group_bytes: int = GROUP_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
     run_bytes: int = RUN_BYTES,
+    fan: int = FAN,
     with_text: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, starts, ends, kept_sha256 (and kept, the bytes).
@@ -424,8 +601,12 @@ def suffix_dedup(
     text = full_text(text_column).cast("binary")
     total = docs.select(F.sum(F.octet_length(full_text(text_column)))).first()[0] or 0
     groups, buckets, run_buckets = (max(1, -(-total // n)) for n in (group_bytes, bucket_bytes, run_bytes))
+    route = Route(run_buckets, fan)
     # So many bytes of a minimizer that different ones seldom look alike (that costs time only).
     size = min(8, max(5, math.ceil((math.log2(max(2, total)) + 8) / 8)))
+    # Grams of the rounds: the step between keeps runs long where a middle length is rare enough.
+    grams = tuple(sorted({q, (q + length) // 2, length}))
+    keys = Keys(length, grams, Route(buckets, fan), size, hot_zeros(run_bytes, length))
     files = max(1, -(-groups // GROUPS_PER_FILE))
     # The texts, grouped once and for all: a bucketed table is read group by group without a shuffle.
     name = f"suffix_texts_{uuid.uuid4().hex}"
@@ -440,23 +621,48 @@ def suffix_dedup(
     ).saveAsTable(name)
     texts = spark.table(name)
 
-    sent = texts.groupBy("grp").applyInArrow(
-        _send_minimizers(length, q, buckets, size), "grp LONG, bucket LONG, keys BINARY, several BINARY"
-    )
-    shared = written(sent.groupBy("bucket").applyInArrow(_answer_minimizers(size), _REPLY_SQL), "suffix-shared")
-    asked = (
-        texts.groupBy("grp")
-        .cogroup(shared.groupBy("grp"))
-        .applyInArrow(
-            _send_runs(length, q, buckets, run_buckets, size), "grp LONG, bucket LONG, data BINARY"
+    ask = _SENT_SQL + ", keys BINARY, notes BINARY"
+    shared, rounds = None, 0
+    while rounds < len(keys.grams):
+        by_group = texts.groupBy("grp")
+        sent = (by_group if shared is None else by_group.cogroup(shared.groupBy("grp"))).applyInArrow(keys.send(rounds), ask)
+        replies = _exchange(
+            sent, ask, keys.route, "suffix-shared", keys.relay, keys.answer(rounds), partial(keys.relay_back, rounds)
         )
-    )
-    answers = written(asked.groupBy("bucket").applyInArrow(_answer_runs(length, q), _REPLY_SQL), "suffix-answers")
+        shared = replies if shared is None else shared.unionByName(replies)
+        rounds += 1
+        if replies.where("hot").isEmpty():
+            break
+    ask = _SENT_SQL + ", data BINARY"
+    asked = texts.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_send_runs(keys, route, rounds), ask)
+    answers = _exchange(
+        asked, ask, route, "suffix-answers", partial(_relay_runs, route, length), _answer_runs(length, q),
+        partial(_relay_runs_back, route, length),
+    )
     schema = "doc_id LONG, n_bytes LONG, n_removed LONG, starts ARRAY<LONG>, ends ARRAY<LONG>, kept_sha256 STRING"
     return (
         texts.groupBy("grp")
         .cogroup(shared.unionByName(answers).groupBy("grp"))
-        .applyInArrow(
-            _remove(length, q, buckets, run_buckets, size, with_text), schema + ", kept BINARY" * with_text
-        )
+        .applyInArrow(_remove(keys, route, rounds, with_text), schema + ", kept BINARY" * with_text)
     )
+
+
+def hot_zeros(run_bytes: int, length: int) -> int:
+    """Zeros from which a minimizer is hot: it likely is with a third of a task's runs, and almost surely
+    with three times as many."""
+    return max(1, int(math.log2(max(2, run_bytes / (4 * length)))))
+
+
+def _exchange(
+    sent: DataFrame, schema: str, route: Route, label: str, relay: Callable, answer: Callable, back: Callable
+) -> DataFrame:
+    """The replies to what groups sent, over all hops there and back."""
+    inputs = []
+    for hop in range(2, route.hops + 1):
+        inputs.append(written(sent, f"{label}-hop"))
+        sent = inputs[-1].groupBy("part", "grp").applyInArrow(relay(hop), schema)
+    replies = sent.groupBy("part", "grp").applyInArrow(answer, _REPLY_SQL)
+    for hop in range(route.hops, 1, -1):
+        rows = inputs.pop().groupBy("part", "grp")
+        replies = rows.cogroup(replies.groupBy("part", "grp")).applyInArrow(back(hop), _REPLY_SQL)
+    return written(replies, label)
