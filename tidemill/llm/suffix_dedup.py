@@ -46,8 +46,8 @@ Q = 16
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 RUN_BYTES = 1 << 20
-#: Rows that a task sends to others at most.
-FAN = 512
+#: Rows that a task sends to others at most: 2 KB of a group's text each, on which work is far more than on the row.
+FAN = 1024
 #: Groups that one file of the grouped table holds, about.
 GROUPS_PER_FILE = 8
 #: Window positions whose minimizers are worked out at once.
@@ -117,25 +117,22 @@ class Group:
         self.length = length
         self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
 
-    def cut(self, q: int, within: np.ndarray | None = None) -> Cut:
-        """Runs of windows that share a minimizer; of windows that begin where ``within`` has one
-        number over 0, if it is given."""
+    def cut(self, q: int, of: Cut | None = None) -> Cut:
+        """Runs of windows that share a minimizer, within texts or, if they are given, within the runs ``of``."""
         data, owner, length, parts = np.frombuffer(self.bytes, np.uint8), self.owner, self.length, []
+        if of is not None:
+            sizes = of.count + length - 1
+            at = np.repeat(of.start - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            data, owner = data[at], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         for a in range(0, max(0, len(data) - length + 1), SLICE):
             piece = data[a : a + SLICE + length - 1]
             n = len(piece) - length + 1
-            if within is not None and not within[a : a + n].any():
-                continue
             grams = _gram_hashes(piece, q)
             least = _sliding_least(grams, length - q + 1)
             own = owner[a : a + n]
             inside = own == owner[a + length - 1 : a + n + length - 1]
             new = np.ones(n, bool)
             new[1:] = (least[1:] != least[:-1]) | (own[1:] != own[:-1]) | (inside[1:] != inside[:-1])
-            if within is not None:
-                of = within[a : a + n]
-                new[1:] |= of[1:] != of[:-1]
-                inside &= of > 0
             start = np.flatnonzero(new)
             count = np.diff(np.append(start, n))
             good = inside[start]
@@ -145,7 +142,8 @@ class Group:
             zeros = np.clip(64 - np.frexp(marks.astype(np.float64))[1], 0, 63).astype(np.uint8)
             # The least of many hashes is small: mixed again, keys spread evenly over buckets.
             parts.append(Cut(start + a, count, mixed(least[start]), own[start], zeros))
-        return _joined(parts)
+        cut = _joined(parts)
+        return cut if of is None else cut._replace(start=at[cut.start], owner=of.owner[cut.owner])
 
 
 class Route:
@@ -156,9 +154,12 @@ class Route:
     """
 
     def __init__(self, buckets: int, fan: int):
-        self.buckets, self.fan, self.hops = buckets, fan, 1
-        while fan**self.hops < buckets:
+        self.buckets, self.fan, self.hops = buckets, 1, 1
+        while max(2, fan) ** self.hops < buckets:
             self.hops += 1
+        # Hops of like width: a place gets as much as a sender has.
+        while self.fan**self.hops < buckets:
+            self.fan += 1
 
     def bucket(self, keys: np.ndarray) -> np.ndarray:
         return ((keys >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
@@ -202,6 +203,11 @@ def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
     return {about: bits for about, k, bits in rows if k == kind}
 
 
+def _notes(several: np.ndarray, runs: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    digits = np.ceil(np.log2(runs)).astype("<u2")
+    return several.astype("<u2") << 15 | digits << 8 | zeros
+
+
 class Keys(NamedTuple):
     """How minimizers are asked about: grams of each round, way, bytes sent of a minimizer, zeros of a hot one."""
 
@@ -218,18 +224,18 @@ class Keys(NamedTuple):
         return self.route.bucket(short << np.uint64(64 - 8 * self.size))
 
     def different(self, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
-        """Different minimizers, shortened, and a note of each: whether several texts have it (highest bit)
-        and the most zeros of its runs. So many zeros are likely for 2 ** zeros different runs, however often
-        each comes, and notes merge by their greatest."""
+        """Different minimizers, shortened, and a note of each: whether several texts have it (bit 15), the
+        logarithm of its runs (bits 8 to 14) and the most zeros of one. So many zeros are likely for 2 ** zeros
+        different runs, however often each comes."""
         if not len(cut.key):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+            return np.zeros(0, np.uint64), np.zeros(0, "<u2")
         short = self.short(cut.key)
         order = np.lexsort((cut.owner, short))
         short, owner = short[order], cut.owner[order]
         first = np.flatnonzero(np.append(True, short[1:] != short[:-1]))
         last = np.append(first[1:], len(short)) - 1
-        several = (owner[first] != owner[last]).astype(np.uint8) << 7
-        return short[first], several | np.maximum.reduceat(cut.zeros[order], first)
+        zeros = np.maximum.reduceat(cut.zeros[order], first)
+        return short[first], _notes(owner[first] != owner[last], last - first + 1, zeros)
 
     def rows(self, hop: int, part: int, grp: int, short: np.ndarray, notes: np.ndarray) -> pa.Table:
         data = short.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - self.size :]
@@ -240,14 +246,15 @@ class Keys(NamedTuple):
     def merged(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
         """(different minimizers, notes, the number of the minimizer of each one sent, how many each row has)."""
         keys = [np.frombuffer(x, np.uint8).reshape(-1, self.size) for x in table.column("keys").to_pylist()]
-        given = np.frombuffer(b"".join(table.column("notes").to_pylist()), np.uint8)
+        given = np.frombuffer(b"".join(table.column("notes").to_pylist()), "<u2")
         wide = np.zeros((len(given), 8), np.uint8)
         wide[:, 8 - self.size :] = np.concatenate(keys)
         short, which = np.unique(wide.view(">u8").ravel().astype(np.uint64), return_inverse=True)
         zeros = np.zeros(len(short), np.uint8)
-        np.maximum.at(zeros, which, given & 127)
-        several = np.bincount(which, weights=1 + (given >> 7)) > 1
-        return short, zeros | (several.astype(np.uint8) << 7), which, [len(x) for x in keys]
+        np.maximum.at(zeros, which, (given & 255).astype(np.uint8))
+        several = np.bincount(which, weights=1 + (given >> 15)) > 1
+        runs = np.bincount(which, weights=2.0 ** (given >> 8 & 127))
+        return short, _notes(several, runs, zeros), which, [len(x) for x in keys]
 
     def bits(self, shared: np.ndarray, hot: np.ndarray, which: np.ndarray, counts: list[int]) -> list[bytes]:
         rows = np.split(which, np.cumsum(counts)[:-1])
@@ -269,11 +276,8 @@ class Keys(NamedTuple):
             at = np.searchsorted(short, self.short(cut.key))
             done.append(cut.take((shared & ~hot)[at]))
             cut = cut.take((shared & hot)[at])
-            if len(cut.key):
-                within = np.zeros(len(group.bytes), np.int32)
-                step = np.arange(cut.count.sum()) - np.repeat(np.cumsum(cut.count) - cut.count, cut.count)
-                within[np.repeat(cut.start, cut.count) + step] = np.repeat(np.arange(1, len(cut.key) + 1), cut.count)
-                cut = group.cut(self.grams[i + 1], within)
+            if i + 1 < len(self.grams):
+                cut = group.cut(self.grams[i + 1], cut)
         return _joined(done), cut
 
     def send(self, round_: int) -> Callable:
@@ -297,8 +301,8 @@ class Keys(NamedTuple):
         def run(key, table):
             _, notes, which, counts = self.merged(table)
             # Strings of the last round are whole windows: equal ones are one.
-            hot = ((notes & 127) >= self.hot) & (round_ + 1 < len(self.grams))
-            shared = notes > 127
+            hot = ((notes & 255) >= self.hot) & ((notes >> 8 & 127) >= self.hot) & (round_ + 1 < len(self.grams))
+            shared = notes >> 15 > 0
             return _reply(table, round_, self.bits(shared, hot, which, counts), bool((hot & shared).any()))
 
         return run
