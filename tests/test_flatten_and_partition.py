@@ -39,6 +39,40 @@ def test_flatten_text_separators_and_edges(spark):
     assert flat(spark, '{"s":"{\\"x\\":1}"}') == {"s": '{"x":1}'}
 
 
+MESSAGES = [
+    NESTED,
+    '{"a":{"b":null},"e":[],"f":[],"z":"é"}',
+    '{"a":null,"f":null,"h":null,"i":[]}',
+    '{"a":{"b":{"c":2.50,"e":{"x":{"y":1}}}},"f":[{"g":null}],"i":[null],"n":{}}',
+    '{"f":[null,{"g":1}],"i":[[]],"n":{"B":1,"b":"t","q r":[{"s":[{"t":1}]}]}}',
+    "null",
+    "{}",
+    "no json",
+    None,
+]
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 3, 4, 5, 9])
+@pytest.mark.parametrize(
+    "more",
+    [[], ['{"h":{"x":1}}', '{"h":[7]}'], ['{"a.b":1,"a":{"b":{"c":1}}}', '{"a":{"b":3}}'], ['{"it\'s":1}'], ["[1]", "5"]],
+    ids=["one shape", "odd rows", "equal names", "names no path holds", "no objects"],
+)
+def test_flattening_by_shape_gives_the_same_text(spark, more, depth):
+    df = spark.createDataFrame(list(enumerate(MESSAGES + more)), "id int, value string")
+    general = json_flatten(df, ".", depth, value="value")
+    by_shape = json_flatten(df, ".", depth, value="value", by_shape=True)
+    assert by_shape.columns == general.columns
+    assert sorted(by_shape.collect(), key=str) == sorted(general.collect(), key=str)
+
+
+def test_flattening_by_shape_without_rows_and_on_streams(spark, place):
+    empty = spark.createDataFrame([], "value string")
+    assert json_flatten(empty, value="value", by_shape=True).collect() == []
+    with pytest.raises(ValueError, match="stream"):
+        json_flatten(spark.readStream.text(place), value="value", by_shape=True)
+
+
 def test_flatten_columns(spark):
     df = spark.sql(
         "SELECT 1 AS id, named_struct('b', named_struct('c', 2, 'd', CAST(NULL AS STRING))) AS a, "

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean_data, passthrough
+from ..operators.distinct import DistinctCounts
 from ..operators.flatten import flatten_columns, json_flatten
 from ..operators.joins import daily_price_and_news
 from ..operators.partitioning import add_partition
@@ -409,7 +410,7 @@ def _flat_text(spark, folder):
     )
     text = F.to_json(nested, {"ignoreNullFields": "false"})
     messages = table(spark, folder, "events").select("event_id", text.alias("value"))
-    return json_flatten(messages, ".", 5, value="value")
+    return json_flatten(messages, ".", 5, value="value", by_shape=True)
 
 
 @query("trf4_partition_key", """
@@ -571,6 +572,20 @@ def _expressions(spark, folder):
 # Quality
 
 
+_COUNTED = ("o_custkey", "o_orderpriority", "o_orderdate")
+
+
+@query("agg3_distinct_bitmaps", " union all ".join(
+    f"select {load} as load_id, '{c}' as name, count(distinct {c}) as distinct_values from orders {group}"
+    for c in _COUNTED for load, group in (("o_orderstatus", "group by o_orderstatus"), ("'all'", ""))))
+def _distinct(spark, folder):
+    orders = table(spark, folder, "orders")
+    counts = DistinctCounts(spark, scratch_path(spark, "distinct"), _COUNTED)
+    for status in ("F", "O", "P", "F"):  # a load that is added again replaces itself
+        counts.add(orders.filter(F.col("o_orderstatus") == status), status)
+    return counts.counts_by_load().unionByName(counts.counts().withColumn("load_id", F.lit("all")))
+
+
 @query("qlt1_completeness", " union all ".join(
     f"select '{c}' as column_name, count(*) as total_records, count({c}) as non_null_records, "
     f"cast(cast(count({c}) * 100.0 / count(*) as decimal(5, 2)) as double) as completeness_pct from v_flights"

@@ -70,6 +70,11 @@ def schema_of_shape(found: str | None, keep_objects: bool = False) -> T.StructTy
     )
 
 
+def parsed_shape(found: str | None) -> T.DataType | None:
+    """The type that ``schema_of_variant_agg`` found, as it is; None for no values."""
+    return T.DataType.fromDDL(_to_ddl(found)) if found else None
+
+
 def nested_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, T.DataType]]:
     """Every leaf of a nested schema as a dotted path; an array counts as its element."""
     leaves: list[tuple[str, T.DataType]] = []
