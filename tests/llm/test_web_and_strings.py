@@ -224,10 +224,69 @@ def test_archive_round_trip(spark, place):
             assert r.capture.payload == next(h or "" for i, _, h in PAGES if i == r.page_id)
 
 
+def foreign(*records):
+    return b"".join(r + b"\r\n\r\n" for r in records)
+
+
+GOOD = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nWARC-Target-URI: http://x/\r\n  y\r\nContent-Length: 8\r\n\r\nH\r\n\r\nabc"
+META = b"WARC/1.0\r\nwarc-type: metadata\r\nWARC-Concurrent-To: <a>\r\nCONTENT-LENGTH: 3\r\n\r\nk:v"
+LOST = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <lost>\r\n\r\nsome block\r\n\r\nof unknown length"
+BAD = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: -4\r\n\r\n"
+
+
+def test_foreign_archives(spark, place):
+    members = gzip.compress(foreign(GOOD)) + gzip.compress(foreign(META))
+    files = {
+        "plain.warc": foreign(GOOD, LOST, BAD, META, b"WARC/1.0\r\nContent-Length: 0\r\n\r\n"),
+        "members.warc.gz": members,
+        "cut.warc.gz": gzip.compress(foreign(GOOD.replace(b"<a>", b"<b>")) + bytes(range(256)) * 400)[:-200],
+        "cut.warc": foreign(META) + GOOD[:-1],
+        "damaged.gz": b"\x1f\x8b" + b"x" * 50,
+        "noise": b"no archive\n at all",
+        "empty": b"",
+    }
+    for name, content in files.items():
+        with open(f"{place}/{name}", "wb") as file:
+            file.write(content)
+    by_file = {
+        name: [
+            (r.kind, r.name or r.concurrent_to, r.fields)
+            for r in warc.read_archives(spark, f"{place}/{name}").collect()
+        ]
+        for name in files
+    }
+    good, meta = ("response", "<a>", None), ("metadata", "<a>", "k:v")
+    refused = lambda why: (warc.REJECTED, None, why)
+    assert by_file["plain.warc"] == [
+        good, refused("no content length"), refused("no content length"), meta, refused("no type"),
+    ]
+    assert by_file["members.warc.gz"] == [good, meta]
+    assert by_file["cut.warc.gz"][-1] == refused("archive is cut or damaged")
+    assert by_file["cut.warc"] == [meta, refused("block is cut")]
+    assert by_file["damaged.gz"] == [refused("archive is cut or damaged")]
+    assert by_file["noise"] == [refused("no version line")]
+    assert by_file["empty"] == []
+    records = warc.read_archives(spark, place)
+    assert {r.uri for r in records.where("kind = 'response'").collect()} == {"http://x/ y"}
+    got = warc.assemble(records).where("name = '<a>'").first()
+    assert (got.times, got.capture.payload, got.metadata.fields) == (2, "abc", "k:v")
+
+
+def test_files_of_captures_are_bounded_by_bytes(spark, place):
+    pages = spark.range(60).selectExpr("id AS page_id", "'http://x/' AS url", "repeat(chr(CAST(97 + id % 26 AS INT)), CAST(id * 100 AS INT)) AS html")
+    captured = warc.captures(pages, "page_id", "url", "html", 0)
+    warc.write_archives(captured.coalesce(1), f"{place}/warc", file_captures=16, file_bytes=8000)
+    assert warc.read_archives(spark, f"{place}/warc").where("kind in ('response', 'revisit')").count() == 60
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{place}/warc").collect()
+    for file in files:
+        blocks = [len(b) for h, b in warc.parse(io.BytesIO(gzip.decompress(file.content))) if h["warc-type"] == "response"]
+        assert len(blocks) == 1 or sum(b - 100 for b in blocks) <= 8000
+
+
 def test_archives_are_records_by_their_length(spark, place):
     warc.archive_pages(pages_table(spark, PAGES, place), path=f"{place}/warc")
     names = Counter()
-    for row in spark.read.format("binaryFile").load(f"{place}/warc").collect():
+    for row in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{place}/warc").collect():
         data = gzip.decompress(row.content)
         stream = io.BytesIO(data)
         while stream.tell() < len(data):

@@ -11,6 +11,7 @@ import base64
 import gzip
 import hashlib
 import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import full_text, hot_keys, named_key, python_tasks, skewed_join, written
 
-#: Captures of a file at most, so that a task can hold a file's bytes.
+#: Captures of a file at most, and bytes of their payloads (or one capture), so that a task can hold a file.
 FILE_CAPTURES = 1000
+FILE_BYTES = 64 << 20
 #: Payloads of fewer bytes are never written as revisits.
 REVISIT_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -77,12 +79,24 @@ def captures(pages: DataFrame, id_column: str, url_column: str, html_column: str
     )
 
 
-def write_archives(captured: DataFrame, path: str, file_captures: int = FILE_CAPTURES) -> None:
-    """Write each capture's three records to compressed archives.
+def write_archives(
+    captured: DataFrame, path: str, file_captures: int = FILE_CAPTURES, file_bytes: int = FILE_BYTES
+) -> None:
+    """Write each capture's three records to compressed archives, in folders by size.
 
     A record is text in UTF-8 and ends with two line ends, which is what a text writer with that
-    line separator writes.
+    line separator writes. Captures are parted by their payload's bytes into small ones, of which
+    ``file_captures`` fit into ``file_bytes``, middle ones, of which the square root of that many do,
+    and large ones, which have a file each.
     """
+    middle = max(1, round(file_captures**0.5))
+    size, limits = F.octet_length("html"), [0, *[file_bytes // n + 1 for n in (file_captures, middle)]]
+    for name, least, beyond, most in zip(("small", "middle", "large"), limits, [*limits[1:], None], (file_captures, middle, 1)):
+        some = captured.where(size >= least)
+        _write_some(some if beyond is None else some.where(size < beyond), f"{path}/{name}", most)
+
+
+def _write_some(captured: DataFrame, path: str, file_captures: int) -> None:
     payload, refers = F.col("html"), F.col("refers_to")
     digest = F.concat(F.lit("sha1:"), base32_sha1(payload))
     http = F.concat(
@@ -131,16 +145,57 @@ def write_archives(captured: DataFrame, path: str, file_captures: int = FILE_CAP
     ).text(path)
 
 
+class Rejected(Exception):
+    """Why a record of an archive can't be read."""
+
+
 def parse(stream) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers by lower-case name, block) of each record of an archive, by its stated length."""
-    while line := stream.readline():
-        if not line.strip():
+    """(headers by lower-case name, block) of each record of an archive, by its stated length.
+
+    A header line that begins with a space or tab goes on with the line before. What can't be read is
+    handed on as headers without a type, with the reason under ``rejected``, and reading goes on at the
+    next line that begins a record; an archive that is cut or damaged ends there.
+    """
+    try:
+        line = stream.readline()
+        while line:
+            if not line.strip():
+                line = stream.readline()
+                continue
+            try:
+                yield _record_after(line, stream)
+                line = stream.readline()
+            except Rejected as problem:
+                yield {"rejected": str(problem)}, b""
+                line = stream.readline()
+                while line and not line.startswith(b"WARC/"):
+                    line = stream.readline()
+    except (EOFError, OSError, zlib.error):
+        yield {"rejected": "archive is cut or damaged"}, b""
+
+
+def _record_after(line: bytes, stream) -> tuple[dict[str, str], bytes]:
+    if not line.startswith(b"WARC/"):
+        raise Rejected("no version line")
+    headers, name = {}, None
+    while (line := stream.readline()).strip():
+        text = line.decode("utf-8", "replace")
+        if text[0] in " \t" and name is not None:
+            headers[name] = f"{headers[name]} {text.strip()}".strip()
             continue
-        headers = {}
-        while (line := stream.readline()).strip():
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            headers[name.strip().lower()] = value.strip()
-        yield headers, stream.read(int(headers["content-length"]))
+        name, _, value = text.partition(":")
+        name = name.strip().lower()
+        headers[name] = value.strip()
+    length = headers.get("content-length", "")
+    if not (length.isascii() and length.isdigit()):
+        raise Rejected("no content length")
+    if "warc-type" not in headers:
+        raise Rejected("no type")
+    block = stream.read(int(length))
+    if len(block) < int(length):
+        raise Rejected("block is cut")
+    headers.pop("rejected", None)
+    return headers, block
 
 
 _RECORDS = pa.schema(
@@ -151,12 +206,16 @@ _RECORDS_SQL = (
     "kind STRING, name STRING, concurrent_to STRING, refers_to STRING, uri STRING, digest STRING, "
     "length LONG, fields STRING, payload STRING"
 )
+#: The kind of what can't be read as a record; its reason is in ``fields``.
+REJECTED = "rejected"
 #: Bytes of blocks after which a batch of records is handed on.
 _BATCH_BYTES = 4 << 20
 
 
 def _parsed(headers: dict[str, str], block: bytes, with_payload: bool) -> tuple:
-    kind = headers.get("warc-type")
+    if "rejected" in headers:
+        return (REJECTED, *[None] * 6, headers["rejected"], None)
+    kind = headers["warc-type"]
     digest = headers.get("warc-payload-digest", "").rpartition(":")[2] or None
     length, fields, payload = None, None, None
     if kind == "response":
@@ -197,7 +256,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """The records of all archives under a folder, in any order."""
+    """The records of all archives under a folder, in any order, and a row of kind ``rejected`` for what is none.
+
+    An archive without records gives no rows.
+    """
     python_tasks(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
     return files.mapInArrow(_read(with_payload), _RECORDS_SQL)
@@ -251,7 +313,7 @@ def archive_pages(
     page_id = F.regexp_extract("metadata.fields", r"(?:^|\n)page_id: (-?\d+)", 1)
     found = written(
         found.select(
-            F.when(page_id != "", page_id).cast("long").alias("page_id"),
+            F.when(page_id != "", page_id).try_cast("long").alias("page_id"),
             F.coalesce("capture.refers_to", "capture.name").alias("payload_of"),
             "capture", "request", "metadata", "times",
         ),
