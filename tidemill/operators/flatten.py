@@ -199,7 +199,7 @@ def json_flatten(
     """
     if value is None:
         return flatten_columns(df, separator, max_depth)
-    parsed = F.try_parse_json(F.col(f"`{value}`"))
+    parsed = F.try_parse_json(F.col(value))
     if not by_shape:
         return df.withColumn("flattened_data", flatten_text(parsed, separator, max_depth)).drop(value)
     if df.isStreaming:
