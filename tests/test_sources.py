@@ -213,3 +213,27 @@ def test_kafka_connector_missing_is_reported(spark):
 
 def test_json_text_is_json():
     assert json.loads(ARRAY)[1]["id"] == 2
+
+
+def test_many_files_of_mixed_formats(spark, place):
+    """Tasks do not follow the number of files, and the schema is the one that Spark's reader infers."""
+    rows = [{"id": i, "n": {"x": i / 2 if i % 3 else 1}, "t": None if i % 3 else ["a"], "big": 10**25 if i == 7 else i} for i in range(150)]
+    for name, kept in (("mixed", range(150)), ("alone", range(0, 150, 2))):
+        Path(place, name).mkdir()
+        for i in kept:
+            text = json.dumps(rows[i], indent=1) if i % 2 == 0 else json.dumps([rows[i], rows[i]], indent=1)
+            Path(place, name, f"f {i}.json").write_text(text)
+    context = spark.sparkContext
+    context.setJobGroup("many files", "")
+    try:
+        got = json_scan(spark, f"{place}/mixed")
+        tracker = context.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("many files")]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds if tracker.getStageInfo(s)) <= 64
+    assert got.orderBy("id").select("id").collect() == [(i,) for i in range(150) for _ in range(1 + i % 2)]
+    alone = spark.read.option("multiLine", "true").json(f"{place}/alone")
+    assert json_scan(spark, f"{place}/mixed").select("id", "n", "big").schema["n"] == alone.schema["n"]
+    assert json_scan(spark, f"{place}/alone").schema == alone.schema
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"

@@ -186,11 +186,13 @@ def _json_layouts(spark, folder):
     whole = F.to_json(F.struct("layout", "o_orderkey", "o_custkey"))
     pretty = F.concat(F.lit("{\n"), F.substr(whole, F.lit(2)))
     orders.filter("layout = 'lines'").select(whole.alias("value")).repartition(3).write.text(f"{path}/lines")
+    # Each file is a record: tasks follow their number, 250 files each.
+    writers = orders.count() // (250 * 500) + 4
     objects = orders.filter("layout = 'object'").select(pretty.alias("value"))
-    objects.repartition(4).write.option("maxRecordsPerFile", 1).text(f"{path}/objects")
+    objects.repartition(writers).write.option("maxRecordsPerFile", 1).text(f"{path}/objects")
     arrays = orders.filter("layout = 'array'").groupBy(F.floor(F.col("o_orderkey") / 1000).alias("part")).agg(F.collect_list(whole).alias("rows"))
     listed = F.concat(F.lit("[\n"), F.array_join("rows", ",\n"), F.lit("\n]"))
-    arrays.select(listed.alias("value")).repartition(3).write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
+    arrays.select(listed.alias("value")).repartition(writers).write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
     return json_scan(spark, path, pattern="*.txt")
 
 
