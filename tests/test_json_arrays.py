@@ -8,7 +8,8 @@ from pathlib import Path
 
 import pytest
 
-from tidemill.session import shared_root
+from tidemill.plans import operator_queries
+from tidemill.session import scratch_made, shared_root
 from tidemill.sources.json_arrays import array_records, array_scan
 from tidemill.sources.json_files import json_scan
 
@@ -55,3 +56,12 @@ def test_broken_arrays(spark, place):
     assert sorted(r.id for r in array_scan(spark, place, continue_on_error=True, range_bytes=10).collect()) == [1, 3]
     with pytest.raises(Exception, match="malformed JSON record"):
         array_scan(spark, place, schema=array_scan(spark, place, continue_on_error=True, range_bytes=10).schema).collect()
+
+
+def test_written_arrays_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(operator_queries, "ARRAY_ROWS", 1000)
+    rows = operator_queries.QUERIES["src4_split_array"](spark, "/root/testdata/sf0.01")
+    assert rows.select("o_orderkey").distinct().count() == rows.count() == 15000
+    written = [p for p in scratch_made() if "/json-arrays-" in p][-1]
+    sizes = [len(json.loads(Path(f).read_text())) for f in glob.glob(f"{written}/*/*.txt")]
+    assert len(sizes) == 15 and sum(sizes) == 15000 and max(sizes) < 1300

@@ -46,6 +46,9 @@ from .views import table, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rows of an array that a query writes for a reader, about.
+ARRAY_ROWS = 50_000
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -199,12 +202,16 @@ def _json_layouts(spark, folder):
 @query("src4_split_array", r"""
     select o_orderkey, o_orderstatus, concat('}{"', o_orderpriority, '\\"]}') as o_comment, o_totalprice as price from orders""")
 def _split_array(spark, folder):
-    """Files of one array each, with braces and quotes in their texts, read in ranges of 64 KB."""
+    """Files of one array each, with braces and quotes in their texts, read in ranges of 64 KB.
+
+    A file's rows meet in the task that writes it, so the files, not their sizes, grow with the table.
+    """
     path = scratch_path(spark, "json-arrays")
     note = F.concat(F.lit('}{"'), F.col("o_orderpriority"), F.lit('\\\\"]}'))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", note.alias("o_comment"), F.struct(F.col("o_totalprice").alias("price")).alias("o"))
     in_file = Window.partitionBy("file").orderBy("o_orderkey")
-    lines = orders.withColumn("file", F.col("o_orderkey") % 3).withColumns(
+    files = max(3, -(-orders.count() // ARRAY_ROWS))
+    lines = orders.withColumn("file", F.pmod(F.xxhash64("o_orderkey"), F.lit(files))).withColumns(
         {"first": F.lag("o_orderkey").over(in_file).isNull(), "last": F.lead("o_orderkey").over(in_file).isNull()}
     )
     text = F.concat(
