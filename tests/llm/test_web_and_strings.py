@@ -7,9 +7,11 @@ import io
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import compare, connect
 from pyspark.sql import functions as F
@@ -441,6 +443,18 @@ def test_suffix_query(spark, plain):
     assert Counter(tuple(r) for r in got) == expected
 
 
+def test_windows_are_hashed_in_pieces_that_fit_a_cache():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, 20_000, np.uint8)) for _ in range(100)]
+    group = suffix_dedup.Group(pa.table({"rank": pa.array(range(100), pa.int64()), "text": pa.array(texts, pa.binary())}), 50)
+    tracemalloc.start()
+    cut = group.cut(16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert cut.count.sum() == 100 * (20_000 - 49) and (np.diff(cut.start) > 0).all()
+    assert peak < 20 * len(group.bytes)
+
+
 def test_bucket_pointers_are_equal_for_equal_strings():
     rng = random.Random(4)
     data = bytes(rng.choice(b"ab") for _ in range(3000)) + b"a" * 200

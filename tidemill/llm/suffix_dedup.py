@@ -50,11 +50,12 @@ RUN_BYTES = 1 << 20
 FAN = 1024
 #: Groups that one file of the grouped table holds, about.
 GROUPS_PER_FILE = 8
-#: Window positions whose minimizers are worked out at once.
-SLICE = 1 << 20
+#: Window positions whose minimizers are worked out at once: their hashes stay in a core's cache.
+SLICE = 1 << 16
 LAST = (1 << 63) - 1
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
+_ORDER = np.uint64(0x9E3779B97F4A7C15)
 _STEP = [int(x) | 1 for x in mixed(np.arange(1000, 1010, dtype=np.uint64))]
 
 
@@ -70,7 +71,10 @@ def _gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
             part = power[i][at : at + len(data) - q + 1]
             out = part.copy() if out is None else out * np.uint64(_STEP[0]) + part
             at += 1 << i
-    return mixed(out)
+    # The order of the hashes needs high bits that all bytes have a say in, no more.
+    out ^= out >> np.uint64(32)
+    out *= _ORDER
+    return out
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -227,15 +231,22 @@ class Keys(NamedTuple):
         """Different minimizers, shortened, and a note of each: whether several texts have it (bit 15), the
         logarithm of its runs (bits 8 to 14) and the most zeros of one. So many zeros are likely for 2 ** zeros
         different runs, however often each comes."""
-        if not len(cut.key):
-            return np.zeros(0, np.uint64), np.zeros(0, "<u2")
+        short, order, first = self.sorted(cut)
+        if not len(short):
+            return short, np.zeros(0, "<u2")
+        owner, runs = cut.owner[order], np.diff(np.append(first, len(order)))
+        several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+        return short, _notes(several, runs, np.maximum.reduceat(cut.zeros[order], first))
+
+    def sorted(self, cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(different minimizers, shortened; the runs in their order; the first run of each in that order)."""
         short = self.short(cut.key)
-        order = np.lexsort((cut.owner, short))
-        short, owner = short[order], cut.owner[order]
-        first = np.flatnonzero(np.append(True, short[1:] != short[:-1]))
-        last = np.append(first[1:], len(short)) - 1
-        zeros = np.maximum.reduceat(cut.zeros[order], first)
-        return short[first], _notes(owner[first] != owner[last], last - first + 1, zeros)
+        order = np.argsort(short)
+        short = short[order]
+        new = np.ones(len(short), bool)
+        new[1:] = short[1:] != short[:-1]
+        first = np.flatnonzero(new)
+        return short[first], order, first
 
     def rows(self, hop: int, part: int, grp: int, short: np.ndarray, notes: np.ndarray) -> pa.Table:
         data = short.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - self.size :]
@@ -271,11 +282,12 @@ class Keys(NamedTuple):
         """The runs that other documents may share, after so many rounds, and those to ask about next."""
         done, cut = [], group.cut(self.grams[0])
         for i in range(rounds):
-            short, _ = self.different(cut)
-            shared, hot = self.answers(replies, i, 1, short)
-            at = np.searchsorted(short, self.short(cut.key))
-            done.append(cut.take((shared & ~hot)[at]))
-            cut = cut.take((shared & hot)[at])
+            short, order, first = self.sorted(cut)
+            runs = np.diff(np.append(first, len(order)))
+            shared, hot = np.zeros((2, len(order)), bool)
+            shared[order], hot[order] = (np.repeat(x, runs) for x in self.answers(replies, i, 1, short))
+            done.append(cut.take(shared & ~hot))
+            cut = cut.take(shared & hot)
             if i + 1 < len(self.grams):
                 cut = group.cut(self.grams[i + 1], cut)
         return _joined(done), cut
@@ -319,19 +331,22 @@ class Keys(NamedTuple):
 def _questions(group: Group, cut: Cut, route: Route) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
     """(buckets, strings, runs, uses): the different strings of the runs, bucket by bucket and
     in order, and for each string in turn its ``uses`` runs."""
-    found: dict[int, dict[bytes, list[int]]] = {}
-    data, tail = group.bytes, group.length - 1
-    where = zip(route.bucket(cut.key).tolist(), cut.start.tolist(), (cut.start + cut.count + tail).tolist())
-    for i, (b, start, end) in enumerate(where):
-        found.setdefault(b, {}).setdefault(data[start:end], []).append(i)
-    buckets, strings, own, uses = [], [], [], []
-    for b in sorted(found):
-        buckets += [b] * len(found[b])
-        for string in sorted(found[b]):
-            strings.append(string)
-            own += (which := found[b][string])
-            uses.append(len(which))
-    return np.array(buckets, np.int64), strings, np.array(own, np.int64), np.array(uses, np.int64)
+    data, bucket = group.bytes, route.bucket(cut.key)
+    where = zip(cut.start.tolist(), (cut.start + cut.count + group.length - 1).tolist())
+    number: dict[bytes, int] = {}
+    which = np.array([number.setdefault(data[a:b], len(number)) for a, b in where], np.int64)
+    if not len(which):
+        return which, [], which, which
+    # Equal strings have equal minimizers, in each round, and so one bucket.
+    buckets, strings = np.zeros(len(number), np.int64), list(number)
+    buckets[which] = bucket
+    order = np.array(sorted(range(len(strings)), key=strings.__getitem__), np.int64)
+    order = order[np.argsort(buckets[order], kind="stable")]
+    place = np.zeros(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    which = place[which]
+    own = np.argsort(which, kind="stable")
+    return buckets[order], [strings[i] for i in order.tolist()], own, np.bincount(which)
 
 
 def _least_ranks(group: Group, cut: Cut, own: np.ndarray, uses: np.ndarray) -> np.ndarray:
@@ -464,7 +479,7 @@ def refined(data: np.ndarray, room: np.ndarray, length: int, q: int = 8) -> np.n
     for k in range(q):
         packed = (packed << np.uint64(8)) | data[places + k].astype(np.uint64)
     pointer = np.full(len(data), -1, np.int32)
-    order = np.argsort(packed, kind="stable")
+    order = np.argsort(packed)
     pointer[places[order]] = _first_equal(packed[order])
     depth = q
     while depth < length:
@@ -475,10 +490,11 @@ def refined(data: np.ndarray, room: np.ndarray, length: int, q: int = 8) -> np.n
         counts = np.bincount(own, minlength=1)
         places = places[counts[own] > 1]
         own, later = pointer[places], pointer[places + offset]
-        order = np.lexsort((later, own))
-        places, own, later = places[order], own[order], later[order]
+        both = own.astype(np.int64) * (len(data) + 1) + later
+        order = np.argsort(both)
+        places, own = places[order], own[order]
         start = _first_equal(own)
-        part = _first_equal(own.astype(np.int64) * (len(data) + 1) + later)
+        part = _first_equal(both[order])
         pointer[places] = own + (part - start)
     return pointer
 
@@ -543,15 +559,16 @@ def _remove(keys: Keys, route: Route, rounds: int, with_text: bool) -> Callable:
         first = np.repeat(_least_ranks(group, cut, own, uses), uses)
         later = group.rank[cut.owner[own]] > first
         begin = cut.start[own[later]]
-        np.add.at(covered, begin, 1)
-        np.add.at(covered, begin + cut.count[own[later]] + length - 1, -1)
+        # No two runs, and no two windows, begin or end at one place.
+        covered[begin] += 1
+        covered[begin + cut.count[own[later]] + length - 1] -= 1
         # ... and the first one has the windows that the answers mark.
         which, count = own[~later], np.repeat(windows, uses)[~later]
         place = np.repeat(np.cumsum(windows) - windows, uses)[~later]
         step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         hit = (np.repeat(cut.start[which], count) + step)[earlier[np.repeat(place, count) + step]]
-        np.add.at(covered, hit, 1)
-        np.add.at(covered, hit + length, -1)
+        covered[hit] += 1
+        covered[hit + length] -= 1
         gone = np.cumsum(covered[:-1]) > 0
         out = {k: [] for k in _REMOVED.names}
         given = left.column("doc_id").to_pylist()
