@@ -316,6 +316,15 @@ def test_ids_are_the_tokenizers():
     assert lengths.tolist() == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_words_with_points_share_their_stem():
+    words = bin_slack.WordIds(public_tokenizers.path(bin_slack.TOKENIZER))
+    texts = ["Abc, abc abc. abc,,. x1, 1, .. , é, größé.. İ, a.b, a-b. don't,", "", "abc," * 3, "ẞ. ñ,, ǅ."]
+    ids, lengths = words.encode(pa.array(texts))
+    whole = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in whole for i in w] and lengths.tolist() == [len(w) for w in whole]
+    assert "abc" in words.young and "abc," not in words.young and "abc,,." not in words.young
+
+
 def test_bins_have_least_slack():
     rng = random.Random(5)
     counts = Counter(rng.randrange(1, 101) for _ in range(3000))

@@ -34,6 +34,11 @@ BATCH_BYTES = 6 << 20
 GROUP_PIECES = 50_000
 
 
+def _values(array: pa.Array) -> list:
+    """A column without nulls as a list, faster than one Arrow scalar at a time."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordIds:
     """Token ids of texts through the ids of their different words.
 
@@ -62,8 +67,7 @@ class WordIds:
                 self._one_by_one(part)
                 continue
             data, places = ids.tobytes(), [0, *(cuts * 4).tolist()]
-            for w, a, b in zip(part, places, places[1:]):
-                self.young[w] = data[a:b]
+            self.young.update(zip(part, [data[a:b] for a, b in zip(places, places[1:])]))
         self._one_by_one([w for w in words if not w.isalpha()])
 
     def _one_by_one(self, words: list[str]) -> None:
@@ -102,6 +106,28 @@ class WordIds:
                 found[i] = young[words[i]]
         return found
 
+    def _bytes_by_stems(self, words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """(ids, the place of each word's among them): words that end in a letter and points are told apart all
+        at once, so their stems are looked up with the other words, once each."""
+        pointed = pc.match_substring_regex(words, "[a-z][.,]+$")
+        ends = words.filter(pointed)
+        stems = pc.utf8_rtrim(ends, ".,")
+        units = pa.concat_arrays([stems, words.filter(pc.invert(pointed))]).dictionary_encode()
+        known = self._bytes_of(_values(units.dictionary))
+        found = [known[i] for i in _values(units.indices)]
+        tails = pc.utf8_slice_codeunits(ends, -1).dictionary_encode()
+        points = self._bytes_of(_values(tails.dictionary))
+        found[: len(stems)] = [ids + points[i] for ids, i in zip(found, _values(tails.indices))]
+        # Several points are looked up as they are.
+        many = pc.greater(pc.subtract(pc.binary_length(ends), pc.binary_length(stems)), 1).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(many).tolist():
+            stem = stems[i].as_py()
+            found[i] = known[units.indices[i].as_py()] + self._bytes_of([ends[i].as_py()[len(stem) :]])[0]
+        pointed, place = pointed.to_numpy(zero_copy_only=False), np.zeros(len(words), np.int32)
+        place[pointed] = np.arange(len(stems))
+        place[~pointed] = np.arange(len(stems), len(words))
+        return found, place
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in order, the number of ids of each text)."""
         whole = np.zeros(len(texts), bool)
@@ -111,10 +137,10 @@ class WordIds:
             return self._mixed(texts, whole)
         lists = pc.ascii_split_whitespace(texts)
         coded = pc.ascii_lower(lists.flatten()).dictionary_encode()
-        found = self._bytes_of(coded.dictionary.to_pylist())
-        sizes = np.fromiter((len(b) // 4 for b in found), np.int64, len(found))
+        found, place = self._bytes_by_stems(coded.dictionary)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), np.uint32)
-        codes = coded.indices.to_numpy(zero_copy_only=False)
+        codes = place[coded.indices.to_numpy(zero_copy_only=False)]
         lengths = sizes[codes]
         starts = (np.cumsum(sizes) - sizes)[codes]
         ends = np.cumsum(lengths)
