@@ -5,10 +5,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.llm import collocations, quotient_filter as qf
 from tidemill.llm.queries import QUERIES
+from tidemill.session import scratch_made
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -114,3 +117,42 @@ def test_bitmap_has_every_place(spark):
     place = [0, 1, 32767, 32768, 40000, 65535, (1 << 17) - 1]
     bitmap = collocations.bitmap_of(spark.createDataFrame([(x,) for x in place], "bit LONG"), 17)
     assert np.flatnonzero(np.unpackbits(bitmap, bitorder="little")).tolist() == place
+
+
+def made(spark, label, seen):
+    return [spark.read.parquet(p) for p in scratch_made()[seen:] if p.rpartition("/")[2].startswith(label)]
+
+
+def test_rows_stay_short(spark):
+    """A task's shards don't grow with what it reads: a row of all its tokens filled the executors' memory."""
+    words = " ".join(f"w{(i * i) % 4001} common phrase" for i in range(4000))
+    docs = spark.range(0, 160, 1, 1).select(F.lit("en").alias("lang"), F.lit(words).alias("text"))
+    seen = len(scratch_made())
+    rows = collocations.collocations(docs, top=3).select("phrase", "a", "n").collect()
+    assert all(r["n"] == 160 * 12_000 and r["a"] > 0 for r in rows) and len(rows) == 3
+    (encoded,) = made(spark, "phrase-tokens", seen)
+    # 12 MB of text with 1.9 million words; a shard ends with the batch that fills it.
+    assert encoded.agg(F.sum("n"), F.max("n")).first()[0] == 160 * 12_000
+    assert encoded.agg(F.max("n")).first()[0] <= 900_000
+
+
+def test_batches_stay_small(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    rows = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 300_000).alias("t"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    found = [r["n"] for r in collocations._sent(rows.mapInArrow(sizes, "n LONG"), "sizes").collect()]
+    assert sum(found) == 40, found
+    assert max(found) <= 5 and spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("sent", [1, 6, 10, 1000])
+def test_filters_are_sent_in_parts(sent):
+    found = [(i, bytes(n)) for i, n in enumerate([1, 5, 20, 3, 3, 3, 3, 10, 1])]
+    batches = list(collocations._filters(7, "en", found, sent))
+    assert [(r["slice"], r["filter"]) for b in batches for r in b.to_pylist()] == found
+    assert all(b.num_rows == 1 or sum(map(len, b.column("filter").to_pylist())) <= sent for b in batches)

@@ -40,12 +40,15 @@ INSIDE_SHARE = 80
 SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
-#: Bytes of text in a shard, about, and bytes that a task gathers for all its languages.
-SHARD_BYTES = 16 << 20
+#: Bytes of text in a shard, about, and bytes that a task gathers for all its languages. A task's arrays are
+#: several times a shard, and a shard's tokens are one row: executors' memory follows this number.
+SHARD_BYTES = 4 << 20
 HELD_BYTES = 48 << 20
 #: Keys of a slice, about, and the bits by which slices get finer per round.
-SLICE_KEYS = 4 << 20
+SLICE_KEYS = 2 << 20
 FAN_BITS = 6
+#: Bytes of an Arrow batch between Spark and a Python task, or one row: tokens and filters are long rows.
+SENT_BYTES = 1 << 20
 #: Bits of the bitmap of frequent n-grams: 8 MB, whatever the corpus.
 BITMAP_BITS = 26
 #: Parts in which a language's candidates are ranked first.
@@ -62,6 +65,20 @@ _SHARD_SQL = "shard LONG, lang STRING, word STRING, code INT, uses LONG, tokens
 WORDS_A_BATCH = 50_000
 
 
+def _sent(df: DataFrame, label: str, sent_bytes: int = SENT_BYTES) -> DataFrame:
+    """``written``, with Arrow batches of ``sent_bytes`` or of one row meanwhile; Spark's own are 64 MB."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key, None)  # none if nobody set it
+    conf.set(key, str(sent_bytes))
+    try:
+        return written(df, label)
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
 def _rows(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in _SHARD], schema=_SHARD)
 
@@ -164,27 +181,33 @@ def _count(n: int, id_bits: int, prefix: int, bitmap: np.ndarray | None, bitmap_
                 if not len(at):
                     continue
                 found = qf.slices(*qf.counted(*qf.permuted(*keys(ids, at, n), n * id_bits)), n * id_bits, prefix)
-                numbers, filters = zip(*found)
-                m = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard] * m, pa.int64()), pa.array([lang] * m), pa.array(numbers, pa.int64()), pa.array(filters, pa.binary())],
-                    ["shard", "lang", "slice", "filter"],
-                )
+                yield from _filters(shard, lang, found)
 
     return run
 
 
+def _filters(shard: int, lang: str, found: list[tuple[int, bytes]], sent_bytes: int = SENT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows of a shard's (slice, filter), in batches of ``sent_bytes`` or of one filter."""
+    ends = np.cumsum([len(x) for _, x in found])
+    a = 0
+    while a < len(found):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + sent_bytes, side="right")))
+        numbers, filters = zip(*found[a:b])
+        m = b - a
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([shard] * m, pa.int64()), pa.array([lang] * m, pa.string()), pa.array(numbers, pa.int64()), pa.array(filters, pa.binary())],
+            ["shard", "lang", "slice", "filter"],
+        )
+        a = b
+
+
 def _merge(bits: int, prefix: int, finer: int):
     """Filters of one slice and some shards merged, and cut by ``finer`` more bits."""
 
     def run(key, table):
         lang, number, batch = (x.as_py() for x in key)
         sums = qf.merged(table.column("filter").to_pylist(), bits, prefix, number)
-        found = qf.slices(*sums, bits, prefix + finer)
-        return pa.table(
-            {"shard": pa.array([batch] * len(found), pa.int64()), "lang": pa.array([lang] * len(found)),
-             "slice": pa.array([x for x, _ in found], pa.int64()), "filter": pa.array([x for _, x in found], pa.binary())}
-        )
+        return pa.Table.from_batches(_filters(batch, lang, qf.slices(*sums, bits, prefix + finer)))
 
     return run
 
@@ -230,7 +253,7 @@ def count_grams(
     found = rows.groupBy("lang", "slice").applyInArrow(
         _frequent(n, id_bits, prefix, least, bitmap_bits), "lang STRING, ids ARRAY<LONG>, uses LONG, bit LONG"
     )
-    return written(found, f"grams-{n}")
+    return _sent(found, f"grams-{n}")
 
 
 def bitmap_of(grams: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -317,7 +340,7 @@ def collocations(
         F.coalesce(F.col(lang_column).cast("string"), F.lit(NO_LANG)).alias("lang"),
         full_text(text_column).alias("text"),
     )
-    shards = written(given.mapInArrow(_gather(shard_bytes, held_bytes), _SHARD_SQL), "phrase-shards")
+    shards = _sent(given.mapInArrow(_gather(shard_bytes, held_bytes), _SHARD_SQL), "phrase-shards")
     dictionary = shards.where("word is not null").select("shard", "lang", "word", "code", "uses")
     totals = written(dictionary.groupBy("lang", "word").agg(F.sum("uses").alias("uses")), "phrase-words")
     sizes = totals.groupBy("lang").agg(F.sum("uses").alias("n"))
@@ -330,7 +353,7 @@ def collocations(
         F.col("shard").alias("home"), "code", "id"
     )
     tokens = shards.where("tokens is not null").select("shard", "lang", "tokens")
-    encoded = written(
+    encoded = _sent(
         tokens.groupBy("shard").cogroup(mapping.groupBy("home")).applyInArrow(_encode, "shard LONG, lang STRING, ids BINARY, n LONG"),
         "phrase-tokens",
     )
