@@ -507,6 +507,15 @@ def test_write_shards(spark, place):
     assert back.count() == len(SHARD_ROWS)
 
 
+def test_write_shards_keeps_a_column_named_shard(spark, place):
+    docs = docs_table(spark, SHARD_ROWS[:20], place).withColumnRenamed("shard", "Shard")
+    sharded = extendible.shard(docs, shard_bytes=4000)
+    extendible.write_shards(docs, sharded, f"{place}/out")
+    back = spark.read.schema("doc_id LONG, shard_ STRING, shard STRING").parquet(f"{place}/out")
+    expected = sorted((r.doc_id, "1", r.shard or None) for r in sharded.collect())
+    assert sorted(tuple(r) for r in back.collect()) == expected
+
+
 @pytest.mark.parametrize("run", [
     lambda d: secret_scan.scan_versions(d, secret_scan.new_ledger(d.sparkSession)), suffix_dedup.suffix_dedup, extendible.shard,
 ])

@@ -122,8 +122,8 @@ def write_shards(
     """Write the documents, one folder per shard; ``docs`` is the table that ``shard`` was given.
 
     Documents meet their shards by id, bytes and a number among those equal in both, which may
-    change places without changing any shard's size. The folders are named by ``shard``, or by ``shard_`` if
-    the documents have a column of that name.
+    change places without changing any shard's size. The folders are always named by ``shard``; a column of
+    the documents with that name is written as ``shard_``.
     """
     own = numbered(docs)
     size = F.octet_length(full_text(text_column)).cast("bigint")
@@ -133,5 +133,6 @@ def write_shards(
     places = number_rows(places, ["id", "bytes"], ["row"], "copy")
     folder = fresh(docs.columns, "shard")
     shard_of = keys.join(places, ["id", "bytes", "copy"]).select(ROW, F.col("shard").alias(folder))
-    out = own.join(shard_of, ROW).select(*[named(c) for c in docs.columns], folder)
-    out.repartition(folder).write.partitionBy(folder).parquet(path)
+    kept = [named(c).alias(folder) if c.lower() == "shard" else named(c) for c in docs.columns]
+    out = own.join(shard_of, ROW).select(*kept, named(folder).alias("shard"))
+    out.repartition("shard").write.partitionBy("shard").parquet(path)
